@@ -12,108 +12,96 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from addrspark.functions.shapes import POLYGONAL, let, parts_centroid, vertex
+from addrspark.functions.shapes import POLYGONAL, centroid_sql, let, number, one_of
 
 RADIUS = 6371007.181
 # Hexagons are regular on the ground at this latitude and stretched, at equal area, elsewhere.
 STANDARD_PARALLEL = 10.0
 _K = math.cos(math.radians(STANDARD_PARALLEL))
+# Squared side of a hexagon as large as the globe.
+_AREA_FACTOR = 8 * math.pi * RADIUS**2 / (3 * math.sqrt(3))
 
 
 def hex_side(resolution: int) -> float:
     """Side of a cell in projected metres."""
-    area = 4 * math.pi * RADIUS**2 / (2 + 120 * 7**resolution)
-    return math.sqrt(2 * area / (3 * math.sqrt(3)))
+    return math.sqrt(_AREA_FACTOR / (2 + 120 * 7**resolution))
 
 
-def _nearest(value: Column) -> Column:
-    return F.floor(value + 0.5)
-
-
-def hex_axial(lon: Column, lat: Column, resolution: int = 8) -> Column:
+def _axial(lon: str, lat: str, resolution: int) -> str:
     """``struct<q, r>`` of the cell holding the point."""
-    side = hex_side(resolution)
-    plane = F.struct(
-        (F.radians(lon) * (RADIUS * _K)).alias("x"), (F.sin(F.radians(lat)) * (RADIUS / _K)).alias("y")
+    side = number(hex_side(resolution))
+    plane = (
+        f"named_struct('x', radians({lon}) * {number(RADIUS * _K)},"
+        f" 'y', sin(radians({lat})) * {number(RADIUS / _K)})"
     )
-
-    def fraction(p: Column) -> Column:
-        return F.struct(
-            ((p.x * (math.sqrt(3) / 3) - p.y / 3.0) / side).alias("q"),
-            (p.y * (2 / 3) / side).alias("r"),
-        )
-
-    def rounded(f: Column) -> Column:
-        return F.struct(
-            f.q.alias("fq"), f.r.alias("fr"),
-            _nearest(f.q).alias("q"), _nearest(f.r).alias("r"), _nearest(-f.q - f.r).alias("s"),
-        )
-
-    def repaired(c: Column) -> Column:
-        dq, dr, ds = F.abs(c.q - c.fq), F.abs(c.r - c.fr), F.abs(c.s + c.fq + c.fr)
-        return (
-            F.when((dq > dr) & (dq > ds), F.struct((-c.r - c.s).alias("q"), c.r.alias("r")))
-            .when(dr > ds, F.struct(c.q.alias("q"), (-c.q - c.s).alias("r")))
-            .otherwise(F.struct(c.q.alias("q"), c.r.alias("r")))
-        )
-
-    return let(let(let(plane, fraction), rounded), repaired)
+    fraction = (
+        f"named_struct('q', (p.x * {number(math.sqrt(3) / 3)} - p.y / 3D) / {side},"
+        f" 'r', (p.y * {number(2 / 3)}) / {side})"
+    )
+    rounded = (
+        "named_struct('fq', f.q, 'fr', f.r, 'q', floor(f.q + 0.5D), 'r', floor(f.r + 0.5D),"
+        " 's', floor(-f.q - f.r + 0.5D))"
+    )
+    # The coordinate that was rounded furthest follows from the other two.
+    dq, dr, ds = "abs(n.q - n.fq)", "abs(n.r - n.fr)", "abs(n.s + n.fq + n.fr)"
+    repaired = (
+        f"CASE WHEN {dq} > {dr} AND {dq} > {ds} THEN named_struct('q', -n.r - n.s, 'r', n.r)"
+        f" WHEN {dr} > {ds} THEN named_struct('q', n.q, 'r', -n.q - n.s)"
+        " ELSE named_struct('q', n.q, 'r', n.r) END"
+    )
+    return let("n", let("f", let("p", plane, fraction), rounded), repaired)
 
 
-def axial_id(axial: Column, resolution: int = 8) -> Column:
-    return F.concat_ws(":", F.lit(f"r{resolution}"), axial.q.cast("string"), axial.r.cast("string"))
+def _id(axial: str, resolution: int) -> str:
+    return f"concat_ws(':', 'r{resolution}', string({axial}.q), string({axial}.r))"
 
 
-def hex_cell(lon: Column, lat: Column, resolution: int = 8) -> Column:
+def hex_cell(lon: str, lat: str, resolution: int = 8) -> Column:
     """Cell id of a point; null for a null coordinate."""
-    return F.when(
-        lon.isNotNull() & lat.isNotNull(),
-        let(hex_axial(lon, lat, resolution), lambda a: axial_id(a, resolution)),
-    )
+    cell = let("h", _axial(lon, lat, resolution), _id("h", resolution))
+    return F.expr(f"CASE WHEN {lon} IS NOT NULL AND {lat} IS NOT NULL THEN {cell} END")
 
 
-def axial_boundary(axial: Column, resolution: int = 8) -> Column:
+def _boundary(axial: str, side: str) -> str:
     """Closed ring of seven (lon, lat) vertices."""
-    side = hex_side(resolution)
+    center = (
+        f"named_struct('x', ({axial}.q * {number(math.sqrt(3))} + {axial}.r * {number(math.sqrt(3) / 2)}) * {side},"
+        f" 'y', {axial}.r * {side} * 1.5D)"
+    )
 
-    def corner(center: Column, k: int) -> Column:
+    def corner(k: int) -> str:
         angle = math.radians(60 * k + 30)
-        x = center.x + side * math.cos(angle)
-        y = F.least(F.greatest((center.y + side * math.sin(angle)) * (_K / RADIUS), F.lit(-1.0)), F.lit(1.0))
-        return vertex(F.degrees(x / (RADIUS * _K)), F.degrees(F.asin(y)))
+        x = f"(c.x + {side} * {number(math.cos(angle))})"
+        y = f"(c.y + {side} * {number(math.sin(angle))}) * {number(_K / RADIUS)}"
+        return (
+            f"named_struct('x', degrees({x} / {number(RADIUS * _K)}),"
+            f" 'y', degrees(asin(least(greatest({y}, -1D), 1D))))"
+        )
 
-    center = F.struct(
-        ((axial.q * math.sqrt(3) + axial.r * (math.sqrt(3) / 2)) * side).alias("x"),
-        (axial.r * (1.5 * side)).alias("y"),
-    )
-    return let(center, lambda c: F.array(*[corner(c, k % 6) for k in range(7)]))
+    return let("c", center, f"array({', '.join(corner(k % 6) for k in range(7))})")
 
 
-def hex_boundary(cell: Column) -> Column:
-    """Boundary ring of a cell id, whatever its resolution (0 to 15)."""
-    fields = F.split(cell, ":")
-    axial = F.struct(fields[1].cast("bigint").alias("q"), fields[2].cast("bigint").alias("r"))
-    ring = F.lit(None)
-    for resolution in range(16):
-        ring = F.when(fields[0] == f"r{resolution}", axial_boundary(axial, resolution)).otherwise(ring)
-    return ring
+def hex_boundary(cell: str) -> Column:
+    """Boundary ring of a cell id, whatever its resolution."""
+    parsed = "named_struct('q', bigint(id[1]), 'r', bigint(id[2]), 'resolution', double(substring(id[0], 2)))"
+    side = f"sqrt({number(_AREA_FACTOR)} / (2D + 120D * pow(7D, h.resolution)))"
+    ring = let("h", let("id", f"split({cell}, ':')", parsed), let("side", side, _boundary("h", "side")))
+    return F.expr(f"CASE WHEN {cell} IS NOT NULL THEN {ring} END")
 
 
-def shape_cells(geometry: Column, resolution: int = 8) -> Column:
-    """Per part of a point, polygon or multipolygon ``struct<cell, boundary>``, in part order.
+def supported(geometry: str) -> Column:
+    """True for a point, polygon or multipolygon that has at least one part."""
+    known = one_of(f"{geometry}.kind", ["Point", *POLYGONAL])
+    return F.expr(f"coalesce({known} AND size({geometry}.parts) > 0, false)")
 
-    A point counts itself, a polygon its centroid. Other kinds give null.
-    """
 
-    def cell(part: Column) -> Column:
-        areal = geometry.kind.isin(POLYGONAL)
-        center = parts_centroid(F.array(part), areal, areal)
-        return let(
-            let(center, lambda c: hex_axial(c.x, c.y, resolution)),
-            lambda a: F.struct(
-                axial_id(a, resolution).alias("cell"), axial_boundary(a, resolution).alias("boundary")
-            ),
-        )
+def shape_cells(geometry: str, resolution: int = 8) -> Column:
+    """Per part of a supported shape ``struct<cell, boundary>``, in part order.
 
-    supported = geometry.kind.isin(["Point", *POLYGONAL])
-    return F.when(supported, F.transform(geometry.parts, cell))
+    A point counts itself, a polygon its centroid.
+    """
+    areal = one_of(f"{geometry}.kind", POLYGONAL)
+    axial = let("g", centroid_sql("array(piece)", areal, areal), _axial("g.x", "g.y", resolution))
+    boundary = _boundary("h", number(hex_side(resolution)))
+    cell = f"named_struct('cell', {_id('h', resolution)}, 'boundary', {boundary})"
+    return F.expr(f"transform({geometry}.parts, piece -> {let('h', axial, cell)})")

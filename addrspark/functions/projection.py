@@ -7,12 +7,11 @@ accuracy of a few nanometers".
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from addrspark.functions.shapes import let, map_vertices, vertex
+from addrspark.functions.shapes import let, map_vertices, number
 
 # WGS 84 ellipsoid and the UTM grid.
 SEMI_MAJOR = 6378137.0
@@ -47,30 +46,31 @@ def utm_meridian(zone: int) -> float:
     return zone * 6.0 - 183.0
 
 
-def _conformal(lat: Column) -> Column:
+def _conformal(lat: str) -> str:
     """Tangent of the conformal latitude."""
-    s = F.sin(F.radians(lat))
-    return F.sinh(F.atanh(s) - ECCENTRICITY * F.atanh(ECCENTRICITY * s))
+    s, e = f"sin(radians({lat}))", number(ECCENTRICITY)
+    return f"sinh(atanh({s}) - {e} * atanh({e} * {s}))"
 
 
-def _sphere(t: Column, offset: Column) -> Column:
+def _sphere(t: str, offset: str) -> str:
     """Transverse coordinates on the conformal sphere."""
-    return F.struct(
-        F.atan2(t, F.cos(offset)).alias("xi"),
-        F.asinh(F.sin(offset) / F.sqrt(t * t + F.cos(offset) * F.cos(offset))).alias("eta"),
-    )
+    root = f"sqrt({t} * {t} + cos({offset}) * cos({offset}))"
+    return f"named_struct('xi', atan2({t}, cos({offset})), 'eta', asinh(sin({offset}) / {root}))"
 
 
-def _grid(c: Column, south: bool) -> Column:
-    def series(start: Column, term) -> Column:
-        return reduce(Column.__add__, [term(j, a) for j, a in enumerate(HARMONICS, start=1)], start)
+def _grid(c: str, south: bool) -> str:
+    def series(start: str, first: str, second: str) -> str:
+        terms = [
+            f"{number(a)} * {first}({number(2.0 * j)} * {c}.xi) * {second}({number(2.0 * j)} * {c}.eta)"
+            for j, a in enumerate(HARMONICS, start=1)
+        ]
+        return " + ".join([start, *terms])
 
-    xi = series(c.xi, lambda j, a: F.lit(a) * F.sin(2.0 * j * c.xi) * F.cosh(2.0 * j * c.eta))
-    eta = series(c.eta, lambda j, a: F.lit(a) * F.cos(2.0 * j * c.xi) * F.sinh(2.0 * j * c.eta))
-    north = FALSE_NORTHING_SOUTH if south else 0.0
-    return vertex(
-        FALSE_EASTING + SCALE * RECTIFYING_RADIUS * eta, north + SCALE * RECTIFYING_RADIUS * xi
-    )
+    factor = number(SCALE * RECTIFYING_RADIUS)
+    north = number(FALSE_NORTHING_SOUTH if south else 0.0)
+    easting = f"{number(FALSE_EASTING)} + {factor} * ({series(f'{c}.eta', 'cos', 'sinh')})"
+    northing = f"{north} + {factor} * ({series(f'{c}.xi', 'sin', 'cosh')})"
+    return f"named_struct('x', {easting}, 'y', {northing})"
 
 
 def to_utm(
@@ -78,24 +78,18 @@ def to_utm(
     x: str = "x", y: str = "y",
 ) -> DataFrame:
     """Add easting and northing in metres. Each step is its own projection, so nothing is recomputed."""
-    offset = F.radians(F.col(lon) - utm_meridian(zone))
+    offset = f"radians({lon} - {number(utm_meridian(zone))})"
     return (
-        df.withColumn("utm_t", _conformal(F.col(lat)))
-        .withColumn("utm_sphere", _sphere(F.col("utm_t"), offset))
-        .withColumn("utm_grid", _grid(F.col("utm_sphere"), south))
+        df.withColumn("utm_t", F.expr(_conformal(lat)))
+        .withColumn("utm_sphere", F.expr(_sphere("utm_t", offset)))
+        .withColumn("utm_grid", F.expr(_grid("utm_sphere", south)))
         .withColumns({x: F.col("utm_grid.x"), y: F.col("utm_grid.y")})
         .drop("utm_t", "utm_sphere", "utm_grid")
     )
 
 
-def shape_to_utm(geometry: Column, zone: int = 18, south: bool = True) -> Column:
+def shape_to_utm(geometry: str, zone: int = 18, south: bool = True) -> Column:
     """The shape with degrees replaced by UTM metres."""
-    meridian = utm_meridian(zone)
-
-    def project(v: Column) -> Column:
-        return let(
-            let(_conformal(v.y), lambda t: _sphere(t, F.radians(v.x - meridian))),
-            lambda c: _grid(c, south),
-        )
-
-    return map_vertices(geometry, project)
+    offset = f"radians(v.x - {number(utm_meridian(zone))})"
+    sphere = let("t", _conformal("v.y"), _sphere("t", offset))
+    return map_vertices(geometry, let("c", sphere, _grid("c", south)))

@@ -1,24 +1,32 @@
 """Column math on shapes: ``struct<kind, parts array<array<array<struct<x, y>>>>>``.
 
 A part is a list of rings (polygon: shell first, then holes), a single line, or a single point; every
-shape kind has the same form. All functions are column expressions evaluated in the JVM.
+shape kind has the same form. Arguments are column names or SQL expressions, since nested lambdas read
+best in SQL; results are columns evaluated in the JVM.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 POLYGONAL = ["Polygon", "MultiPolygon"]
 LINEAR = ["LineString", "MultiLineString"]
-PUNCTUAL = ["Point", "MultiPoint"]
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value computed once, also inside a lambda."""
-    return F.transform(F.array(value), body)[0]
+def number(value: float) -> str:
+    """A DOUBLE literal."""
+    return f"({value!r}D)"
+
+
+def let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def one_of(kind: str, kinds: list[str]) -> str:
+    names = ", ".join(f"'{k}'" for k in kinds)
+    return f"({kind} IN ({names}))"
 
 
 def vertex(x: Column, y: Column) -> Column:
@@ -33,171 +41,117 @@ def point(x: Column, y: Column) -> Column:
     return shape("Point", F.array(F.array(F.array(vertex(x, y)))))
 
 
-def _steps(ring: Column, body: Callable[[Column, Column], Column]) -> Column:
-    """``body(from, to)`` for every pair of consecutive vertices."""
-    n = F.greatest(F.size(ring) - 1, F.lit(0))
-    return F.zip_with(F.slice(ring, F.lit(1), n), F.slice(ring, F.lit(2), n), body)
+def _steps(ring: str, body: str) -> str:
+    """``body`` for every pair ``p``, ``q`` of consecutive vertices."""
+    n = f"greatest(size({ring}) - 1, 0)"
+    return f"zip_with(slice({ring}, 1, {n}), slice({ring}, 2, {n}), (p, q) -> {body})"
 
 
-def edges(ring: Column) -> Column:
+def edges(ring: str) -> Column:
     """Consecutive vertex pairs of a ring or line as ``array<struct<x1, y1, x2, y2>>``."""
-    return _steps(
-        ring,
-        lambda p, q: F.struct(p.x.alias("x1"), p.y.alias("y1"), q.x.alias("x2"), q.y.alias("y2")),
-    )
-
-
-def _add(total: Column, term: Column) -> Column:
-    return F.struct(
-        (total.w + term.w).alias("w"), (total.mx + term.mx).alias("mx"), (total.my + term.my).alias("my")
-    )
+    return F.expr(_steps(ring, "named_struct('x1', p.x, 'y1', p.y, 'x2', q.x, 'y2', q.y)"))
 
 
-def _moment(w: Column, mx: Column, my: Column) -> Column:
-    return F.struct(w.alias("w"), mx.alias("mx"), my.alias("my"))
+def _moment(w: str, mx: str, my: str) -> str:
+    return f"named_struct('w', {w}, 'mx', {mx}, 'my', {my})"
 
 
-def _total(moments: Column) -> Column:
-    zero = _moment(F.lit(0.0), F.lit(0.0), F.lit(0.0))
-    return F.aggregate(moments, zero, _add)
+def _total(moments: str) -> str:
+    add = _moment("a.w + m.w", "a.mx + m.mx", "a.my + m.my")
+    return f"aggregate({moments}, {_moment('0D', '0D', '0D')}, (a, m) -> {add})"
 
 
-def _area_moment(ring: Column, origin: Column) -> Column:
-    """Doubled signed area of a ring and its first moments, relative to ``origin``."""
+def _area_moment(ring: str) -> str:
+    """Doubled signed area of a ring and its first moments, relative to the vertex ``o``."""
+    cross = "((p.x - o.x) * (q.y - o.y) - (q.x - o.x) * (p.y - o.y))"
+    weighted = _moment("c", "((p.x - o.x) + (q.x - o.x)) * c", "((p.y - o.y) + (q.y - o.y)) * c")
+    return _total(_steps(ring, let("c", cross, weighted)))
 
-    def step(p: Column, q: Column) -> Column:
-        px, py, qx, qy = p.x - origin.x, p.y - origin.y, q.x - origin.x, q.y - origin.y
-        cross = px * qy - qx * py
-        return _moment(cross, (px + qx) * cross, (py + qy) * cross)
 
-    return _total(_steps(ring, step))
+def _length_moment(ring: str) -> str:
+    length = "sqrt((q.x - p.x) * (q.x - p.x) + (q.y - p.y) * (q.y - p.y))"
+    weighted = _moment("c", "((p.x - o.x) + (q.x - o.x)) / 2D * c", "((p.y - o.y) + (q.y - o.y)) / 2D * c")
+    return _total(_steps(ring, let("c", length, weighted)))
 
 
-def _length_moment(ring: Column, origin: Column) -> Column:
-    def step(p: Column, q: Column) -> Column:
-        length = F.sqrt((q.x - p.x) * (q.x - p.x) + (q.y - p.y) * (q.y - p.y))
-        return _moment(
-            length,
-            ((p.x - origin.x) + (q.x - origin.x)) / 2.0 * length,
-            ((p.y - origin.y) + (q.y - origin.y)) / 2.0 * length,
-        )
+def _point_moment(ring: str) -> str:
+    return _total(f"transform({ring}, p -> {_moment('1D', 'p.x - o.x', 'p.y - o.y')})")
 
-    return _total(_steps(ring, step))
 
-
-def _point_moment(ring: Column, origin: Column) -> Column:
-    return _total(F.transform(ring, lambda p: _moment(F.lit(1.0), p.x - origin.x, p.y - origin.y)))
-
-
-def _signed(ring: Column, hole: Column, origin: Column) -> Column:
+def _signed_area_moment(ring: str, index: str) -> str:
     """Shells count positive and holes negative, whichever way they are wound."""
+    factor = f"(CASE WHEN s.w < 0 THEN -1D ELSE 1D END * CASE WHEN {index} > 0 THEN -1D ELSE 1D END)"
+    return let("s", _area_moment(ring), _moment(f"s.w * {factor}", f"s.mx * {factor}", f"s.my * {factor}"))
 
-    def orient(m: Column) -> Column:
-        factor = F.when(m.w < 0, F.lit(-1.0)).otherwise(F.lit(1.0)) * F.when(hole, F.lit(-1.0)).otherwise(F.lit(1.0))
-        return _moment(m.w * factor, m.mx * factor, m.my * factor)
-
-    return let(_area_moment(ring, origin), orient)
 
+def _over_rings(parts: str, body: str) -> str:
+    return _total(f"flatten(transform({parts}, part -> transform(part, (ring, i) -> {body})))")
 
-def _over_rings(parts: Column, body: Callable[[Column, Column], Column]) -> Column:
-    return _total(F.flatten(F.transform(parts, lambda part: F.transform(part, body))))
 
+def centroid_sql(parts: str, areal: str, linear: str) -> str:
+    """Centroid of parts: by area; by length if there is none; else mean of the vertices."""
 
-def parts_centroid(parts: Column, areal: Column, linear: Column) -> Column:
-    """Centroid of the given parts: by area; by length if there is none; else mean of the vertices."""
+    def weighted(moment: str, divisor: str, otherwise: str) -> str:
+        at = "named_struct('x', o.x + t.mx / ({d} * t.w), 'y', o.y + t.my / ({d} * t.w))".format(d=divisor)
+        return let("t", moment, f"CASE WHEN t.w <> 0 THEN {at} ELSE {otherwise} END")
 
-    def by_weight(moment: Column, divisor: float, origin: Column, otherwise: Column) -> Column:
-        return let(
-            moment,
-            lambda m: F.when(
-                m.w != 0,
-                vertex(
-                    origin.x + F.try_divide(m.mx, divisor * m.w), origin.y + F.try_divide(m.my, divisor * m.w)
-                ),
-            ).otherwise(otherwise),
-        )
+    by_points = weighted(_over_rings(parts, _point_moment("ring")), "1D", "NULL")
+    by_length = weighted(_over_rings(parts, _length_moment("ring")), "1D", by_points)
+    by_area = weighted(_over_rings(parts, _signed_area_moment("ring", "i")), "3D", by_length)
+    choice = f"CASE WHEN {areal} THEN {by_area} WHEN {linear} THEN {by_length} ELSE {by_points} END"
+    return let("o", f"try_element_at(flatten(flatten({parts})), 1)", choice)
 
-    def located(origin: Column) -> Column:
-        by_points = by_weight(
-            _over_rings(parts, lambda ring, i: _point_moment(ring, origin)), 1.0, origin, F.lit(None)
-        )
-        by_length = by_weight(
-            _over_rings(parts, lambda ring, i: _length_moment(ring, origin)), 1.0, origin, by_points
-        )
-        by_area = by_weight(
-            _over_rings(parts, lambda ring, i: _signed(ring, i > 0, origin)), 3.0, origin, by_length
-        )
-        return F.when(areal, by_area).when(linear, by_length).otherwise(by_points)
 
-    first = F.flatten(F.flatten(parts))
-    return let(F.try_element_at(first, F.lit(1)), located)
+def centroid(geometry: str) -> Column:
+    """``struct<x, y>`` of the whole shape."""
+    kind = f"{geometry}.kind"
+    return F.expr(centroid_sql(f"{geometry}.parts", one_of(kind, POLYGONAL), one_of(kind, POLYGONAL + LINEAR)))
 
 
-def centroid(geometry: Column) -> Column:
-    """``struct<x, y>`` of the whole shape."""
-    return parts_centroid(
-        geometry.parts, geometry.kind.isin(POLYGONAL), geometry.kind.isin(POLYGONAL + LINEAR)
+def map_vertices(geometry: str, body: str) -> Column:
+    """The shape with every vertex ``v`` replaced by ``body``."""
+    moved = f"transform({geometry}.parts, part -> transform(part, ring -> transform(ring, v -> {body})))"
+    return F.expr(
+        f"CASE WHEN {geometry} IS NOT NULL THEN named_struct('kind', {geometry}.kind, 'parts', {moved}) END"
     )
 
 
-def map_vertices(geometry: Column, body: Callable[[Column], Column]) -> Column:
-    """The shape with every vertex replaced by ``body(vertex)``."""
-    moved = F.transform(
-        geometry.parts, lambda part: F.transform(part, lambda ring: F.transform(ring, body))
-    )
-    return F.when(geometry.isNotNull(), F.struct(geometry.kind.alias("kind"), moved.alias("parts")))
-
-
-def contains(part: Column, x: Column, y: Column) -> Column:
-    """Strictly inside a polygon part: not on any ring, and an odd number of rings' edges to the right."""
-
-    def crossing(p: Column, q: Column) -> Column:
-        spans = (p.y > y) != (q.y > y)
-        at = p.x + F.try_divide((y - p.y) * (q.x - p.x), q.y - p.y)
-        on_line = (q.x - p.x) * (y - p.y) == (q.y - p.y) * (x - p.x)
-        in_box = x.between(F.least(p.x, q.x), F.greatest(p.x, q.x)) & y.between(
-            F.least(p.y, q.y), F.greatest(p.y, q.y)
-        )
-        return F.struct(
-            F.when(spans & (at > x), 1).otherwise(0).alias("crossed"), (on_line & in_box).alias("touching")
-        )
-
-    return let(
-        F.flatten(F.transform(part, lambda ring: _steps(ring, crossing))),
-        lambda steps: (F.size(F.filter(steps, lambda s: s.crossed == 1)) % 2 == 1)
-        & ~F.exists(steps, lambda s: s.touching),
+def contains(part: str, x: str, y: str) -> Column:
+    """Strictly inside a polygon part: on none of its rings, and an odd number of their edges to the right."""
+    spans = "((p.y > at.y) <> (q.y > at.y))"
+    hit = "p.x + try_divide((at.y - p.y) * (q.x - p.x), q.y - p.y)"
+    on_edge = (
+        "(q.x - p.x) * (at.y - p.y) = (q.y - p.y) * (at.x - p.x)"
+        " AND at.x BETWEEN least(p.x, q.x) AND greatest(p.x, q.x)"
+        " AND at.y BETWEEN least(p.y, q.y) AND greatest(p.y, q.y)"
     )
+    step = f"CASE WHEN {on_edge} THEN 'on' WHEN {spans} AND {hit} > at.x THEN 'right' ELSE 'clear' END"
+    sides = f"flatten(transform({part}, ring -> {_steps('ring', step)}))"
+    odd = "size(filter(sides, s -> s = 'right')) % 2 = 1 AND NOT array_contains(sides, 'on')"
+    return F.expr(let("at", f"named_struct('x', {x}, 'y', {y})", let("sides", sides, odd)))
 
 
-def point_to_segment_squared(
-    px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column
-) -> Column:
-    """Squared distance from (px, py) to the segment a-b; a == b is a point."""
-    ux, uy = bx - ax, by - ay
-    along = F.coalesce(F.try_divide((px - ax) * ux + (py - ay) * uy, ux * ux + uy * uy), F.lit(0.0))
-    t = F.least(F.greatest(along, F.lit(0.0)), F.lit(1.0))
-    dx, dy = px - (ax + t * ux), py - (ay + t * uy)
-    return dx * dx + dy * dy
+def _gap(px: str, py: str, ax: str, ay: str, bx: str, by: str) -> str:
+    """Squared distance from the point p to the segment a-b; a = b is a point."""
+    ux, uy = f"({bx} - {ax})", f"({by} - {ay})"
+    along = f"try_divide(({px} - {ax}) * {ux} + ({py} - {ay}) * {uy}, {ux} * {ux} + {uy} * {uy})"
+    t = f"least(greatest(coalesce({along}, 0D), 0D), 1D)"
+    dx, dy = f"({px} - ({ax} + {t} * {ux}))", f"({py} - ({ay} + {t} * {uy}))"
+    return f"({dx} * {dx} + {dy} * {dy})"
 
 
-def _side(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column) -> Column:
-    return F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
+def _side(ax: str, ay: str, bx: str, by: str, px: str, py: str) -> str:
+    return f"signum(({bx} - {ax}) * ({py} - {ay}) - ({by} - {ay}) * ({px} - {ax}))"
 
 
-def segment_distance(a: list[Column], b: list[Column]) -> Column:
+def segment_distance(a: list[str], b: list[str]) -> Column:
     """Distance between two segments given as ``[x1, y1, x2, y2]``; 0 when they cross.
 
     Touching segments need no crossing test: an end then is at distance 0.
     """
-    ax, ay, bx, by = a
-    cx, cy, dx, dy = b
-    crossing = (_side(ax, ay, bx, by, cx, cy) * _side(ax, ay, bx, by, dx, dy) < 0) & (
-        _side(cx, cy, dx, dy, ax, ay) * _side(cx, cy, dx, dy, bx, by) < 0
-    )
-    nearest = F.least(
-        point_to_segment_squared(ax, ay, cx, cy, dx, dy),
-        point_to_segment_squared(bx, by, cx, cy, dx, dy),
-        point_to_segment_squared(cx, cy, ax, ay, bx, by),
-        point_to_segment_squared(dx, dy, ax, ay, bx, by),
+    start, end, left, right = a[:2], a[2:], b[:2], b[2:]
+    crossing = (
+        f"{_side(*a, *left)} * {_side(*a, *right)} < 0 AND {_side(*b, *start)} * {_side(*b, *end)} < 0"
     )
-    return F.when(crossing, F.lit(0.0)).otherwise(F.sqrt(nearest))
+    gaps = ", ".join([_gap(*start, *b), _gap(*end, *b), _gap(*left, *a), _gap(*right, *a)])
+    return F.expr(f"CASE WHEN {crossing} THEN 0D ELSE sqrt(least({gaps})) END")

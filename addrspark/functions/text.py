@@ -70,14 +70,25 @@ def digits_id(col: Column) -> Column:
 
 
 def whole_number(col: Column) -> Column:
-    """Text or number to BIGINT, decimals truncated, anything else null."""
-    text = strip(col.cast("string"))
-    return F.coalesce(
-        text.try_cast("bigint"),
-        F.when(text.rlike(NUMBER_PATTERN), text.try_cast("decimal(38,10)").try_cast("bigint")),
+    """Text or number to BIGINT, decimals truncated, anything else null.
+
+    The pattern tests come first because a cast that fails costs an exception per row.
+    """
+    plain = col.cast("string")
+    text = strip(plain)
+    return (
+        F.when(plain.rlike("^[+-]?[0-9]{1,18}$"), plain.try_cast("bigint"))
+        .when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint"))
+        .when(text.rlike(NUMBER_PATTERN), text.try_cast("decimal(38,10)").try_cast("bigint"))
     )
 
 
+def real_number(col: Column, kind: T.DataType) -> Column:
+    """Text or number to a floating-point type, anything else (also ``NaN``) null."""
+    plain = col.cast("string")
+    return F.when(plain.rlike(NUMBER_PATTERN), plain.try_cast(kind))
+
+
 def _without_marks(ch: str) -> str:
     return "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
 

@@ -146,10 +146,11 @@ def shape_block_documents(
     named = lots.filter(text.not_blank(F.col(block)) & text.not_blank(F.col(lot)))
     code = text.strip(F.col(postcode).cast("string"))
     placed = (
-        named.withColumn("center", centroid(decoded(named, shape)))
+        named.withColumn("decoded_shape", decoded(named, shape))
+        .withColumn("center", centroid("decoded_shape"))
         .withColumn("postcode_number", code.try_cast("bigint"))
         .withColumns({"lon": F.col("center.x"), "lat": F.col("center.y")})
-        .drop("center", shape)
+        .drop("center", "decoded_shape", shape)
     )
     keys = [estate, block, postcode, "postcode_number"]
     grouped = collect_in_parts(
@@ -217,11 +218,13 @@ def sorted_names(
     """Sorted distinct names per group, without blanks around them and without accents.
 
     A row with any null is dropped first. Every column is stripped, so a text of blanks only becomes
-    ``""`` and stays. Names are made distinct before they are grouped.
+    ``""`` and stays. Repeated names collapse map-side before accents are looked at.
     """
-    clean = df.dropna("any").select(
-        text.remove_accents(text.strip(F.col(group))).alias(group_alias),
-        text.remove_accents(text.strip(F.col(name))).alias("name"),
+    stripped = df.dropna("any").select(
+        text.strip(F.col(group)).alias("group"), text.strip(F.col(name)).alias("name")
+    )
+    clean = stripped.distinct().select(
+        text.remove_accents(F.col("group")).alias(group_alias), text.remove_accents(F.col("name")).alias("name")
     )
     return collect_in_parts(clean.distinct(), [group_alias], F.col("name"), names_alias, max_items)
 

@@ -2,36 +2,59 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from addrspark.functions.text import keyword, whole_number
+from addrspark.functions.text import keyword, real_number, whole_number
+
+
+def _member(source: T.DataType, name: str) -> T.DataType | None:
+    if isinstance(source, T.StructType) and name in source.fieldNames():
+        return source[name].dataType
+    return None
 
 
-def _fitted(value: Column, kind: T.DataType) -> Column:
+def _fitted(value: Column, kind: T.DataType, source: T.DataType) -> Column:
+    """``value`` cast to ``kind``; what does not fit becomes null."""
+    if source == kind:
+        return value
     if isinstance(kind, T.ArrayType):
-        return F.transform(value, lambda item: _fitted(item, kind.elementType))
+        item_type = source.elementType if isinstance(source, T.ArrayType) else T.NullType()
+        return F.transform(value, lambda item: _fitted(item, kind.elementType, item_type))
     if isinstance(kind, T.StructType):
-        members = [_fitted(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+        members = []
+        for f in kind.fields:
+            inner = _member(source, f.name)
+            fit = F.lit(None).cast(f.dataType) if inner is None else _fitted(value.getField(f.name), f.dataType, inner)
+            members.append(fit.alias(f.name))
         return F.when(value.isNotNull(), F.struct(*members))
     if isinstance(kind, T.LongType):
         return whole_number(value)
     if isinstance(kind, T.StringType):
         return value.cast("string")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return real_number(value, kind)
     return value.try_cast(kind)
 
 
-def _lost(value: Column, kind: T.DataType) -> Column:
-    """True when some leaf has a value that does not fit its type."""
+def _lost(value: Column, kind: T.DataType, source: T.DataType) -> Column | None:
+    """True when some leaf has a value that does not fit its type; None when that cannot happen."""
+    if source == kind or isinstance(kind, T.StringType):
+        return None
     if isinstance(kind, T.ArrayType):
-        return F.coalesce(F.exists(value, lambda item: _lost(item, kind.elementType)), F.lit(False))
+        item_type = source.elementType
+        if _lost(F.lit(None), kind.elementType, item_type) is None:
+            return None
+        return F.coalesce(F.exists(value, lambda item: _lost(item, kind.elementType, item_type)), F.lit(False))
     if isinstance(kind, T.StructType):
-        lost = F.lit(False)
-        for f in kind.fields:
-            lost = lost | _lost(value.getField(f.name), f.dataType)
-        return lost
-    return value.isNotNull() & _fitted(value, kind).isNull()
+        inner = [(f, _member(source, f.name)) for f in kind.fields]
+        lost = [_lost(value.getField(f.name), f.dataType, t) for f, t in inner if t is not None]
+        known = [term for term in lost if term is not None]
+        return reduce(Column.__or__, known) if known else None
+    return value.isNotNull() & _fitted(value, kind, source).isNull()
 
 
 def apply_mapping(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -39,11 +62,15 @@ def apply_mapping(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataF
 
     A field the frame lacks becomes null; columns outside the schema are left out of the good rows.
     """
-    present = [f for f in schema.fields if f.name in df.columns]
-    misfits = F.concat_ws(",", *[F.when(_lost(F.col(f.name), f.dataType), F.lit(f.name)) for f in present])
-    tried = df.withColumn("misfits", misfits)
+    have = {f.name: f.dataType for f in df.schema.fields}
+    for f in schema.fields:
+        if isinstance(f.dataType, T.ArrayType) and not isinstance(have.get(f.name, f.dataType), T.ArrayType):
+            raise ValueError(f"{f.name!r} is {have[f.name].simpleString()}, the mapping wants an array")
+    lost = {f.name: _lost(F.col(f.name), f.dataType, have[f.name]) for f in schema.fields if f.name in have}
+    terms = [F.when(term, F.lit(name)) for name, term in lost.items() if term is not None]
+    tried = df.withColumn("misfits", F.concat_ws(",", *terms) if terms else F.lit(""))
     fitted = [
-        (_fitted(F.col(f.name), f.dataType) if f in present else F.lit(None).cast(f.dataType)).alias(f.name)
+        (_fitted(F.col(f.name), f.dataType, have[f.name]) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields
     ]
     good = tried.filter(F.col("misfits") == "").select(*fitted)

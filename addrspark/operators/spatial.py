@@ -25,7 +25,7 @@ def shape_parts(shapes: DataFrame, key: str, geometry: str) -> DataFrame:
 
 def part_edges(parts: DataFrame, key: str) -> DataFrame:
     """Edges of each shell: key, part, edge (from 0), x1, y1, x2, y2. Edges without length are left out."""
-    exploded = parts.select(key, "part", F.posexplode(edges(F.col("rings")[0])).alias("edge", "ends"))
+    exploded = parts.select(key, "part", F.posexplode(edges("rings[0]")).alias("edge", "ends"))
     flat = exploded.select(key, "part", "edge", *[F.col(f"ends.{c}").alias(c) for c in ENDS])
     return flat.filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
@@ -36,7 +36,7 @@ def road_segments(roads: DataFrame, geometry: str) -> DataFrame:
         F.explode(F.flatten(F.col(geometry).parts)).alias("line")
     )
     return (
-        lines.select(F.explode(edges(F.col("line"))).alias("ends"))
+        lines.select(F.explode(edges("line")).alias("ends"))
         .select(*[F.col(f"ends.{c}").alias(c) for c in ENDS])
         .distinct()
     )
@@ -100,7 +100,7 @@ def nearest_edges(
             key,
             "part",
             "edge",
-            segment_distance([F.col(c) for c in ENDS], [F.col(f"road_{c}") for c in ENDS]).alias("distance"),
+            segment_distance(ENDS, [f"road_{c}" for c in ENDS]).alias("distance"),
         )
         .filter(F.col("distance") <= max_distance)
     )
@@ -141,8 +141,8 @@ def address_points(
             "off_y": dx / length * inset,
         }
     )
-    plus = contains(F.col("rings"), F.col("mid_x") + F.col("off_x"), F.col("mid_y") + F.col("off_y"))
-    minus = contains(F.col("rings"), F.col("mid_x") - F.col("off_x"), F.col("mid_y") - F.col("off_y"))
+    plus = contains("rings", "mid_x + off_x", "mid_y + off_y")
+    minus = contains("rings", "mid_x - off_x", "mid_y - off_y")
     side = F.when(plus, F.lit(1.0)).when(minus, F.lit(-1.0))
     return (
         moved.withColumn("side", side)
@@ -164,22 +164,21 @@ def hex_indexed(
     as text. The geometry becomes the hexagon (one per part) or, without ``keep_geometry``, is dropped.
     Every row is worked on by itself: no shuffle.
     """
-    cells = shapes.withColumn("hexes", hexgrid.shape_cells(F.col(geometry), resolution))
-    usable = F.coalesce(F.size("hexes") > 0, F.lit(False))
+    usable = hexgrid.supported(geometry)
+    cells = shapes.filter(usable).withColumn("hexes", hexgrid.shape_cells(geometry, resolution))
     multi = F.col(geometry).kind == "MultiPolygon"
-    names = F.transform("hexes", lambda h: h.cell)
+    names = F.expr("transform(hexes, h -> h.cell)")
     hexagons = F.struct(
         F.when(multi, F.lit("MultiPolygon")).otherwise(F.lit("Polygon")).alias("kind"),
-        F.transform("hexes", lambda h: F.array(h.boundary)).alias("parts"),
+        F.expr("transform(hexes, h -> array(h.boundary))").alias("parts"),
     )
-    good = cells.filter(usable).withColumns(
+    indexed = cells.withColumns(
         {
             "hex_cells": names,
             "hex_index": F.when(multi, list_text(names)).otherwise(names[0]),
             geometry: hexagons,
         }
-    )
+    ).drop("hexes")
     reason = F.concat(F.lit("unsupported shape: "), F.coalesce(F.col(geometry).kind, F.lit("null")))
-    rejects = cells.filter(~usable).withColumn("reason", reason).drop("hexes")
-    good = good.drop("hexes")
-    return (good if keep_geometry else good.drop(geometry)), rejects
+    rejects = shapes.filter(~usable).withColumn("reason", reason)
+    return (indexed if keep_geometry else indexed.drop(geometry)), rejects

@@ -50,7 +50,7 @@ def build_address_points(
 
     def metres(path: str) -> DataFrame:
         shapes, _ = readers.read_shapes(spark, path)
-        return shapes.withColumn("geometry", shape_to_utm(F.col("geometry"), zone))
+        return shapes.withColumn("geometry", shape_to_utm("geometry", zone))
 
     points = address_points(metres(lots_path), metres(roads_path), key)
     writers.write_shapes(points.withColumn("geometry", point(F.col("x"), F.col("y"))), out)

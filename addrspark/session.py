@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Recording the call site of every column costs more than building large expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from addrspark.functions.text import strip
 from addrspark.functions.wkb import decode_shapes
 from addrspark.operators.checks import pick_column
 from addrspark.schemas import DISTRICT_SHEET
 
 _BROKEN = "broken_line"
+_STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -19,6 +19,15 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core rows when a small input has fewer splits than there are cores.
+
+    For work that is heavy per row. Inputs with enough splits pass unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(rows, bad lines). A bad line is kept with the reason and does not stop the rest."""
     return parse_ndjson(spark.read.text(path), "value", schema)
@@ -28,7 +37,7 @@ def parse_ndjson(lines: DataFrame, column: str, schema: T.StructType) -> tuple[D
     """Like ``read_ndjson`` for lines already in a column; other columns are kept."""
     others = [c for c in lines.columns if c != column]
     wide = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType(), True)])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    options = {**_STRICT, "columnNameOfCorruptRecord": _BROKEN}
     parsed = lines.withColumn("row", F.from_json(F.col(column), wide, options))
     whole = _is_json(F.col(column))
     good = whole & F.col(f"row.{_BROKEN}").isNull()
@@ -40,8 +49,14 @@ def parse_ndjson(lines: DataFrame, column: str, schema: T.StructType) -> tuple[D
 
 
 def _is_json(line: Column) -> Column:
-    """One complete JSON value and nothing after it."""
-    return F.coalesce(F.try_parse_json(line).isNotNull() & (strip(line) != ""), F.lit(False))
+    """One complete JSON value and nothing after it.
+
+    Spark's parser stops after the first value. As first item of a list whose second item is a digest of
+    the line, the line must end where its value ends for the digest to be found.
+    """
+    digest = F.md5(line)
+    pair = F.from_json(F.concat(F.lit("["), line, F.lit(',"'), digest, F.lit('"]')), "array<string>", _STRICT)
+    return F.coalesce(F.get(pair, F.lit(1)) == digest, F.lit(False))
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, separator: str = ";") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from addrspark.functions.shapes import shape, vertex
 from addrspark.functions.wkb import encode_wkb
+from addrspark.sources.readers import spread
 
 NBSP = "\u00a0"
 
@@ -146,10 +147,17 @@ TABLES = (
 )
 
 
-def view(spark: SparkSession, sf_dir: str, statement: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A test table; ``heavy`` for work that costs much per row, as each table is one Parquet split."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if heavy else df
+
+
+def view(spark: SparkSession, sf_dir: str, statement: str, heavy: bool = False) -> DataFrame:
     """Run a fixture statement over the Parquet tables."""
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in statement}
-    return spark.sql(statement, **used)
+    used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in statement}
+    df = spark.sql(statement, **used)
+    return spread(df) if heavy else df
 
 
 def duck(statement: str) -> str:
@@ -163,7 +171,7 @@ def corners() -> list:
 
 def shaped_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lots with their polygon as WKB bytes."""
-    lots = view(spark, sf_dir, LOT_CORNERS)
+    lots = view(spark, sf_dir, LOT_CORNERS, heavy=True)
     return lots.withColumn(
         "geometry", encode_wkb(shape("Polygon", F.array(F.array(F.array(*corners())))))
     ).drop(*[f"{a}{i}" for a in "xy" for i in range(4)])
@@ -193,7 +201,7 @@ def metric_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     geometry = F.when(p % 10 == 0, shape("MultiPolygon", F.array(own, F.array(next_shell)))).otherwise(
         shape("Polygon", F.array(own))
     )
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    parts = table(spark, sf_dir, "part", heavy=True)
     return parts.select(p.alias("lot_id"), geometry.alias("geometry"))
 
 

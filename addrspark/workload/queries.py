@@ -161,7 +161,7 @@ def ubigeo_last_wins(spark, sf):
 
 @query
 def provinces_by_department(spark, sf):
-    sheet = spark.read.parquet(f"{sf}/documents.parquet").select(
+    sheet = fx.table(spark, sf, "documents", heavy=True).select(
         F.col("lang").alias("Departamento"),
         F.explode(F.transform(F.split("text", " "), lambda w: F.concat(F.lit(" "), w, F.lit("\xa0 ")))).alias(
             "Provincia"
@@ -173,8 +173,8 @@ def provinces_by_department(spark, sf):
 
 @query
 def accents_removed(spark, sf):
-    texts = spark.read.parquet(f"{sf}/documents.parquet").select("text").unionByName(
-        spark.read.parquet(f"{sf}/conversations.parquet").select("text")
+    texts = fx.table(spark, sf, "documents", heavy=True).select("text").unionByName(
+        fx.table(spark, sf, "conversations", heavy=True).select("text")
     )
     return texts.select(F.md5("text").alias("text_md5"), text.remove_accents(F.col("text")).alias("plain"))
 
@@ -187,7 +187,7 @@ def clean_coordinates(spark, sf):
 
 def json_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     schema = "event_id BIGINT, event_type STRING, user_id BIGINT"
-    lines = fx.view(spark, sf, fx.JSON_LINES)
+    lines = fx.view(spark, sf, fx.JSON_LINES, heavy=True)
     return readers.parse_ndjson(lines, "line", schemas.T.StructType.fromDDL(schema))
 
 
@@ -207,7 +207,7 @@ def load_summary(spark, sf):
 
 
 def mapped(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    raw = fx.view(spark, sf, fx.RAW_DOCUMENTS)
+    raw = fx.view(spark, sf, fx.RAW_DOCUMENTS, heavy=True)
     location = F.struct("lon", "lat").alias("location")
     nested = raw.withColumn("housenumbers", F.array(F.struct("number", location)))
     return mapping.apply_mapping(
@@ -234,7 +234,7 @@ def apply_mapping_rejects(spark, sf):
 
 @query
 def keyword_fields(spark, sf):
-    table = spark.read.parquet(f"{sf}/documents.parquet")
+    table = fx.table(spark, sf, "documents")
     limits = {"text": schemas.keyword_limits(schemas.INDEX_MAPPING)["name"]}
     return mapping.with_keywords(table, limits).select("doc_id", "text_keyword")
 
@@ -247,7 +247,7 @@ def utm_project(spark, sf):
 
 @query
 def polygon_centroid(spark, sf):
-    center = shapes.centroid(F.col("geometry"))
+    center = shapes.centroid("geometry")
     return fx.metric_lots(spark, sf).withColumn("c", center).select(
         "lot_id", scaled(F.col("c.x"), 1e3).alias("x_mm"), scaled(F.col("c.y"), 1e3).alias("y_mm")
     )
@@ -287,16 +287,16 @@ def hex_index(spark, sf):
     places = fx.view(spark, sf, fx.PLACES)
     return places.select(
         "c_custkey",
-        hexgrid.hex_cell(F.col("lon"), F.col("lat"), 8).alias("cell"),
-        hexgrid.hex_cell(F.col("lon"), F.col("lat"), 7).alias("cell_7"),
+        hexgrid.hex_cell("lon", "lat", 8).alias("cell"),
+        hexgrid.hex_cell("lon", "lat", 7).alias("cell_7"),
     )
 
 
 @query
 def hex_boundary(spark, sf):
     places = fx.view(spark, sf, fx.PLACES)
-    ring = hexgrid.hex_boundary(hexgrid.hex_cell(F.col("lon"), F.col("lat")))
-    return places.select("c_custkey", F.posexplode(ring).alias("corner", "v")).select(
+    cells = places.withColumn("cell", hexgrid.hex_cell("lon", "lat"))
+    return cells.select("c_custkey", F.posexplode(hexgrid.hex_boundary("cell")).alias("corner", "v")).select(
         "c_custkey", F.col("corner").cast("bigint").alias("corner"),
         scaled(F.col("v.x"), 1e7).alias("lon_e7"), scaled(F.col("v.y"), 1e7).alias("lat_e7"),
     )
@@ -311,7 +311,7 @@ def hex_shapes(spark, sf):
 
 @query
 def hex_multi_shapes(spark, sf):
-    corners = fx.view(spark, sf, fx.LOT_CORNERS)
+    corners = fx.view(spark, sf, fx.LOT_CORNERS, heavy=True)
     part = F.array(F.array(*fx.corners()))
     shifted = F.array(F.transform(part[0], lambda v: shapes.vertex(v.x + 0.5, v.y - 0.25)))
     pairs = corners.withColumn("geometry", shapes.shape("MultiPolygon", F.array(part, shifted)))
