@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from addrspark.functions.once import evaluate_once
 from addrspark.functions.text import keyword, real_number, whole_number
 
 
@@ -68,12 +69,17 @@ def apply_mapping(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataF
             raise ValueError(f"{f.name!r} is {have[f.name].simpleString()}, the mapping wants an array")
     lost = {f.name: _lost(F.col(f.name), f.dataType, have[f.name]) for f in schema.fields if f.name in have}
     terms = [F.when(term, F.lit(name)) for name, term in lost.items() if term is not None]
-    tried = df.withColumn("misfits", F.concat_ws(",", *terms) if terms else F.lit(""))
-    fitted = [
-        (_fitted(F.col(f.name), f.dataType, have[f.name]) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+    made = {
+        f"fitted_{f.name}": _fitted(F.col(f.name), f.dataType, have[f.name])
+        if f.name in have
+        else F.lit(None).cast(f.dataType)
         for f in schema.fields
-    ]
-    good = tried.filter(F.col("misfits") == "").select(*fitted)
+    }
+    made["misfits"] = F.concat_ws(",", *terms) if terms else F.lit("")
+    tried = evaluate_once(df, made)
+    good = tried.filter(F.col("misfits") == "").select(
+        *[F.col(f"fitted_{f.name}").alias(f.name) for f in schema.fields]
+    )
     reason = F.concat(F.lit("does not fit: "), F.col("misfits"))
     rejects = tried.filter(F.col("misfits") != "").select(*df.columns, reason.alias("reason"))
     return good, rejects

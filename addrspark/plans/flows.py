@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from addrspark.functions.once import evaluate_once
 from addrspark.functions.projection import shape_to_utm
 from addrspark.functions.shapes import point
 from addrspark.functions.text import parse_coordinate
@@ -67,8 +68,9 @@ def clean_points(sheet: DataFrame, lon: str, lat: str) -> DataFrame:
     """Rows with usable coordinate text as points; the two columns become numbers."""
     named = text_column_names(sheet)
     require_columns(named, lon, lat)
-    numbers = named.withColumns({lon: parse_coordinate(F.col(lon)), lat: parse_coordinate(F.col(lat))})
-    return numbers.dropna(subset=[lon, lat]).withColumn("geometry", point(F.col(lon), F.col(lat)))
+    parsed = evaluate_once(named, {"x": parse_coordinate(F.col(lon)), "y": parse_coordinate(F.col(lat))})
+    numbers = parsed.dropna(subset=["x", "y"]).withColumns({lon: F.col("x"), lat: F.col("y")}).drop("x", "y")
+    return numbers.withColumn("geometry", point(F.col(lon), F.col(lat)))
 
 
 def build_points(

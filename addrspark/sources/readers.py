@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from addrspark.functions.once import evaluate_once
 from addrspark.functions.wkb import decode_shapes
 from addrspark.operators.checks import pick_column
 from addrspark.schemas import DISTRICT_SHEET
@@ -38,10 +39,10 @@ def parse_ndjson(lines: DataFrame, column: str, schema: T.StructType) -> tuple[D
     others = [c for c in lines.columns if c != column]
     wide = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType(), True)])
     options = {**_STRICT, "columnNameOfCorruptRecord": _BROKEN}
-    parsed = lines.withColumn("row", F.from_json(F.col(column), wide, options))
-    whole = _is_json(F.col(column))
-    good = whole & F.col(f"row.{_BROKEN}").isNull()
-    reason = F.when(whole, F.lit("wrong type")).otherwise(F.lit("invalid JSON"))
+    line = F.col(column)
+    parsed = evaluate_once(lines, {"row": F.from_json(line, wide, options), "whole": _is_json(line)})
+    good = F.col("whole") & F.col(f"row.{_BROKEN}").isNull()
+    reason = F.when(F.col("whole"), F.lit("wrong type")).otherwise(F.lit("invalid JSON"))
     return (
         parsed.filter(good).select(*others, *[F.col("row").getField(f.name).alias(f.name) for f in schema.fields]),
         parsed.filter(~good).select(*others, F.col(column).alias("line"), reason.alias("reason")),
