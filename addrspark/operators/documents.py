@@ -20,21 +20,44 @@ MAX_ITEMS = 10_000
 def collect_in_parts(
     rows: DataFrame, keys: list[str], item: Column, alias: str, max_items: int = MAX_ITEMS
 ) -> DataFrame:
-    """One row per key with the sorted array of its items; ``part`` is 0.
+    """One row per key with the sorted array of its items (none of them null); ``part`` is 0.
 
     A key with more than ``max_items`` items becomes several rows with different ``part``, which
-    together hold every item once. The items of the heaviest keys are spread by hash, so neither a task
-    nor an array grows with the largest key; other keys are cut into consecutive runs.
+    together hold every item once, so no array outgrows a row. The heaviest keys take the path of
+    ``_spread_heavy``; without such keys its broadcast list is empty and adaptive execution drops that
+    path before scanning. Other keys are cut into consecutive runs.
     """
     items = rows.select(*keys, item.alias("item"))
     heavy = F.broadcast(heavy_keys(items, keys, max_items))
-    slots = F.ceil(F.coalesce(F.col("key_rows"), F.lit(1)) / F.lit(max_items))
-    spread = null_safe_join(items, heavy, keys, "left").select(*keys, "item", slots.alias("slots")).withColumn(
-        "slot", F.when(F.col("slots") > 1, F.pmod(F.xxhash64("item"), F.col("slots"))).otherwise(F.lit(0))
+    ordinary = null_safe_join(items, heavy, keys, "left_anti")
+    ordinary = ordinary.select("*", F.lit(0).cast("bigint").alias("slot"), F.lit(1).cast("bigint").alias("slots"))
+    spread = _spread_heavy(null_safe_join(items, heavy, keys, "inner"), keys, max_items)
+    return _runs(ordinary, keys, alias, max_items).unionByName(_runs(spread, keys, alias, max_items))
+
+
+def _spread_heavy(rows: DataFrame, keys: list[str], max_items: int) -> DataFrame:
+    """Assign the items of heavy keys to slots of about ``max_items`` by hash.
+
+    Equal items first collapse map-side to (item, copies); long series of copies are cut, so that they
+    spread as well, and written out again only behind the shuffle.
+    """
+    copies = rows.groupBy(*keys, "key_rows", "item").agg(F.count(F.lit(1)).alias("copies"))
+    last = F.floor((F.col("copies") - 1) / F.lit(max_items))
+    series = copies.withColumn("series", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    slots = F.ceil(F.col("key_rows") / F.lit(max_items))
+    length = F.least(F.lit(max_items), F.col("copies") - F.col("series") * max_items).cast("int")
+    placed = series.withColumns({"slots": slots, "length": length}).withColumn(
+        "slot", F.pmod(F.xxhash64("item", "series"), F.col("slots"))
     )
+    moved = placed.select(*keys, "item", "slot", "slots", "length").repartition(*keys, "slots", "slot")
+    return moved.select(*keys, "slot", "slots", F.explode(F.array_repeat("item", F.col("length"))).alias("item"))
+
+
+def _runs(rows: DataFrame, keys: list[str], alias: str, max_items: int) -> DataFrame:
+    """Collect each (key, slot) into sorted arrays of at most ``max_items``."""
     position = F.row_number().over(Window.partitionBy(*keys, "slots", "slot").orderBy("item")) - 1
     return (
-        spread.withColumn("run", F.floor(position / F.lit(max_items)))
+        rows.withColumn("run", F.floor(position / F.lit(max_items)))
         .groupBy(*keys, "slots", "slot", "run")
         .agg(F.sort_array(F.collect_list("item")).alias(alias))
         .select(*keys, (F.col("run") * F.col("slots") + F.col("slot")).cast("bigint").alias("part"), alias)

@@ -20,14 +20,16 @@ def patch_documents(
     fields = [c for c in patches.columns if c != key]
     require_columns(documents, key, *fields)
     renamed = patches.withColumnsRenamed({f: f"new_{f}" for f in fields}).withColumn("patched", F.lit(True))
-    joined = documents.join(broadcast_if_small(renamed), key, "left")
+    renamed = broadcast_if_small(renamed)
+    joined = documents.join(renamed, key, "left")
     updated = joined.select(
         *[
             F.when(F.col("patched"), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c)
             for c in documents.columns
         ]
     )
-    unknown = patches.join(documents.select(key).distinct(), key, "left_anti")
+    found = documents.select(key).join(renamed.select(key), key, "left_semi").distinct()
+    unknown = patches.join(found, key, "left_anti")
     if strict:
         example = unknown.select(key).head(1)
         if example:

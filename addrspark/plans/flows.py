@@ -50,27 +50,29 @@ def build_address_points(
     """Lots and roads in degrees to one frontage point per lot, in UTM metres."""
 
     def metres(path: str) -> DataFrame:
-        shapes, _ = readers.read_shapes(spark, path)
+        shapes, _ = readers.read_shapes(spark, path, "geometry")
         return shapes.withColumn("geometry", shape_to_utm("geometry", zone))
 
     points = address_points(metres(lots_path), metres(roads_path), key)
     writers.write_shapes(points.withColumn("geometry", point(F.col("x"), F.col("y"))), out)
 
 
-def index_shapes(spark: SparkSession, shapes_path: str, out: str, resolution: int = 8) -> None:
+def index_shapes(
+    spark: SparkSession, shapes_path: str, out: str, resolution: int = 8, geometry: str = "geometry"
+) -> None:
     """Shapes to hexagon cells; the geometry becomes the hexagon."""
-    shapes, _ = readers.read_shapes(spark, shapes_path)
-    indexed, _ = hex_indexed(shapes, resolution=resolution)
-    writers.write_shapes(indexed, out)
+    shapes, _ = readers.read_shapes(spark, shapes_path, geometry)
+    indexed, _ = hex_indexed(shapes, geometry, resolution)
+    writers.write_shapes(indexed, out, geometry)
 
 
 def clean_points(sheet: DataFrame, lon: str, lat: str) -> DataFrame:
     """Rows with usable coordinate text as points; the two columns become numbers."""
     named = text_column_names(sheet)
     require_columns(named, lon, lat)
-    parsed = evaluate_once(named, {"x": parse_coordinate(F.col(lon)), "y": parse_coordinate(F.col(lat))})
-    numbers = parsed.dropna(subset=["x", "y"]).withColumns({lon: F.col("x"), lat: F.col("y")}).drop("x", "y")
-    return numbers.withColumn("geometry", point(F.col(lon), F.col(lat)))
+    parsed = evaluate_once(named, {"clean_x": parse_coordinate(F.col(lon)), "clean_y": parse_coordinate(F.col(lat))})
+    numbers = parsed.dropna(subset=["clean_x", "clean_y"]).withColumns({lon: F.col("clean_x"), lat: F.col("clean_y")})
+    return numbers.drop("clean_x", "clean_y").withColumn("geometry", point(F.col(lon), F.col(lat)))
 
 
 def build_points(

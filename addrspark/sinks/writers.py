@@ -18,13 +18,17 @@ def write_ndjson(df: DataFrame, path: str, sort: list[str] | None = None, mode:
     ordered.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def write_duplicate_groups(split: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with header in one folder per ``dup_group``; no folder without rows.
+def write_duplicate_groups(
+    split: DataFrame, path: str, sort: list[str] | None = None, mode: str = "errorifexists"
+) -> None:
+    """CSV with header in one folder per ``dup_group``, each file in ``sort`` order; no folder without rows.
 
     The rebalance hint lets adaptive execution cut the low groups, which hold most rows, into several
     files.
     """
     balanced = split.hint("rebalance", "dup_group")
+    if sort:
+        balanced = balanced.sortWithinPartitions("dup_group", *sort)
     balanced.write.mode(mode).partitionBy("dup_group").option("header", True).csv(path)
 
 

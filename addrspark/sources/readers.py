@@ -23,7 +23,8 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 def spread(df: DataFrame) -> DataFrame:
     """Give every core rows when a small input has fewer splits than there are cores.
 
-    For work that is heavy per row. Inputs with enough splits pass unchanged, without a shuffle.
+    For work that is heavy per row, on frames straight from a scan (counting the partitions of others
+    would run their shuffles). Inputs with enough splits pass unchanged, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
@@ -79,10 +80,13 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     raise ValueError(f"unsupported file type: {path!r} is not .ndjson, .json, .parquet or .csv")
 
 
-def read_shapes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(rows with a decoded ``geometry`` or ``geom`` column, rows with invalid bytes)."""
+def read_shapes(spark: SparkSession, path: str, geometry: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows with the shape column decoded, rows with invalid bytes).
+
+    The column is ``geometry`` or ``geom`` unless named.
+    """
     df = spark.read.parquet(path)
-    return decode_shapes(df, pick_column(df, "geometry", "geom"))
+    return decode_shapes(df, pick_column(df, *([geometry] if geometry else ["geometry", "geom"])))
 
 
 def register(df: DataFrame, name: str, reused: bool = False) -> DataFrame:
