@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from addrspark.functions import text
+from addrspark.functions.once import evaluate_once
 from addrspark.functions.shapes import centroid
 from addrspark.functions.wkb import decoded
 from addrspark.operators.checks import pick_column, require_columns
-from addrspark.operators.dedup import last_wins, unique_doors
+from addrspark.operators.dedup import door_rows, last_wins, unique_doors
 from addrspark.operators.skew import broadcast_if_small, heavy_keys, null_safe_join
 from addrspark.schemas import DOCUMENT_SCALARS
 
@@ -18,7 +19,12 @@ MAX_ITEMS = 10_000
 
 
 def collect_in_parts(
-    rows: DataFrame, keys: list[str], item: Column, alias: str, max_items: int = MAX_ITEMS
+    rows: DataFrame,
+    keys: list[str],
+    item: Column,
+    alias: str,
+    max_items: int = MAX_ITEMS,
+    census: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key with the sorted array of its items (none of them null); ``part`` is 0.
 
@@ -26,9 +32,12 @@ def collect_in_parts(
     together hold every item once, so no array outgrows a row. The heaviest keys take the path of
     ``_spread_heavy``; without such keys its broadcast list is empty and adaptive execution drops that
     path before scanning. Other keys are cut into consecutive runs.
+
+    ``census`` may name a frame with the same keys that is cheaper to count than ``rows`` and has no
+    fewer rows of any key.
     """
     items = rows.select(*keys, item.alias("item"))
-    heavy = F.broadcast(heavy_keys(items, keys, max_items))
+    heavy = F.broadcast(heavy_keys(items if census is None else census, keys, max_items).select(*keys))
     ordinary = null_safe_join(items, heavy, keys, "left_anti")
     ordinary = ordinary.select("*", F.lit(0).cast("bigint").alias("slot"), F.lit(1).cast("bigint").alias("slots"))
     spread = _spread_heavy(null_safe_join(items, heavy, keys, "inner"), keys, max_items)
@@ -36,17 +45,18 @@ def collect_in_parts(
 
 
 def _spread_heavy(rows: DataFrame, keys: list[str], max_items: int) -> DataFrame:
-    """Assign the items of heavy keys to slots of about ``max_items`` by hash.
+    """Assign the items of heavy keys (at most MAX_HEAVY_KEYS) to slots of about ``max_items`` by hash.
 
     Equal items first collapse map-side to (item, copies); long series of copies are cut, so that they
     spread as well, and written out again only behind the shuffle.
     """
-    copies = rows.groupBy(*keys, "key_rows", "item").agg(F.count(F.lit(1)).alias("copies"))
+    slots = F.ceil(F.count(F.lit(1)) / F.lit(max_items))
+    counted = F.broadcast(rows.groupBy(*keys).agg(slots.alias("slots")))
+    copies = rows.groupBy(*keys, "item").agg(F.count(F.lit(1)).alias("copies"))
     last = F.floor((F.col("copies") - 1) / F.lit(max_items))
     series = copies.withColumn("series", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    slots = F.ceil(F.col("key_rows") / F.lit(max_items))
     length = F.least(F.lit(max_items), F.col("copies") - F.col("series") * max_items).cast("int")
-    placed = series.withColumns({"slots": slots, "length": length}).withColumn(
+    placed = null_safe_join(series.withColumn("length", length), counted, keys, "inner").withColumn(
         "slot", F.pmod(F.xxhash64("item", "series"), F.col("slots"))
     )
     moved = placed.select(*keys, "item", "slot", "slots", "length").repartition(*keys, "slots", "slot")
@@ -103,6 +113,7 @@ def street_documents(
         house(text.number_text(unique, "numpuerta"), F.col("lon"), F.col("lat")),
         "housenumbers",
         max_items,
+        census=door_rows(doors),
     )
     return _document(with_district(grouped, broadcast_if_small(districts), "left", context=True))
 
@@ -114,7 +125,9 @@ def door_maps(doors: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
         text.number_text(unique, "numpuerta").alias("key"),
         F.struct("lon", "lat").alias("value"),
     )
-    grouped = collect_in_parts(unique, ["id_via", "name", "postcode"], entry, "entries", max_items)
+    grouped = collect_in_parts(
+        unique, ["id_via", "name", "postcode"], entry, "entries", max_items, census=door_rows(doors)
+    )
     return grouped.select(
         "id_via", "name", "postcode", F.map_from_entries("entries").alias("housenumbers"), "part"
     )
@@ -243,12 +256,15 @@ def sorted_names(
     A row with any null is dropped first. Every column is stripped, so a text of blanks only becomes
     ``""`` and stays. Repeated names collapse map-side before accents are looked at.
     """
-    stripped = df.dropna("any").select(
-        text.strip(F.col(group)).alias("group"), text.strip(F.col(name)).alias("name")
-    )
-    clean = stripped.distinct().select(
-        text.remove_accents(F.col("group")).alias(group_alias), text.remove_accents(F.col("name")).alias("name")
-    )
+    # The optimizer would drop the first of two distincts; the generator between them keeps it.
+    raw = df.dropna("any").select(F.col(group).alias("raw_group"), F.col(name).alias("raw_name")).distinct()
+    clean = evaluate_once(
+        raw,
+        {
+            group_alias: text.remove_accents(text.strip(F.col("raw_group"))),
+            "name": text.remove_accents(text.strip(F.col("raw_name"))),
+        },
+    ).select(group_alias, "name")
     return collect_in_parts(clean.distinct(), [group_alias], F.col("name"), names_alias, max_items)
 
 

@@ -161,11 +161,9 @@ def ubigeo_last_wins(spark, sf):
 
 @query
 def provinces_by_department(spark, sf):
-    sheet = fx.table(spark, sf, "documents", heavy=True).select(
-        F.col("lang").alias("Departamento"),
-        F.explode(F.transform(F.split("text", " "), lambda w: F.concat(F.lit(" "), w, F.lit("\xa0 ")))).alias(
-            "Provincia"
-        ),
+    words = fx.table(spark, sf, "documents", heavy=True).select("lang", F.explode(F.split("text", " ")).alias("word"))
+    sheet = words.select(
+        F.col("lang").alias("Departamento"), F.concat(F.lit(" "), "word", F.lit("\xa0 ")).alias("Provincia")
     )
     names = documents.sorted_names(sheet, "Departamento", "Provincia", "departamento", "provincias")
     return names.select("departamento", F.explode("provincias").alias("provincia"))
