@@ -37,7 +37,7 @@ def heavy_keys(df: DataFrame, keys: list[str], more_than: int) -> DataFrame:
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:
     """Mark ``df`` for broadcast after measuring that it is small; otherwise return it unchanged.
 
-    Looks at no more than ``max_rows + 1`` rows. An unmarked side is joined by shuffle, where adaptive
+    The measure is one distributed aggregate. An unmarked side is joined by shuffle, where adaptive
     execution splits skewed partitions.
     """
     widths = [
@@ -50,6 +50,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int =
     nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     widths += [F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{n}`")))), F.lit(0)) for n in nested]
     size = reduce(Column.__add__, widths).cast("bigint")
-    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).first()
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).first()
     small = found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes
     return F.broadcast(df) if small else df

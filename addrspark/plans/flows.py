@@ -15,6 +15,7 @@ from addrspark.operators.checks import require_columns, text_column_names
 from addrspark.operators.mapping import apply_mapping
 from addrspark.operators.spatial import address_points, hex_indexed
 from addrspark.schemas import DOCUMENT, DOCUMENT_FIELDS, LOTS
+from addrspark.session import settled
 from addrspark.sinks import writers
 from addrspark.sources import readers
 
@@ -47,13 +48,16 @@ def build_block_documents(
 def build_address_points(
     spark: SparkSession, lots_path: str, roads_path: str, out: str, key: str = "lot_id", zone: int = 18
 ) -> None:
-    """Lots and roads in degrees to one frontage point per lot, in UTM metres."""
+    """Lots and roads in degrees to one frontage point per lot, in UTM metres.
+
+    Lots are read by two joins, so decoding and projecting them is settled first.
+    """
 
     def metres(path: str) -> DataFrame:
         shapes, _ = readers.read_shapes(spark, path, "geometry")
         return shapes.withColumn("geometry", shape_to_utm("geometry", zone))
 
-    points = address_points(metres(lots_path), metres(roads_path), key)
+    points = address_points(settled(metres(lots_path).select(key, "geometry")), metres(roads_path), key)
     writers.write_shapes(points.withColumn("geometry", point(F.col("x"), F.col("y"))), out)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+PARTITION_BYTES = 128 << 20
+
 
 def build_session(app: str = "addrspark", master: str | None = None, **extra: str) -> SparkSession:
     """A session with adaptive execution on; ``extra`` uses ``__`` for dots in setting names."""
@@ -26,3 +28,30 @@ def build_session(app: str = "addrspark", master: str | None = None, **extra: st
     for name, value in extra.items():
         builder = builder.config(name.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set the number of shuffle partitions so that each takes about 128 MiB of the input.
+
+    Adaptive execution merges partitions that turn out small, but never makes more than it was given:
+    the default of 200 would put 500 GB of a 100 TB input into each.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    wanted = max(cores, -(-input_bytes // PARTITION_BYTES))
+    rounded = -(-wanted // cores) * cores
+    spark.conf.set("spark.sql.shuffle.partitions", str(rounded))
+    return rounded
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Compute a frame that is read more than once only once, in the cluster's shared checkpoint folder.
+
+    The folder is the session's ``spark.checkpoint.dir`` (or one set on the context). Without one the
+    frame stays lazy and is computed again for every reader.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder and not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return df.checkpoint() if context.getCheckpointDir() else df

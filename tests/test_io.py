@@ -13,6 +13,7 @@ from addrspark.functions import wkb
 from addrspark.functions.shapes import point
 from addrspark.operators import documents, mapping, patch
 from addrspark.plans import flows
+from addrspark.session import settled, size_shuffles
 from addrspark.sinks import writers
 from addrspark.sources import readers
 
@@ -248,6 +249,25 @@ def test_address_point_flow(spark, tmp_path):
     assert struct.unpack_from("<dd", row.geometry, 5) == (row.x, row.y)
 
 
+def test_settled_uses_the_checkpoint_folder(spark):
+    df = spark.range(5).withColumn("x", F.lit(1))
+    kept = settled(df)
+    if spark.sparkContext.getCheckpointDir():
+        assert "Scan ExistingRDD" in kept._jdf.queryExecution().executedPlan().toString()
+    else:
+        assert kept is df
+    assert kept.count() == 5
+
+
+def test_shuffles_grow_with_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 1) == 8
+        assert size_shuffles(spark, 100 * 10**12) >= 700_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_hexagon_flow(spark, tmp_path):
     shapes, out = str(tmp_path / "shapes"), str(tmp_path / "out")
     spark.createDataFrame([(1, "a", struct.pack("<BIdd", 1, 1, -77, -12))], "id int, kept string, geom binary").write.parquet(shapes)
