@@ -36,3 +36,10 @@ def outcome_counts(good: DataFrame, rejects: DataFrame) -> DataFrame:
         F.coalesce(F.sum("ok"), F.lit(0)).cast("bigint").alias("succeeded"),
         F.count_if(F.col("ok") == 0).alias("failed"),
     )
+
+
+def require_empty(rejects: DataFrame, what: str) -> None:
+    """The strict mode of any step that returns rejects: raise when there is one, showing it."""
+    found = rejects.head(1)
+    if found:
+        raise ValueError(f"{what}: {found[0].asDict()}")

@@ -86,7 +86,7 @@ def read_shapes(spark: SparkSession, path: str, geometry: str | None = None) ->
     The column is ``geometry`` or ``geom`` unless named.
     """
     df = spark.read.parquet(path)
-    return decode_shapes(df, pick_column(df, *([geometry] if geometry else ["geometry", "geom"])))
+    return decode_shapes(spread(df), pick_column(df, *([geometry] if geometry else ["geometry", "geom"])))
 
 
 def register(df: DataFrame, name: str, reused: bool = False) -> DataFrame:

@@ -348,7 +348,7 @@ def patch_unknown(spark, sf):
 @query
 def bulk_export_lines(spark, sf):
     lines = writers.bulk_lines(
-        streets(spark, sf), "calles", ["id_via", "name", "postcode", "part"], schemas.DOCUMENT_FIELDS
+        streets(spark, sf), "streets", ["id_via", "name", "postcode", "part"], schemas.DOCUMENT_FIELDS
     )
     pair = F.split("value", "\n")
     source = F.from_json(pair[1], as_text(schemas.DOCUMENT))

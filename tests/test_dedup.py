@@ -139,3 +139,6 @@ def test_checks(spark):
     assert checks.capped(spark.range(10), 3).count() == 3 and checks.capped(df, None) is df
     assert checks.outcome_counts(spark.range(3), spark.range(0)).first() == (3, 0)
     assert checks.outcome_counts(spark.range(0), spark.range(0)).first() == (0, 0)
+    checks.require_empty(spark.range(0), "none")
+    with pytest.raises(ValueError, match="bad rows"):
+        checks.require_empty(spark.range(1), "bad rows")

@@ -90,17 +90,17 @@ def test_json_array(spark, tmp_path, n):
 def test_bulk_export_in_chunks(spark, tmp_path):
     out = str(tmp_path / "bulk")
     docs = spark.range(10).select(F.col("id").alias("id_via"), F.lit("ñ").alias("name")).coalesce(1)
-    writers.bulk_export(docs, out, "calles", chunk_size=4, id_keys=["id_via"])
+    writers.bulk_export(docs, out, "streets", chunk_size=4, id_keys=["id_via"])
     chunks = [open(f, encoding="utf-8").read().splitlines() for f in sorted(glob.glob(f"{out}/part-*"))]
     assert sorted(len(c) for c in chunks) == [4, 8, 8]
     pairs = [(json.loads(c[i]), json.loads(c[i + 1])) for c in chunks for i in range(0, len(c), 2)]
     assert {s["id_via"] for _, s in pairs} == set(range(10))
-    assert all(a["index"]["_index"] == "calles" for a, _ in pairs)
+    assert all(a["index"]["_index"] == "streets" for a, _ in pairs)
     ids = {s["id_via"]: a["index"]["_id"] for a, s in pairs}
-    again = writers.bulk_lines(docs.repartition(3), "calles", ["id_via"]).collect()
+    again = writers.bulk_lines(docs.repartition(3), "streets", ["id_via"]).collect()
     assert {json.loads(r.value.split("\n")[0])["index"]["_id"] for r in again} == set(ids.values())
-    plain = writers.bulk_lines(docs, "calles").first().value.split("\n")[0]
-    assert json.loads(plain) == {"index": {"_index": "calles"}}
+    plain = writers.bulk_lines(docs, "streets").first().value.split("\n")[0]
+    assert json.loads(plain) == {"index": {"_index": "streets"}}
 
 
 def test_mapping_schema():
@@ -166,7 +166,7 @@ def test_street_flow_and_load(spark, tmp_path):
         ],
         schemas.DOORS,
     ).write.parquet(doors)
-    out = str(tmp_path / "calles")
+    out = str(tmp_path / "streets")
     flows.build_street_documents(spark, doors, districts(spark, tmp_path), out)
     docs = {d["id_via"]: d for d in map(json.loads, text_lines(out))}
     assert list(docs[1]) == schemas.DOCUMENT_FIELDS
@@ -185,14 +185,14 @@ def test_street_flow_and_load(spark, tmp_path):
     broken = tmp_path / "extra.ndjson"
     broken.write_text("\n".join([*text_lines(out), "{oops", '{"id_via": "x"}']) + "\n", encoding="utf-8")
     schema = schemas.schema_from_mapping(schemas.INDEX_MAPPING)
-    spark.sql("DROP TABLE IF EXISTS calles_test")
+    spark.sql("DROP TABLE IF EXISTS streets_test")
     for n in (1, 2):
-        counts = flows.load_documents(spark, str(broken), "calles_test", schema, str(tmp_path / f"rejects{n}"))
+        counts = flows.load_documents(spark, str(broken), "streets_test", schema, str(tmp_path / f"rejects{n}"))
         assert counts == {"succeeded": 2, "failed": 2}
-        assert spark.table("calles_test").count() == 2 * n
+        assert spark.table("streets_test").count() == 2 * n
     assert {json.loads(x)["reason"] for x in text_lines(tmp_path / "rejects1")} == {"invalid JSON", "does not fit: id_via"}
-    assert not writers.create_index_table(spark, "calles_test", schema)
-    spark.sql("DROP TABLE calles_test")
+    assert not writers.create_index_table(spark, "streets_test", schema)
+    spark.sql("DROP TABLE streets_test")
 
 
 def test_block_flow(spark, tmp_path):
