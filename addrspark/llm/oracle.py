@@ -12,3 +12,65 @@ WITH n AS (
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM r
 """
+
+ORACLE["op2_url_filters"] = r"""
+WITH p AS (
+  SELECT page_id,
+         CASE WHEN contains(url, '://') THEN translate(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+         CASE WHEN contains(url, '://') THEN regexp_extract(url, '^[\s\S]*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM pages
+), o AS (
+  SELECT doc_id, count(*) AS n, sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS good
+  FROM labels WHERE quality IS NOT NULL AND toxic IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id
+), h0 AS (
+  SELECT host, regexp_extract(host, '^(?:.*@)?([^@:]*)(?::[0-9]*)?$', 1) AS bare,
+         sum(coalesce(n, 0)) AS n, sum(coalesce(good, 0)) AS good
+  FROM p LEFT JOIN o ON p.page_id = o.doc_id GROUP BY host
+), h1 AS (
+  SELECT *, coalesce(nullif(regexp_extract(bare, '(?:^|\.)((?:ac|co|com|edu|gov|net|org)\.[a-z]{2})$', 1), ''),
+                     regexp_extract(bare, '[^.]*$')) AS suffix FROM h0
+), h2 AS (
+  SELECT *, regexp_extract(left(bare, greatest(length(bare) - length(suffix) - 1, 0)), '[^.]*$') AS label FROM h1
+), h AS (
+  SELECT host, suffix, n, good, CASE WHEN regexp_matches(bare, '^[0-9.]+$') THEN bare WHEN label = '' THEN suffix
+         ELSE label || '.' || suffix END AS domain FROM h2
+), g AS (SELECT coalesce(sum(good) / nullif(sum(n), 0), 0.5)::DOUBLE AS mean FROM h
+), s0 AS (SELECT suffix, sum(n) AS n, sum(good) AS good, (SELECT mean FROM g) AS mu FROM h GROUP BY suffix
+), s1 AS (SELECT *, greatest(least(mu, 0.999), 0.001) AS c FROM s0
+), sk AS (
+  SELECT 1 / greatest(least(coalesce(CASE WHEN sum(n - 1) > 0
+    THEN sum(n * (good / n - c) * (good / n - c) / (c * (1 - c)) - 1) / sum(n - 1) ELSE 0.1 END, 0.1), 0.5), 0.001) - 1 AS k
+  FROM s1 WHERE n > 0
+), s AS (SELECT suffix, ((SELECT k FROM sk) * mu + good) / ((SELECT k FROM sk) + n) AS mean FROM s1
+), d0 AS (
+  SELECT domain, h.suffix, sum(n) AS n, sum(good) AS good, any_value(s.mean) AS mu
+  FROM h JOIN s ON h.suffix = s.suffix GROUP BY domain, h.suffix
+), d1 AS (SELECT *, greatest(least(mu, 0.999), 0.001) AS c FROM d0
+), dk AS (
+  SELECT 1 / greatest(least(coalesce(CASE WHEN sum(n - 1) > 0
+    THEN sum(n * (good / n - c) * (good / n - c) / (c * (1 - c)) - 1) / sum(n - 1) ELSE 0.1 END, 0.1), 0.5), 0.001) - 1 AS k
+  FROM d1 WHERE n > 0
+), d AS (SELECT domain, suffix, ((SELECT k FROM dk) * mu + good) / ((SELECT k FROM dk) + n) AS mean FROM d1
+), e1 AS (
+  SELECT h.*, d.mean AS mu, greatest(least(d.mean, 0.999), 0.001) AS c
+  FROM h JOIN d ON h.domain = d.domain AND h.suffix = d.suffix
+), ek AS (
+  SELECT 1 / greatest(least(coalesce(CASE WHEN sum(n - 1) > 0
+    THEN sum(n * (good / n - c) * (good / n - c) / (c * (1 - c)) - 1) / sum(n - 1) ELSE 0.1 END, 0.1), 0.5), 0.001) - 1 AS k
+  FROM e1 WHERE n > 0
+), ab AS (
+  SELECT host, (SELECT k FROM ek) * mu + good AS a, (SELECT k FROM ek) * (1 - mu) + n - good AS b FROM e1
+), low AS (SELECT host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS low FROM ab
+), r(verdict, rule, rhost, rpath) AS (
+  VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
+         ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'),
+         ('block', 'com/de/', 'com', '/de/')
+), fit AS (
+  SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM p) q JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY host, path
+)
+SELECT page_id, p.host, p.path, fit.rule, coalesce(fit.verdict, CASE WHEN low >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict
+FROM p LEFT JOIN fit ON p.host = fit.host AND p.path = fit.path LEFT JOIN low ON p.host = low.host
+"""

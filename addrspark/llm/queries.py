@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from addrspark.llm import exact_dedup
+from addrspark.llm import exact_dedup, host_reputation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,3 +23,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query
 def op1_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op2_url_filters(spark, sf):
+    judged = host_reputation.judge_urls(table(spark, sf, "pages"), table(spark, sf, "labels"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
