@@ -74,3 +74,41 @@ WITH p AS (
 SELECT page_id, p.host, p.path, fit.rule, coalesce(fit.verdict, CASE WHEN low >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict
 FROM p LEFT JOIN fit ON p.host = fit.host AND p.path = fit.path LEFT JOIN low ON p.host = low.host
 """
+
+ORACLE["op7_sharding"] = r"""
+WITH t AS (  -- the table of the checksum, by its rule
+  SELECT list(list_reduce([n::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS tab FROM range(256) g(n)
+), d AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(doc_id::VARCHAR, '') AS k FROM documents
+), b AS (
+  SELECT doc_id, k, octet_length(encode(text)) + 8 AS size, hex(encode(text)) AS h FROM d
+), c AS (
+  SELECT doc_id, k, size, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+      list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)),
+      lambda a, x: xor(tab[(xor(a, x) & 255) + 1], a >> 8))) AS text_crc32
+  FROM b, t
+), r AS (
+  SELECT *, md5(k || '/r/0') AS m FROM c
+), r2 AS (
+  SELECT *, list_transform([1, 2, 3, 4], lambda i: ln((('0x' || substr(m, i * 8 - 7, 8))::BIGINT + 0.5) / 4294967296.0)) AS u FROM r
+), r3 AS (
+  SELECT *, CASE WHEN u[1] >= u[2] AND u[1] >= u[3] THEN 0 WHEN u[2] >= u[3] THEN 1 ELSE 2 END AS region,
+         u[4] > greatest(u[1], u[2], u[3]) * 0.125 AS moves
+  FROM r2
+), k AS (
+  SELECT *, md5(k || '/k/' || region || '/0') AS km FROM r3
+), k2 AS (
+  SELECT *, CASE WHEN substr(km, 1, 8) >= substr(km, 9, 8) THEN 0 ELSE 1 END AS rack FROM k
+), p AS (
+  SELECT *, md5(k || '/p/' || region || '/' || rack || '/0') AS pm FROM k2
+), p2 AS (
+  SELECT *, region * 8 + rack * 4
+    + list_position([substr(pm, 1, 8), substr(pm, 9, 8), substr(pm, 17, 8), substr(pm, 25, 8)],
+      greatest(substr(pm, 1, 8), substr(pm, 9, 8), substr(pm, 17, 8), substr(pm, 25, 8))) - 1 AS shard
+  FROM p
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, CASE WHEN moves THEN 24 ELSE shard END AS grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY substr(md5('slot/' || k), 1, 3), doc_id NULLS LAST, text_crc32, size) - 1 AS slot
+FROM p2
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from addrspark.llm import exact_dedup, host_reputation
+from addrspark.llm import exact_dedup, hash_tree, host_reputation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -29,3 +29,8 @@ def op1_exact_dedup(spark, sf):
 def op2_url_filters(spark, sf):
     judged = host_reputation.judge_urls(table(spark, sf, "pages"), table(spark, sf, "labels"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op7_sharding(spark, sf):
+    return hash_tree.assign_shards(table(spark, sf, "documents"))
