@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from addrspark.llm import exact_dedup, hash_tree, host_reputation
+from addrspark.llm import exact_dedup, hash_tree, host_reputation, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -34,3 +34,8 @@ def op2_url_filters(spark, sf):
 @query
 def op7_sharding(spark, sf):
     return hash_tree.assign_shards(table(spark, sf, "documents"))
+
+
+@query
+def op9_source_mixing(spark, sf):
+    return mixing.mix_sources(table(spark, sf, "documents"))
