@@ -81,14 +81,14 @@ def _mean(strength: Column, parent: Column) -> Column:
 
 
 def _strength(groups: DataFrame, parent: Column) -> Column:
-    """The prior strength of a level from the spread of its groups around their parents' means."""
+    """The prior strength of a level from the spread of its groups around their parents' means: one number."""
     clipped = F.greatest(F.least(parent, F.lit(0.999)), F.lit(0.001))
     rate = F.col("good") / F.col("n")
     ratio = F.col("n") * (rate - clipped) * (rate - clipped) / (clipped * (1 - clipped))
     pairs = F.sum(F.col("n") - 1)
     rho = F.when(pairs > 0, F.sum(ratio - 1) / pairs).otherwise(DEFAULT_RHO)
     rho = F.greatest(F.least(F.coalesce(rho, F.lit(DEFAULT_RHO)), F.lit(MOST_RHO)), F.lit(LEAST_RHO))
-    return groups.filter(F.col("n") > 0).agg((1 / rho - 1).alias("strength")).scalar()
+    return F.lit(groups.filter(F.col("n") > 0).agg((1 / rho - 1).alias("strength")).first()["strength"])
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) -> DataFrame:
@@ -107,7 +107,8 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) ->
     )
     hosts = written(counted, "hosts")
     sums = [F.sum("n").alias("n"), F.sum("good").alias("good")]
-    overall = hosts.agg(F.coalesce(F.sum("good") / F.nullif(F.sum("n"), F.lit(0)), F.lit(0.5)).alias("mean")).scalar()
+    mean = F.coalesce(F.sum("good") / F.nullif(F.sum("n"), F.lit(0)), F.lit(0.5))
+    overall = F.lit(hosts.agg(mean.alias("mean")).first()["mean"])
 
     suffixes = hosts.groupBy("suffix").agg(*sums)
     suffixes = suffixes.select("suffix", _mean(_strength(suffixes, overall), overall).alias("suffix_mean"))

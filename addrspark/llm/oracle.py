@@ -112,3 +112,57 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard, CASE WHEN moves THEN 24 EL
        row_number() OVER (PARTITION BY shard ORDER BY substr(md5('slot/' || k), 1, 3), doc_id NULLS LAST, text_crc32, size) - 1 AS slot
 FROM p2
 """
+
+ORACLE["op9_source_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         substr(md5('order/' || coalesce(doc_id::VARCHAR, '')), 1, 3) AS bucket
+  FROM documents
+), s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), s1 AS (SELECT *, row_number() OVER (ORDER BY encode(source) NULLS LAST) AS rank FROM s0
+), s2 AS (SELECT *, (rank - 1) % 3 + 1 AS weight, source_size * 3 AS most FROM s1
+), s3 AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY most / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM s2
+), s4 AS (SELECT *, max(CASE WHEN most / weight > level THEN level END) OVER () AS lev FROM s3
+), s5 AS (SELECT *, least(most::DOUBLE, coalesce(lev * weight, most::DOUBLE)) AS target FROM s4
+), s6 AS (
+  SELECT *, coalesce(floor(target + 0.5)::BIGINT // nullif(source_size, 0), 0) AS epochs,
+         coalesce(floor(target + 0.5)::BIGINT % nullif(source_size, 0), 0) AS rest, (source_size + 127) // 128 AS blocks
+  FROM s5
+), s7 AS (
+  SELECT *, blocks * 128 - source_size AS lack,
+         list_reduce([blocks - 1, 11, 10, 9, 8, 7, 6, 5, 4, 3, 2, 1, 0], lambda x, r:
+           CASE WHEN substr(md5(rank || '/' || epochs || '/' || r || '/' || greatest(x,
+             ((('0x' || substr(md5(rank || '/' || epochs || '/' || r), 1, 12))::BIGINT - x) % blocks + blocks) % blocks)), 1, 1) < '8'
+           THEN ((('0x' || substr(md5(rank || '/' || epochs || '/' || r), 1, 12))::BIGINT - x) % blocks + blocks) % blocks ELSE x END) AS short
+  FROM s6 WHERE source_size > 0
+), s8 AS (
+  SELECT *, CASE WHEN short < (rest + 127) // 128 THEN (rest + lack + 127) // 128 ELSE (rest + 127) // 128 END AS last_slots FROM s7
+), k AS (
+  SELECT rank, epochs, rest, blocks, lack, short, slot // blocks AS epoch, slot % blocks AS turn
+  FROM (SELECT *, unnest(range((epochs * blocks + last_slots)::BIGINT)) AS slot FROM s8)
+), k2 AS (
+  SELECT *, list_reduce([turn, 0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11], lambda x, r:
+           CASE WHEN substr(md5(rank || '/' || epoch || '/' || r || '/' || greatest(x,
+             ((('0x' || substr(md5(rank || '/' || epoch || '/' || r), 1, 12))::BIGINT - x) % blocks + blocks) % blocks)), 1, 1) < '8'
+           THEN ((('0x' || substr(md5(rank || '/' || epoch || '/' || r), 1, 12))::BIGINT - x) % blocks + blocks) % blocks ELSE x END) AS idx
+  FROM k
+), k3 AS (
+  SELECT rank, idx, 128 - CASE WHEN idx = blocks - 1 THEN lack ELSE 0 END AS whole, epoch, epochs,
+         rest - (turn * 128 - CASE WHEN turn > short THEN lack ELSE 0 END) AS remains FROM k2
+), slots AS (SELECT rank, idx, CASE WHEN epoch < epochs THEN whole ELSE least(whole, remains) END AS words FROM k3
+), p AS MATERIALIZED (
+  SELECT doc_id, rank, size, sum(size) OVER (PARTITION BY rank ORDER BY bucket, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) - size AS start,
+         row_number() OVER () AS line
+  FROM d JOIN s1 ON d.source IS NOT DISTINCT FROM s1.source
+), b AS (
+  SELECT line, rank, start, size, unnest(range((start // 128)::BIGINT, ((start + size - 1) // 128 + 1)::BIGINT)) AS idx FROM p WHERE size > 0
+), t AS (
+  SELECT line, sum(greatest(0, least(least(start + size, (idx + 1) * 128) - idx * 128, words) - (greatest(start, idx * 128) - idx * 128))) AS taken
+  FROM b JOIN slots USING (rank, idx) GROUP BY line
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM p JOIN s5 USING (rank) LEFT JOIN t ON p.line = t.line
+"""
