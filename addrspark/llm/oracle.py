@@ -166,3 +166,58 @@ WITH d AS (
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
 FROM p JOIN s5 USING (rank) LEFT JOIN t ON p.line = t.line
 """
+
+ORACLE["op5_license_scan"] = r"""
+WITH t(label, text, phrase) AS (
+  VALUES ('agpl-3.0', 'gnu affero general public license version 3', 'gnu affero general public license'),
+    ('apache-2.0', 'licensed under the apache license version 2 0', 'apache license version 2'),
+    ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted', 'source and binary forms'),
+    ('cc-by-nc-4.0', 'licensed under cc by nc 4 0', 'cc by nc'),
+    ('cc0-1.0', 'cc0 1 0 universal public domain dedication', 'cc0 1 0 universal'),
+    ('gpl-3.0', 'this work is licensed under the gnu general public license version 3', 'gnu general public license version 3'),
+    ('lgpl', 'gnu lesser general public license version', 'gnu lesser general public license'),
+    ('mit', 'released under the mit license', 'mit license'),
+    ('mit-grant', 'permission is hereby granted free of charge to any person obtaining a copy of this software',
+     'permission is hereby granted free of charge'),
+    ('mpl-2.0', 'mozilla public license version 2 0', 'mozilla public license'),
+    ('unlicense', 'this is free and unencumbered software released into the public domain', 'free and unencumbered software')
+), tw AS (
+  SELECT label, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) AS j,
+         len(string_split(split_part(text, phrase, 1), ' ')) AS key_at, string_split(phrase, ' ') AS key FROM t
+), d AS (
+  SELECT row_number() OVER () AS line, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), words AS MATERIALIZED (
+  SELECT line, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d
+), df AS (
+  SELECT word, count(DISTINCT line) AS n FROM words WHERE word IN (SELECT word FROM tw) GROUP BY word
+), total AS (SELECT count(*) AS n FROM documents
+), x AS (
+  SELECT tw.*, ln(1 + (total.n - coalesce(df.n, 0) + 0.5) / (coalesce(df.n, 0) + 0.5)) AS weight
+  FROM tw LEFT JOIN df USING (word), total
+), y AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY weight DESC, j) <= 3 AS rare, sum(weight) OVER (PARTITION BY label) AS mass FROM x
+), sp AS (  -- starts where the first word of a key phrase stands in its place
+  SELECT line, label, pos - key_at AS start, any_value(mass) AS mass FROM words JOIN y ON words.word = key[1] AND j = key_at
+  GROUP BY ALL
+), m AS (
+  SELECT a.line, a.label, a.start, sum(y.weight) / any_value(a.mass) AS share, count(*) FILTER (rare) AS votes,
+         count(*) FILTER (y.j >= y.key_at AND y.j < y.key_at + len(y.key)) = any_value(len(y.key)) AS held
+  FROM sp a JOIN y ON y.label = a.label JOIN words w ON w.line = a.line AND w.pos = a.start + y.j AND w.word = y.word
+  GROUP BY a.line, a.label, a.start
+), f AS (
+  SELECT line, list(DISTINCT label) AS more, max(share) AS share FROM m WHERE held AND votes >= 2 AND share >= 0.6 GROUP BY line
+), pairs AS (
+  SELECT line, pos, word, lead(word) OVER o AS word2, lead(word, 2) OVER o AS word3 FROM words WINDOW o AS (PARTITION BY line ORDER BY pos)
+), b AS (
+  SELECT line, pos - 1 AS start, CASE WHEN word = 'cc' THEN 'cc-by' WHEN word = 'all' THEN 'reserved' ELSE 'gpl' END AS label FROM pairs
+  WHERE word = 'cc' AND word2 = 'by' OR word = 'general' AND word2 = 'public' AND word3 = 'license'
+     OR word = 'all' AND word2 = 'rights' AND word3 = 'reserved'
+), c AS (SELECT line, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list(DISTINCT label) AS base FROM b GROUP BY line)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(more, [])))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE round(least(coalesce(share, 0.0), 1.0), 6) END::DOUBLE AS score
+FROM d LEFT JOIN c USING (line) LEFT JOIN f USING (line)
+"""

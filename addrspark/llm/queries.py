@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from addrspark.llm import exact_dedup, hash_tree, host_reputation, mixing
+from addrspark.llm import exact_dedup, hash_tree, host_reputation, license_scan, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -39,3 +39,8 @@ def op7_sharding(spark, sf):
 @query
 def op9_source_mixing(spark, sf):
     return mixing.mix_sources(table(spark, sf, "documents"))
+
+
+@query
+def op5_license_scan(spark, sf):
+    return license_scan.scan_licenses(table(spark, sf, "documents")).drop("places")
