@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from addrspark.llm import exact_dedup, hash_tree, host_reputation, license_scan, mixing
+from addrspark.llm import exact_dedup, hash_tree, host_reputation, license_scan, mixing, near_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,3 +44,8 @@ def op9_source_mixing(spark, sf):
 @query
 def op5_license_scan(spark, sf):
     return license_scan.scan_licenses(table(spark, sf, "documents")).drop("places")
+
+
+@query
+def op3_ngram_join(spark, sf):
+    return near_join.similar_texts(table(spark, sf, "documents"))
