@@ -221,3 +221,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_w
        CASE WHEN n_base > 0 THEN 1.0 ELSE round(least(coalesce(share, 0.0), 1.0), 6) END::DOUBLE AS score
 FROM d LEFT JOIN c USING (line) LEFT JOIN f USING (line)
 """
+
+ORACLE["op10_substring_dedup"] = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS line, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT line, doc_id, unnest(range(len(w) - 19)) AS start, w FROM d WHERE len(w) >= 20
+), h AS MATERIALIZED (
+  SELECT line, doc_id, start, md5(array_to_string(w[start + 1:start + 20], ' ')) AS words FROM s
+), r AS (
+  SELECT line, start, rank() OVER (PARTITION BY words ORDER BY doc_id NULLS LAST, start) > 1 AS again FROM h
+), g AS (
+  SELECT DISTINCT line, unnest(range(start, start + 20)) AS place FROM r WHERE again
+), l AS (
+  SELECT line, list(place) AS gone FROM g GROUP BY line
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i - 1)) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN l USING (line)
+"""

@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from addrspark.llm import exact_dedup, hash_tree, host_reputation, license_scan, mixing, near_join
+from addrspark.llm import (
+    exact_dedup,
+    hash_tree,
+    host_reputation,
+    license_scan,
+    mixing,
+    near_join,
+    substring_dedup,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -49,3 +57,8 @@ def op5_license_scan(spark, sf):
 @query
 def op3_ngram_join(spark, sf):
     return near_join.similar_texts(table(spark, sf, "documents"))
+
+
+@query
+def op10_substring_dedup(spark, sf):
+    return substring_dedup.remove_repeats(table(spark, sf, "documents")).drop("kept_text")
