@@ -113,7 +113,9 @@ def mixture_slots(targets: DataFrame, shards: int, block_words: int = BLOCK_WORD
     )
     first = F.col("chunk") * CHUNK_SLOTS
     last = F.least(first + CHUNK_SLOTS, F.col("total")) - 1
-    slots = chunks.repartition("rank", "chunk").select(*columns, F.explode(F.sequence(first, last)).alias("slot"))
+    # With a number given, adaptive execution does not merge the chunks, which are few but grow to many slots.
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = chunks.repartition(tasks, "rank", "chunk").select(*columns, F.explode(F.sequence(first, last)).alias("slot"))
     slots = slots.select(
         "*",
         F.floor(F.col("slot") / F.col("blocks")).alias("epoch"),
@@ -167,7 +169,8 @@ def block_pieces(placed: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame
 def taken_pieces(placed: DataFrame, targets: DataFrame, shards: int, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The mixture as parts of texts: shard, rank, start (of the text), epoch, offset (in the text), words."""
     slots = mixture_slots(targets, shards, block_words)
-    met = block_pieces(placed, block_words).join(slots, ["rank", "index"])
+    # The planner sees the few source rows that slots are made from and would broadcast them.
+    met = block_pieces(placed, block_words).join(slots.hint("merge"), ["rank", "index"])
     words = F.least(F.col("end"), F.col("words")) - F.col("begin")
     offset = F.col("index") * block_words + F.col("begin") - F.col("start")
     return met.filter(F.col("words") > F.col("begin")).select(
