@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from addrspark.llm import (
+    decontaminate,
     exact_dedup,
     hash_tree,
     host_reputation,
@@ -62,3 +64,14 @@ def op3_ngram_join(spark, sf):
 @query
 def op10_substring_dedup(spark, sf):
     return substring_dedup.remove_repeats(table(spark, sf, "documents")).drop("kept_text")
+
+
+@query
+def op8_decontamination(spark, sf):
+    marked = decontaminate.mark_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return marked.select(
+        "row.doc_id",
+        (F.size("items") > 0).alias("contaminated"),
+        F.col("items.item").alias("item_ids"),
+        F.coalesce(F.array_max("items.score"), F.lit(0.0)).alias("best_score"),
+    )
