@@ -3,12 +3,16 @@
 Two equal runs of 20 words, wherever they start, share a position modulo 13 at which the cover {0, 1, 3, 9}
 takes a hash of 8 words: any two residues have a pair of cover elements with their difference. So hashing
 the cover's positions alone (4 in 13) finds every anchor that a repeated passage can have. Anchors seen
-more than once extend to the windows of 20 words around them, and windows are compared exactly: of those
-with the same words all but the earliest go.
+more than once extend to the windows of 20 words around them, and of windows with the same words all but
+the earliest go.
 
-Both comparisons are a shuffle by hash and a sort. What a slice of a task already sees twice sends one row
+Windows are settled in two steps. Neighbouring ones between two cuts that the words themselves determine
+form a block; a block whose words stand earlier too settles all its windows at once. Only the windows of
+other blocks are compared one by one, among them the earliest of every repeated one.
+
+Each comparison is a shuffle by hash and a sort. What a slice of a task already sees twice sends one row
 for its hash; the rest travels under keys of its own, so a passage that a third of all texts share costs a
-row per slice.
+row per slice. Texts are moved once, by id; all steps read that exchange.
 """
 
 from __future__ import annotations
@@ -27,8 +31,11 @@ WINDOW = 20
 # A perfect difference set: every difference modulo 13 occurs once. Anchors must fit: 8 + 13 - 1 = 20 words.
 PERIOD, COVER = 13, (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
+# A word starts a block where the hash of its anchor is 0 modulo this.
+BLOCK_MEAN = 16
 # Low bits of a packed hash that hold the position; higher parts of a position are held apart or left open.
 PLACE_BITS = 16
+HASHED = "first bigint, packed bigint, id bigint, late boolean, high int"
 U64 = np.uint64
 LOW = (1 << PLACE_BITS) - 1
 
@@ -107,33 +114,93 @@ def _candidate_starts(words: W.Words, places: pa.Array) -> np.ndarray:
     return np.flatnonzero(np.cumsum(marks[:-1]) > 0)
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (first, packed, id, late, high) of candidate windows, the earliest of a slice for each hash.
+class _Blocks:
+    """Blocks of a slice: windows ``begin`` to ``end`` (not included) of one text, and two hashes of their words."""
 
-    The others of a slice repeat an earlier one; they have a negative ``packed``.
-    """
+    def __init__(self, words: W.Words):
+        hashes, at = W.gram_hashes(words, ANCHOR)
+        cuts = at[hashes % U64(BLOCK_MEAN) == 0]
+        row = np.searchsorted(words.first, cuts, "right") - 1
+        fits = row[1:] == row[:-1]
+        fits &= cuts[1:] + WINDOW - 1 <= words.first[row[1:] + 1]
+        self.begin, self.end = cuts[:-1][fits], cuts[1:][fits]
+        stop, size = self.end + WINDOW - 1, (self.end - self.begin).astype(U64)
+        self.first = W.mix(W._rolling(words.hashes, self.begin, stop, W._odd(31)) + size)
+        self.second = W.mix(W._rolling(W.mix(words.hashes + U64(37)), self.begin, stop, W._odd(37)) + size)
+
+    def settled(self, words: W.Words, places: pa.Array, firsts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, end) of the blocks named by place and hash in each row's lists."""
+        at, wanted = _listed(words, places, firsts)
+        k = np.minimum(np.searchsorted(self.begin, at), max(len(self.begin) - 1, 0))
+        hit = (self.begin[k] == at) & (self.first[k] == wanted) if len(self.begin) else np.zeros(len(at), bool)
+        return self.begin[k[hit]], self.end[k[hit]]
+
+
+def _listed(words: W.Words, places: pa.Array, firsts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(word position, hash) of the entries of each row's lists that lie inside its text."""
+    size = places.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(places)), size)
+    place = places.flatten().to_numpy().astype(np.int64)
+    fits = place + WINDOW <= np.diff(words.first)[row]
+    return (words.first[row] + place)[fits], firsts.flatten().to_numpy().view(U64)[fits]
+
+
+def _covered(size: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Positions below ``size`` inside any of the ranges."""
+    marks = np.zeros(size + 1, dtype=np.int64)
+    np.add.at(marks, begin, 1)
+    np.add.at(marks, end, -1)
+    return np.cumsum(marks[:-1]) > 0
+
+
+def _earliest_of_slice(
+    words: W.Words, at: np.ndarray, one: np.ndarray, more: np.ndarray, ids: np.ndarray, late: np.ndarray
+) -> pa.RecordBatch:
+    """Rows (first, packed, id, late, high) of hashed places; those that repeat an earlier one have a negative ``packed``."""
+    row, place = _spans(words, at)
+    ids, late = ids[row], late[row]
+    order = np.lexsort((place, ids, late, more, one))
+    one, more, ids, late, place = one[order], more[order], ids[order], late[order], place[order]
+    new = np.ones(len(one), dtype=bool)
+    new[1:] = (one[1:] != one[:-1]) | (more[1:] != more[:-1])
+    # Equal places of repeated rows are not later than each other.
+    run = np.maximum.accumulate(np.where(new, np.arange(len(one)), 0))
+    new |= (ids == ids[run]) & (place == place[run]) & (late == late[run])
+    packed = np.where(new, _pack(more, place), -1 - (place & LOW))
+    high = pa.array((place >> PLACE_BITS).astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(one.view(np.int64)), pa.array(packed), pa.array(ids), pa.array(late), high],
+        names=["first", "packed", "id", "late", "high"],
+    )
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, W.Words, np.ndarray, np.ndarray]]:
+    """(rows, words, ids, whether the given id is null) of each slice."""
     for batch in batches:
         for lo, hi in W.row_slices(batch.column("text")):
-            words = W.scan_words(batch.column("text").slice(lo, hi - lo), W.BLANK_SPLIT)
-            at = _candidate_starts(words, batch.column("places").slice(lo, hi - lo))
-            row, place = _spans(words, at)
-            one, more = _window_hashes(words, at), _window_hashes(words, at, seed=29)
-            ids, late = (batch.column(c).slice(lo, hi - lo).to_numpy(zero_copy_only=False)[row] for c in ("id", "late"))
-            order = np.lexsort((place, ids, late, more, one))
-            one, more, ids, late, place = one[order], more[order], ids[order], late[order], place[order]
-            new = np.ones(len(one), dtype=bool)
-            new[1:] = (one[1:] != one[:-1]) | (more[1:] != more[:-1])
-            # Equal places of repeated rows are not later than each other.
-            run = np.maximum.accumulate(np.where(new, np.arange(len(one)), 0))
-            new |= (ids == ids[run]) & (place == place[run]) & (late == late[run])
-            packed = np.where(new, _pack(more, place), -1 - (place & LOW))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(one.view(np.int64)), pa.array(packed), pa.array(ids), pa.array(late),
-                    pa.array((place >> PLACE_BITS).astype(np.int32)),
-                ],
-                names=["first", "packed", "id", "late", "high"],
-            )
+            rows = batch.slice(lo, hi - lo)
+            late = rows.column("out_id").is_null().to_numpy(zero_copy_only=False)
+            yield rows, W.scan_words(rows.column("text"), W.BLANK_SPLIT), rows.column("id").to_numpy(), late
+
+
+def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks whose windows are all candidates."""
+    for rows, words, ids, late in _slices(batches):
+        blocks = _Blocks(words)
+        able = np.zeros(len(words.hashes) + 1, dtype=np.int64)
+        able[1 + _candidate_starts(words, rows.column("places"))] = 1
+        upto = np.cumsum(able)
+        full = upto[blocks.end] - upto[blocks.begin] == blocks.end - blocks.begin
+        yield _earliest_of_slice(words, blocks.begin[full], blocks.first[full], blocks.second[full], ids, late)
+
+
+def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The candidate windows outside of blocks that stand earlier."""
+    for rows, words, ids, late in _slices(batches):
+        begin, end = _Blocks(words).settled(words, rows.column("block_places"), rows.column("block_firsts"))
+        at = _candidate_starts(words, rows.column("places"))
+        at = at[~_covered(len(words.hashes), begin, end)[at]]
+        yield _earliest_of_slice(words, at, _window_hashes(words, at), _window_hashes(words, at, seed=29), ids, late)
 
 
 def _window_hashes(words: W.Words, at: np.ndarray, seed: int = 17) -> np.ndarray:
@@ -144,8 +211,8 @@ def _window_hashes(words: W.Words, at: np.ndarray, seed: int = 17) -> np.ndarray
     return W.mix(out)
 
 
-def _later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a partition sorted by hash and place, (id, place, first) of all windows but each run's earliest."""
+def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a partition sorted by hash and place, (id, place, first) of all rows but each run's earliest."""
     head = None  # (first, second hash, id, late, place) of the current run's earliest
     for batch in batches:
         one, packed, ids, late, high = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
@@ -174,40 +241,31 @@ def _later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Apply the repeated windows to the texts; a window counts where its hash stands at its place."""
-    for batch in batches:
-        for lo, hi in W.row_slices(batch.column("text")):
-            texts = batch.column("text").slice(lo, hi - lo)
-            words = W.scan_words(texts, W.BLANK_SPLIT)
-            starts, firsts = (batch.column(c).slice(lo, hi - lo) for c in ("places", "firsts"))
-            size = starts.value_lengths().fill_null(0).to_numpy().astype(np.int64)
-            row = np.repeat(np.arange(hi - lo), size)
-            place, wanted = starts.flatten().to_numpy().astype(np.int64), firsts.flatten().to_numpy().view(U64)
-            fits = place + WINDOW <= np.diff(words.first)[row]
-            at, wanted = (words.first[row] + place)[fits], wanted[fits]
-            at = at[_window_hashes(words, at) == wanted]
-            marks = np.zeros(len(words.hashes) + 1, dtype=np.int64)
-            np.add.at(marks, at, 1)
-            np.add.at(marks, at + WINDOW, -1)
-            gone = np.cumsum(marks[:-1]) > 0
-            before = np.concatenate([[0], np.cumsum(gone)])
-            removed = before[words.first[1:]] - before[words.first[:-1]]
-            digests, kept_texts = [], []
-            for i, text in enumerate(texts.to_pylist()):
-                pieces = (text or "").encode().split()
-                if removed[i]:
-                    keep = ~gone[words.first[i] : words.first[i + 1]]
-                    pieces = [pieces[k] for k in np.flatnonzero(keep)]
-                kept = b" ".join(pieces)
-                digests.append(hashlib.sha256(kept).hexdigest())
-                kept_texts.append(kept.decode())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("out_id").slice(lo, hi - lo), pa.array(np.diff(words.first)), pa.array(removed),
-                    pa.array(digests, pa.string()), pa.array(kept_texts, pa.string()),
-                ],
-                names=["id", "n_words", "n_removed", "kept_sha256", "kept_text"],
-            )
+    """Apply the repeated blocks and windows to the texts; one counts where its hash stands at its place."""
+    for rows, words, _, _ in _slices(batches):
+        begin, end = _Blocks(words).settled(words, rows.column("block_places"), rows.column("block_firsts"))
+        at, wanted = _listed(words, rows.column("window_places"), rows.column("window_firsts"))
+        at = at[_window_hashes(words, at) == wanted]
+        begin, end = np.concatenate([begin, at]), np.concatenate([end + WINDOW - 1, at + WINDOW])
+        gone = _covered(len(words.hashes), begin, end)
+        before = np.concatenate([[0], np.cumsum(gone)])
+        removed = before[words.first[1:]] - before[words.first[:-1]]
+        digests, kept_texts = [], []
+        for i, text in enumerate(rows.column("text").to_pylist()):
+            pieces = (text or "").encode().split()
+            if removed[i]:
+                keep = ~gone[words.first[i] : words.first[i + 1]]
+                pieces = [pieces[k] for k in np.flatnonzero(keep)]
+            kept = b" ".join(pieces)
+            digests.append(hashlib.sha256(kept).hexdigest())
+            kept_texts.append(kept.decode())
+        yield pa.RecordBatch.from_arrays(
+            [
+                rows.column("out_id"), pa.array(np.diff(words.first)), pa.array(removed),
+                pa.array(digests, pa.string()), pa.array(kept_texts, pa.string()),
+            ],
+            names=["id", "n_words", "n_removed", "kept_sha256", "kept_text"],
+        )
 
 
 def _by_hash(rows: DataFrame, hashed: Column, order: list[str]) -> DataFrame:
@@ -228,20 +286,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     given = F.col(id_col).cast("bigint")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
-        F.coalesce(given, F.xxhash64(text)).alias("id"), given.isNull().alias("late"), given.alias("out_id"), text.alias("text")
-    )
+    # One projection for all steps, so that its exchange by id is made once.
+    rows = docs.select(F.coalesce(given, F.xxhash64(text)).alias("id"), given.alias("out_id"), text.alias("text"))
     anchors = rows.select("id", "text").mapInArrow(_anchors, "packed bigint, id bigint")
     sorted_anchors = _by_hash(anchors, F.shiftright("packed", PLACE_BITS), ["packed"])
     repeated = sorted_anchors.mapInArrow(_repeated_anchors, "id bigint, place int")
     places = repeated.groupBy("id").agg(F.collect_set("place").alias("places"))
-    met = rows.join(places, "id").select("id", "late", "text", "places")
-    windows = met.mapInArrow(_windows, "first bigint, packed bigint, id bigint, late boolean, high int")
-    sorted_windows = _by_hash(windows, F.col("first"), ["first", F.shiftright("packed", PLACE_BITS), "late", "id", "high", "packed"])
-    later = sorted_windows.mapInArrow(_later_windows, "id bigint, place int, first bigint")
-    # A copy at the same place under the same id brings the same rows again; they do no harm.
-    cuts = later.groupBy("id").agg(F.collect_list(F.struct("place", "first")).alias("cuts"))
-    cuts = cuts.select("id", F.col("cuts.place").alias("places"), F.col("cuts.first").alias("firsts"))
-    return rows.join(cuts, "id", "left").select("out_id", "text", "places", "firsts").mapInArrow(
+    met = rows.join(places, "id")
+    blocks = _later_places(met.mapInArrow(_block_rows, HASHED), "block")
+    windows = _later_places(met.join(blocks, "id", "left").mapInArrow(_window_rows, HASHED), "window")
+    cuts = rows.join(blocks, "id", "left").join(windows, "id", "left")
+    return cuts.mapInArrow(
         _cut, "id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
-    ).withColumnRenamed("id", id_col)
+    ).withColumnRenamed("id", id_col)
+
+
+def _later_places(rows: DataFrame, name: str) -> DataFrame:
+    """Per id the places and hashes of the rows that repeat an earlier one."""
+    order = ["first", F.shiftright("packed", PLACE_BITS), "late", "id", "high", "packed"]
+    later = _by_hash(rows, F.col("first"), order).mapInArrow(_later, "id bigint, place int, first bigint")
+    found = later.groupBy("id").agg(F.collect_list(F.struct("place", "first")).alias("found"))
+    return found.select("id", F.col("found.place").alias(f"{name}_places"), F.col("found.first").alias(f"{name}_firsts"))
