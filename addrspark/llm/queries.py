@@ -15,6 +15,7 @@ from addrspark.llm import (
     license_scan,
     mixing,
     near_join,
+    quality,
     substring_dedup,
 )
 
@@ -75,3 +76,10 @@ def op8_decontamination(spark, sf):
         F.col("items.item").alias("item_ids"),
         F.coalesce(F.array_max("items.score"), F.lit(0.0)).alias("best_score"),
     )
+
+
+@query
+def op6_quality(spark, sf):
+    rated = quality.grade_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    keep = (F.col("p_grade_2") >= 0.5).alias("keep")
+    return rated.select("row.doc_id", "expected_grade", "p_grade_1", "p_grade_2", keep)
