@@ -1,11 +1,10 @@
 """Documents that hold benchmark items, found by BM25 over an index of the items.
 
-Every passage of every document is a query. Block-max WAND prunes: terms in ascending order of their
-largest contribution up to the pivot cannot reach the threshold alone, so only the terms from the pivot on
-look up blocks of items, a block counts when its largest contributions reach the threshold, and only items
-of such blocks are scored. The steps run on all passages of a slice at once. Scores are shares of the
-item's score for its own text. What is retrieved is verified on word n-grams of the item's question and
-answer.
+Every passage of every document is a query. Block-max WAND prunes: a passage goes on when the largest
+contributions of its terms reach the threshold, a block of items when the largest ones within the block do,
+and only items of such blocks are scored. The steps run on all passages of a slice at once, so cursors
+become sorted arrays. Scores are shares of the item's score for its own text. What is retrieved is verified
+on word n-grams of the item's question and answer.
 """
 
 from __future__ import annotations
@@ -22,11 +21,14 @@ from addrspark.llm import words as W
 from addrspark.llm.shared import written
 
 K1, B = 1.2, 0.75
-MIN_SCORE = 0.35
+MIN_SCORE = 0.5
 MIN_OVERLAP = 0.5
 GRAM = 5
 RUN = 13
-ITEM_BLOCK = 16
+ITEM_BLOCK = 4
+# Items are indexed in segments, so that the table of block maxima stays small.
+SEGMENT_ITEMS = 512
+PASSAGES = 512
 PART_BYTES = 16 << 20
 U64 = np.uint64
 
@@ -37,11 +39,10 @@ class Index(NamedTuple):
     ids: list[int | None]
     terms: np.ndarray  # sorted term hashes
     most: np.ndarray  # largest contribution of each term
-    block_start: np.ndarray  # per term, where its blocks begin
-    blocks: np.ndarray
-    block_most: np.ndarray
-    item_terms: list[np.ndarray]  # term numbers of each item
-    item_weights: list[np.ndarray]
+    block_most: np.ndarray  # largest contribution of each term in each block of items
+    item_start: np.ndarray  # per item, where its terms begin
+    item_terms: np.ndarray
+    item_weights: np.ndarray
     grams: list[tuple[np.ndarray, np.ndarray]]  # of question and answer
     part_words: list[tuple[int, int]]
     runs: list[np.ndarray]
@@ -87,20 +88,22 @@ def build_index(items: list[tuple[int | None, str]], frequency: dict[int, int],
         item_weights.append(weight / weight.sum())
     rows = np.concatenate(item_terms) if ids else np.empty(0, np.int64)
     weights = np.concatenate(item_weights) if ids else np.empty(0)
-    block = np.repeat(np.arange(len(ids)) // ITEM_BLOCK, [len(t) for t in item_terms])
+    item_sizes = np.array([len(t) for t in item_terms], dtype=np.int64)
+    item_start = np.concatenate([[0], np.cumsum(item_sizes)])
+    block = np.repeat(np.arange(len(ids)) // ITEM_BLOCK, item_sizes)
     n_blocks = len(ids) // ITEM_BLOCK + 1
-    key, place = np.unique(rows * n_blocks + block, return_inverse=True)
-    block_most = np.zeros(len(key))
-    np.maximum.at(block_most, place, weights)
+    block_most = np.zeros((len(terms), n_blocks), dtype=np.float32)
+    np.maximum.at(block_most, (rows, block), weights.astype(np.float32))
     most = np.zeros(len(terms))
     np.maximum.at(most, rows, weights)
-    start = np.searchsorted(key // n_blocks, np.arange(len(terms) + 1))
     grams = [(_gram_values(h[:q], GRAM), _gram_values(h[q:], GRAM)) for h, q in zip(item_words, splits, strict=True)]
     part_words = [(q, len(h) - q) for h, q in zip(item_words, splits, strict=True)]
     run_words = [min(RUN, len(h)) for h in item_words]
     runs = [_gram_values(h, n) for h, n in zip(item_words, run_words, strict=True)]
     longest = max((len(h) for h in item_words), default=0)
-    return Index(ids, terms, most, start, key % n_blocks, block_most, item_terms, item_weights, grams, part_words, runs, run_words, longest)
+    return Index(
+        ids, terms, most, block_most, item_start, rows, weights, grams, part_words, runs, run_words, longest
+    )
 
 
 def _passages(first: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,35 +130,34 @@ def _retrieve(index: Index, words: W.Words, threshold: float) -> Iterator[tuple[
     passage = np.repeat(np.arange(len(row)), size)
     at = known[np.repeat(low - (np.cumsum(size) - size), size) + np.arange(len(passage))]
     n_terms = len(index.terms)
-    passage, term = np.divmod(np.unique(passage * n_terms + place[at]), n_terms)
+    held = np.unique(passage * n_terms + place[at])
+    passage, term = np.divmod(held, n_terms)
     bound = np.bincount(passage, index.most[term], len(row))
     able = bound[passage] >= threshold
     passage, term = passage[able], term[able]
     if not len(passage):
         return
-    order = np.lexsort((index.most[term], passage))
-    passage, term = passage[order], term[order]
-    running = np.cumsum(index.most[term])
     starts = np.flatnonzero(np.concatenate([[True], np.diff(passage) != 0]))
-    lengths = np.diff(np.append(starts, len(passage)))
-    running -= np.repeat(running[starts] - index.most[term[starts]], lengths)
-    pivot = running >= threshold
-    rest = np.bincount(passage[~pivot], index.most[term[~pivot]], len(row))
-    lists = index.block_start[term[pivot] + 1] - index.block_start[term[pivot]]
-    of = np.repeat(passage[pivot], lists)
-    entry = np.repeat(index.block_start[term[pivot]] - (np.cumsum(lists) - lists), lists) + np.arange(len(of))
-    n_blocks = len(index.ids) // ITEM_BLOCK + 1
-    key, where = np.unique(of * n_blocks + index.blocks[entry], return_inverse=True)
-    reach = np.bincount(where, index.block_most[entry]) + rest[key // n_blocks]
-    bounds = np.searchsorted(passage, np.arange(len(row) + 1))
-    for k in key[reach >= threshold - 1e-9]:
-        p, block = divmod(int(k), n_blocks)
-        own = np.sort(term[bounds[p] : bounds[p + 1]])
-        for item in range(block * ITEM_BLOCK, min((block + 1) * ITEM_BLOCK, len(index.ids))):
-            has = np.isin(index.item_terms[item], own, assume_unique=True)
-            score = float(index.item_weights[item][has].sum())
-            if score >= threshold:
-                yield int(row[p]), int(begin[p]), int(end[p]), item, score
+    reached = []
+    for low in range(0, len(starts), PASSAGES):
+        some = starts[low : low + PASSAGES]
+        stop = starts[low + PASSAGES] if low + PASSAGES < len(starts) else len(term)
+        reach = np.add.reduceat(index.block_most[term[some[0] : stop]], some - some[0], axis=0)
+        at, block = np.nonzero(reach >= threshold - 1e-4)
+        reached.append((passage[some][at], block))
+    passage, block = (np.concatenate(x) for x in zip(*reached, strict=True))
+    item = (block[:, None] * ITEM_BLOCK + np.arange(ITEM_BLOCK)).ravel()
+    passage = np.repeat(passage, ITEM_BLOCK)[item < len(index.ids)]
+    item = item[item < len(index.ids)]
+    sizes = index.item_start[item + 1] - index.item_start[item]
+    of = np.repeat(np.arange(len(item)), sizes)
+    entry = np.repeat(index.item_start[item] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(of))
+    wanted = passage[of] * n_terms + index.item_terms[entry]
+    has = held[np.minimum(np.searchsorted(held, wanted), len(held) - 1)] == wanted
+    score = np.bincount(of[has], index.item_weights[entry[has]], len(item))
+    for k in np.flatnonzero(score >= threshold):
+        p = passage[k]
+        yield int(row[p]), int(begin[p]), int(end[p]), int(item[k]), float(score[k])
 
 
 def _verified(index: Index, item: int, hashes: np.ndarray, min_overlap: float) -> bool:
@@ -170,24 +172,22 @@ def _verified(index: Index, item: int, hashes: np.ndarray, min_overlap: float) -
     )
 
 
-def _marker(index: Index, threshold: float, min_overlap: float):
+def _marker(segments: list[Index], threshold: float, min_overlap: float):
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in W.row_slices(batch.column("text")):
                 part = batch.slice(lo, hi - lo)
                 words = W.scan_words(part.column("text"), W.ALNUM_SPLIT, fold=True)
-                items: list[dict[int, float]] = [{} for _ in range(hi - lo)]
-                if len(index.ids) and len(words.hashes):
+                found = part.column("items").to_pylist()
+                for index in segments if len(words.hashes) else ():
+                    items: list[dict[int, float]] = [{} for _ in range(hi - lo)]
                     for row, begin, end, item, score in _retrieve(index, words, threshold):
                         if score > items[row].get(item, 0) and (
                             item in items[row] or _verified(index, item, words.hashes[begin:end], min_overlap)
                         ):
                             items[row][item] = score
-                before = part.column("items").to_pylist()
-                found = [
-                    [*old, *({"item": index.ids[i], "score": s} for i, s in sorted(new.items()))]
-                    for old, new in zip(before, items, strict=True)
-                ]
+                    for old, new in zip(found, items, strict=True):
+                        old.extend({"item": index.ids[i], "score": s} for i, s in sorted(new.items()))
                 yield part.set_column(part.schema.get_field_index("items"), "items", pa.array(found, part.schema.field("items").type))
 
     return mark
@@ -225,8 +225,9 @@ def mark_leaks(
         terms = chosen.mapInArrow(_item_terms, "length bigint, terms array<bigint>").select(F.explode("terms").alias("term"))
         known = {r["term"]: r["n"] for r in frequency.join(terms.distinct(), "term").collect()}
         rows = [(r["item_id"], r["text"]) for r in chosen.orderBy("item_id", "text").collect()]
-        index = build_index(rows, known, seen[0], seen[1] or 1.0)
-        marked = marked.mapInArrow(_marker(index, threshold, min_overlap), marked.schema)
+        cut = [rows[i : i + SEGMENT_ITEMS] for i in range(0, len(rows), SEGMENT_ITEMS)]
+        segments = [x for x in (build_index(c, known, seen[0], seen[1] or 1.0) for c in cut) if x.ids]
+        marked = marked.mapInArrow(_marker(segments, threshold, min_overlap), marked.schema)
         if k < parts - 1:
             marked = written(marked, "marked")
     return marked.select("row", "items")
