@@ -17,6 +17,7 @@ from addrspark.llm import (
     near_join,
     quality,
     substring_dedup,
+    token_counts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +84,8 @@ def op6_quality(spark, sf):
     rated = quality.grade_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
     keep = (F.col("p_grade_2") >= 0.5).alias("keep")
     return rated.select("row.doc_id", "expected_grade", "p_grade_1", "p_grade_2", keep)
+
+
+@query
+def op4_token_counts(spark, sf):
+    return token_counts.count_tokens(table(spark, sf, "documents"))

@@ -3,17 +3,59 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from addrspark.llm import decontaminate, hash_tree, mixing, near_join, quality
 from addrspark.llm.shared import written
 
-STAGES: list = []
 
-# The quality model is fitted, which SQL cannot express.
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that probably have the top grade: neither toxic nor of low quality."""
+    return quality.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar texts: the one with the smallest doc_id.
+
+    A doc_id that stands on several rows keeps one of them. Rows with a null doc_id cannot be named by a
+    group and stay.
+    """
+    similar = near_join.similar_texts(docs.select("doc_id", "text"))
+    keep = similar.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.join(keep, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter(F.col("doc_id").isNull()))
+
+
+def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the mixture takes: a row per document and epoch that takes some of it."""
+    return mixing.mixed_texts(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The shard and slot of every row."""
+    return hash_tree.assign_shards(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_benchmark_text),
+    ("mixing sources to target weights", mix),
+    ("sharding", shard),
+]
+
+# The quality model is fitted, which SQL cannot express; tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole documents table, each result written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
