@@ -202,13 +202,13 @@ def mark_leaks(
 ) -> DataFrame:
     """(row, items): every input row as a struct, and the verified benchmark items in it with their scores.
 
-    Null and empty texts hold nothing, and neither do items without words; null item ids stay null. An
+    Words are runs of letters, digits and non-ASCII characters in lower case. Null and empty texts hold nothing, and neither do items without words; null item ids stay null. An
     item's question is its text up to the last question mark, else the first half; the rest is its answer.
     Documents pass through in one piece without a shuffle, repeated rows are judged each, and their columns
     may have any name. The index of a part of the items of about 16 MB of text goes to every task; a larger
     benchmark is taken part by part, with the documents written in between.
     """
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
     hashed = written(items.mapInArrow(_item_terms, "length bigint, terms array<bigint>"), "terms")
     frequency = hashed.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     seen = hashed.filter("length > 0").agg(F.count(F.lit(1)), F.avg("length")).first()
@@ -217,7 +217,7 @@ def mark_leaks(
 
     named = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if docs.columns else F.lit(None)
     marked = docs.select(
-        named.alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        named.alias("row"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"),
         F.array().cast("array<struct<item: bigint, score: double>>").alias("items"),
     )
     for k in range(parts):
