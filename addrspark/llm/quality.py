@@ -21,9 +21,9 @@ from addrspark.llm import words as W
 BITS = 18
 SAMPLE_ROWS = 9000
 MIN_TEXTS = 10
-PENALTY = 9.0
+PENALTY = 3.0
 SCALE = 10.0
-BEGINNING = 5
+BEGINNING = 4
 ENDING = 3
 SHARE_STEPS = np.array([0.002, 0.01, 0.03, 0.1, 0.25, 0.5, 0.8])
 U64 = np.uint64
@@ -179,8 +179,9 @@ def _minimum(loss, p: np.ndarray, steps: int = 80, memory: int = 8) -> np.ndarra
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str) -> DataFrame:
     """(text, grade, share) of at most ``rows`` labelled documents, chosen by a hash of the id.
 
-    Each grade gets a third; ``share`` is the number of labels that a row stands for. A document with
-    several labels has the lowest. Labels with a null part are left out.
+    Each grade gets a third; ``share`` is the root of the number of labels that a row stands for, half way
+    between the grades' frequencies and equal weight of all grades. A document with several labels has the
+    lowest. Labels with a null part are left out.
     """
     known = labels.select(F.col(id_col).alias("label_id"), grade(F.col("quality"), F.col("toxic")).alias("grade"))
     known = known.dropna().groupBy("label_id").agg(F.min("grade").alias("grade"))
@@ -189,7 +190,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str)
     best = known.withColumn("place", F.row_number().over(picked)).filter(F.col("place") <= rows // 3)
     totals = known.groupBy("grade").agg(F.count(F.lit(1)).alias("total"))
     taken = best.groupBy("grade").agg(F.count(F.lit(1)).alias("taken")).join(totals, "grade")
-    sample = best.join(taken, "grade").select("label_id", "grade", (F.col("total") / F.col("taken")).alias("share"))
+    sample = best.join(taken, "grade").select("label_id", "grade", F.sqrt(F.col("total") / F.col("taken")).alias("share"))
     # The sample has at most ``rows`` rows of three numbers, so it is safe to broadcast.
     texts = docs.select(F.col(id_col).alias("label_id"), F.coalesce("text", F.lit("")).alias("text"))
     return texts.join(F.broadcast(sample), "label_id")
