@@ -89,8 +89,27 @@ def real_number(col: Column, kind: T.DataType) -> Column:
     return F.when(plain.rlike(NUMBER_PATTERN), plain.try_cast(kind))
 
 
-def _without_marks(ch: str) -> str:
-    return "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
+HANGUL, HANGUL_COUNT, VOWELS, TAILS = 0xAC00, 11172, 21, 28
+
+
+def _plain_character(ch: str) -> str:
+    """What is left of a character when its decomposition is followed to the end and marks are dropped."""
+    place = ord(ch) - HANGUL
+    if 0 <= place < HANGUL_COUNT:
+        lead, rest = divmod(place, VOWELS * TAILS)
+        vowel, tail = divmod(rest, TAILS)
+        return chr(0x1100 + lead) + chr(0x1161 + vowel) + (chr(0x11A7 + tail) if tail else "")
+    codes = [code for code in unicodedata.decomposition(ch).split() if not code.startswith("<")]
+    if codes:
+        return "".join(_plain_character(chr(int(code, 16))) for code in codes)
+    return "" if unicodedata.combining(ch) else ch
+
+
+@lru_cache(maxsize=1)
+def _plain_table() -> dict[int, str]:
+    """Every character that changes, with what it becomes."""
+    codes = [c for c in range(0x80, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    return {c: plain for c in codes if (plain := _plain_character(chr(c))) != chr(c)}
 
 
 @lru_cache(maxsize=1)
@@ -100,13 +119,8 @@ def _accent_tables() -> tuple[str, str, str]:
     The first string is longer than the second: its tail holds the marks to delete.
     """
     swap_from, swap_to, delete, expand = [], [], [], []
-    for code in range(0x80, 0x110000):
-        if 0xD800 <= code <= 0xDFFF:
-            continue
+    for code, plain in _plain_table().items():
         ch = chr(code)
-        plain = _without_marks(ch)
-        if plain == ch:
-            continue
         if not plain:
             delete.append(ch)
         elif len(plain) == 1:
@@ -128,9 +142,8 @@ def _accent_tables() -> tuple[str, str, str]:
 
 @F.arrow_udf(T.StringType())
 def _decompose(texts: pa.Array) -> pa.Array:
-    return pa.array(
-        [None if t is None else _without_marks(t) for t in texts.to_pylist()], type=pa.string()
-    )
+    table = _plain_table()
+    return pa.array([None if t is None else t.translate(table) for t in texts.to_pylist()], type=pa.string())
 
 
 def remove_accents(col: Column) -> Column:

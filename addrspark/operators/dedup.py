@@ -11,8 +11,8 @@ from addrspark.operators.skew import heavy_keys, null_safe_join
 DOOR_KEY = ["id_via", "numpuerta"]
 DOOR_COLUMNS = ["id_via", "numpuerta", "tipo_via", "nom_via", "ubigeo", "lon_x", "lat_y"]
 
-# Rows of one heavy key are numbered in at most this many independent buckets.
-MAX_BUCKETS = 256
+# Bounds of a heavy key's buckets are looked up in groups of this size.
+BOUND_GROUP = 64
 # Copies of one identical row are written out in runs of this length.
 COPY_RUN = 100_000
 
@@ -36,17 +36,21 @@ def duplicate_keys(df: DataFrame, keys: list[str] = DOOR_KEY) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
 
 
-def duplicate_rows(df: DataFrame, keys: list[str] = DOOR_KEY, null_safe: bool = False) -> DataFrame:
+def duplicate_rows(
+    df: DataFrame, keys: list[str] = DOOR_KEY, null_safe: bool = False, sort: bool = False
+) -> DataFrame:
     """Rows whose key occurs more than once.
 
     Rows with a null key are left out unless ``null_safe``. The duplicate keys come from a map-side
     combined count; a hot key then is one row on the small side of a semi join, and adaptive execution
-    splits its rows on the other side.
+    splits its rows on the other side. ``sort`` orders the result by key and then by the other columns.
     """
     repeated = duplicate_keys(df if null_safe else df.dropna(subset=keys), keys).select(*keys)
     if null_safe:
-        return null_safe_join(df, repeated, keys, "left_semi")
-    return df.join(repeated, keys, "left_semi").select(*df.columns)
+        rows = null_safe_join(df, repeated, keys, "left_semi")
+    else:
+        rows = df.join(repeated, keys, "left_semi").select(*df.columns)
+    return rows.orderBy(*_nulls_first([*keys, *_others(df, keys)])) if sort else rows
 
 
 def split_duplicates(
@@ -54,12 +58,11 @@ def split_duplicates(
 ) -> DataFrame:
     """Number the rows of every repeated key from 1 in ``dup_group``; row i belongs to output i.
 
-    Ordinary keys are numbered by a window in column order. Keys with more than ``heavy_rows`` rows
-    take the path of ``_number_heavy``; without such keys its broadcast list is empty and adaptive
-    execution drops that path before scanning.
+    Numbers follow column order, null first, whatever the key's size. Ordinary keys are numbered by a
+    window, keys with more than ``heavy_rows`` rows bucket by bucket in ``_number_heavy``.
     """
     rows = df.dropna(subset=keys)
-    heavy = F.broadcast(heavy_keys(rows, keys, heavy_rows))
+    heavy = heavy_keys(rows, keys, heavy_rows)
     by_key = Window.partitionBy(*keys)
     ordinary = (
         rows.join(heavy, keys, "left_anti")
@@ -74,20 +77,31 @@ def split_duplicates(
 def _number_heavy(rows: DataFrame, keys: list[str], heavy: DataFrame, heavy_rows: int) -> DataFrame:
     """Numbers 1..n for the rows of each heavy key without ever sorting the key in one task.
 
-    Identical rows collapse map-side to (row, copies); the distinct rows spread over hash buckets and
-    are numbered inside each; bucket totals, bounded by MAX_HEAVY_KEYS * MAX_BUCKETS rows, give the
-    offsets. Copies are written out at the end in runs that spread over tasks.
+    Identical rows collapse map-side to (row, copies). The distinct rows fall into range buckets in column
+    order; bounds are the rows whose hash is 0 modulo ``heavy_rows``, so a bucket has about that many rows
+    and the bounds depend on the data only. Bucket totals give the offsets. Copies are written out at the
+    end in runs that spread over tasks.
     """
     others = _others(rows, keys)
     run = min(COPY_RUN, heavy_rows)
-    buckets = F.least(F.lit(MAX_BUCKETS), F.ceil(F.col("key_rows") / F.lit(heavy_rows)) * 2)
     copies = (
-        rows.join(heavy, keys, "inner")
-        .groupBy(*rows.columns, "key_rows")
+        rows.join(heavy.select(*keys), keys, "left_semi")
+        .groupBy(*rows.columns)
         .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("bucket", F.pmod(F.xxhash64(*others), buckets))
+        .withColumn("place", F.struct(*others))
     )
-    totals = copies.groupBy(*keys, "bucket").agg(F.sum("copies").alias("bucket_rows"))
+    chosen = copies.filter(F.pmod(F.xxhash64(*others), F.lit(heavy_rows)) == 0)
+    bounds = chosen.groupBy(*keys).agg(F.sort_array(F.collect_list("place")).alias("bounds"))
+    bounds = bounds.withColumn("coarse", F.filter("bounds", lambda b, i: F.pmod(i + 1, F.lit(BOUND_GROUP)) == 0))
+
+    def upto_place(places: Column) -> Column:
+        return F.size(F.filter(places, lambda b: b <= F.col("place")))
+
+    known = copies.join(bounds, keys, "left").withColumn("group", upto_place(F.coalesce("coarse", F.array())))
+    near = F.slice("bounds", F.col("group") * BOUND_GROUP + 1, F.lit(BOUND_GROUP))
+    bucket = F.col("group") * BOUND_GROUP + F.coalesce(F.when(F.col("bounds").isNotNull(), upto_place(near)), F.lit(0))
+    placed = known.withColumn("bucket", bucket).drop("bounds", "coarse", "group", "place")
+    totals = placed.groupBy(*keys, "bucket").agg(F.sum("copies").alias("bucket_rows"))
     before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *keys, "bucket", F.coalesce(F.sum("bucket_rows").over(before), F.lit(0)).alias("offset")
@@ -98,8 +112,8 @@ def _number_heavy(rows: DataFrame, keys: list[str], heavy: DataFrame, heavy_rows
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     spans = (
-        copies.withColumn("end", F.sum("copies").over(upto))
-        .join(F.broadcast(offsets), [*keys, "bucket"])
+        placed.withColumn("end", F.sum("copies").over(upto))
+        .join(offsets, [*keys, "bucket"])
         .withColumn("first", F.col("offset") + F.col("end") - F.col("copies") + 1)
         .select(*rows.columns, "first", "copies")
     )

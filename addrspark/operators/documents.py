@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrspark.functions import text
@@ -10,70 +10,24 @@ from addrspark.functions.once import evaluate_once
 from addrspark.functions.shapes import centroid
 from addrspark.functions.wkb import decoded
 from addrspark.operators.checks import pick_column, require_columns
-from addrspark.operators.dedup import door_rows, last_wins, unique_doors
-from addrspark.operators.skew import broadcast_if_small, heavy_keys, null_safe_join
+from addrspark.operators.dedup import last_wins, unique_doors
 from addrspark.schemas import DOCUMENT_SCALARS
 
-# Search indexes refuse documents with more nested objects than this by default.
-MAX_ITEMS = 10_000
-
-
-def collect_in_parts(
-    rows: DataFrame,
-    keys: list[str],
-    item: Column,
-    alias: str,
-    max_items: int = MAX_ITEMS,
-    census: DataFrame | None = None,
+def collect_items(
+    rows: DataFrame, keys: list[str], item: Column, alias: str, max_items: int | None = None
 ) -> DataFrame:
     """One row per key with the sorted array of its items (none of them null); ``part`` is 0.
 
-    A key with more than ``max_items`` items becomes several rows with different ``part``, which
-    together hold every item once, so no array outgrows a row. The heaviest keys take the path of
-    ``_spread_heavy``; without such keys its broadcast list is empty and adaptive execution drops that
-    path before scanning. Other keys are cut into consecutive runs.
-
-    ``census`` may name a frame with the same keys that is cheaper to count than ``rows`` and has no
-    fewer rows of any key.
+    With ``max_items`` an array is cut into consecutive runs of that length, numbered by ``part`` from 0,
+    by the same rule for every key.
     """
     items = rows.select(*keys, item.alias("item"))
-    heavy = F.broadcast(heavy_keys(items if census is None else census, keys, max_items).select(*keys))
-    ordinary = null_safe_join(items, heavy, keys, "left_anti")
-    ordinary = ordinary.select("*", F.lit(0).cast("bigint").alias("slot"), F.lit(1).cast("bigint").alias("slots"))
-    spread = _spread_heavy(null_safe_join(items, heavy, keys, "inner"), keys, max_items)
-    return _runs(ordinary, keys, alias, max_items).unionByName(_runs(spread, keys, alias, max_items))
-
-
-def _spread_heavy(rows: DataFrame, keys: list[str], max_items: int) -> DataFrame:
-    """Assign the items of heavy keys (at most MAX_HEAVY_KEYS) to slots of about ``max_items`` by hash.
-
-    Equal items first collapse map-side to (item, copies); long series of copies are cut, so that they
-    spread as well, and written out again only behind the shuffle.
-    """
-    n = F.count(F.lit(1))
-    # A tenth of slack: hashing fills slots unevenly, and an overfull one would leave a tiny extra part.
-    slots = F.when(n <= max_items, F.lit(1).cast("bigint")).otherwise(F.ceil(n * 1.1 / F.lit(max_items)))
-    counted = F.broadcast(rows.groupBy(*keys).agg(slots.alias("slots")))
-    copies = rows.groupBy(*keys, "item").agg(F.count(F.lit(1)).alias("copies"))
-    last = F.floor((F.col("copies") - 1) / F.lit(max_items))
-    series = copies.withColumn("series", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    length = F.least(F.lit(max_items), F.col("copies") - F.col("series") * max_items).cast("int")
-    placed = null_safe_join(series.withColumn("length", length), counted, keys, "inner").withColumn(
-        "slot", F.pmod(F.xxhash64("item", "series"), F.col("slots"))
-    )
-    moved = placed.select(*keys, "item", "slot", "slots", "length").repartition(*keys, "slots", "slot")
-    return moved.select(*keys, "slot", "slots", F.explode(F.array_repeat("item", F.col("length"))).alias("item"))
-
-
-def _runs(rows: DataFrame, keys: list[str], alias: str, max_items: int) -> DataFrame:
-    """Collect each (key, slot) into sorted arrays of at most ``max_items``."""
-    position = F.row_number().over(Window.partitionBy(*keys, "slots", "slot").orderBy("item")) - 1
-    return (
-        rows.withColumn("run", F.floor(position / F.lit(max_items)))
-        .groupBy(*keys, "slots", "slot", "run")
-        .agg(F.sort_array(F.collect_list("item")).alias(alias))
-        .select(*keys, (F.col("run") * F.col("slots") + F.col("slot")).cast("bigint").alias("part"), alias)
-    )
+    whole = items.groupBy(*keys).agg(F.sort_array(F.collect_list("item")).alias(alias))
+    if max_items is None:
+        return whole.withColumn("part", F.lit(0).cast("bigint"))
+    last = F.floor((F.size(alias) - 1) / F.lit(max_items))
+    cut = whole.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    return cut.withColumn(alias, F.slice(alias, (F.col("part") * max_items + 1).cast("int"), F.lit(max_items)))
 
 
 def house(number: Column, lon: Column, lat: Column) -> Column:
@@ -89,7 +43,7 @@ def with_district(
 ) -> DataFrame:
     """Add district names by postcode. The documents are already grouped, so only they are probed.
 
-    Pass the districts through ``broadcast_if_small`` first; a hint survives the selection here.
+    How the two sides meet is left to adaptive execution.
     """
     names = ["cod_departament", "cod_province", "cod_district"] + (["context"] if context else [])
     right = districts.select(F.col("postcode").alias(key), *names)
@@ -102,33 +56,32 @@ def _document(documents: DataFrame, **overrides: Column) -> DataFrame:
 
 
 def street_documents(
-    doors: DataFrame, districts: DataFrame, max_items: int = MAX_ITEMS
+    doors: DataFrame, districts: DataFrame, max_items: int | None = None
 ) -> DataFrame:
     """Deduplicated doors nested by street; streets with an unknown district keep null names.
 
     ``districts`` holds one row per postcode (see ``district_dimension``).
     """
     unique = unique_doors(doors)
-    grouped = collect_in_parts(
+    grouped = collect_items(
         unique,
         ["id_via", "name", "postcode"],
         house(text.number_text(unique, "numpuerta"), F.col("lon"), F.col("lat")),
         "housenumbers",
         max_items,
-        census=door_rows(doors),
     )
-    return _document(with_district(grouped, broadcast_if_small(districts), "left", context=True))
+    return _document(with_district(grouped, districts, "left", context=True))
 
 
-def door_maps(doors: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+def door_maps(doors: DataFrame, max_items: int | None = None) -> DataFrame:
     """Door number to location map per street (doors without a number have no map key)."""
     unique = unique_doors(doors).dropna(subset=["numpuerta"])
     entry = F.struct(
         text.number_text(unique, "numpuerta").alias("key"),
         F.struct("lon", "lat").alias("value"),
     )
-    grouped = collect_in_parts(
-        unique, ["id_via", "name", "postcode"], entry, "entries", max_items, census=door_rows(doors)
+    grouped = collect_items(
+        unique, ["id_via", "name", "postcode"], entry, "entries", max_items
     )
     return grouped.select(
         "id_via", "name", "postcode", F.map_from_entries("entries").alias("housenumbers"), "part"
@@ -142,7 +95,7 @@ def block_documents(
     lot: str = "lote",
     estate: str = "nombre_urbanizacion",
     estate_id: str = "id_urb",
-    max_items: int = MAX_ITEMS,
+    max_items: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Lots with coordinates nested by block: (documents, rejects).
 
@@ -152,7 +105,7 @@ def block_documents(
     require_columns(lots, block, lot, estate, estate_id, "postcode", "lon", "lat")
     named = lots.filter(text.not_blank(F.col(block)) & text.not_blank(F.col(lot)))
     keys = [estate, block, estate_id, "postcode"]
-    grouped = collect_in_parts(
+    grouped = collect_items(
         named.dropna(subset=keys), keys, house(F.col(lot), F.col("lon"), F.col("lat")), "housenumbers", max_items
     )
     complete = _complete(districts)
@@ -172,26 +125,28 @@ def shape_block_documents(
     lot: str = "name_lote",
     estate: str = "name_urb",
     postcode: str = "postcode",
-    max_items: int = MAX_ITEMS,
+    max_items: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Lots with a shape nested by block, each lot placed at its centroid: (documents, rejects).
 
-    The shape column is ``geometry`` or ``geom``, WKB or already decoded. Rows with a postcode that is
-    no number are rejected.
+    The shape column is ``geometry`` or ``geom``, WKB or already decoded; null bytes place nowhere. Rows
+    with a postcode that is no number and rows whose bytes are no shape are rejected.
     """
     require_columns(lots, block, lot, postcode)
     shape = pick_column(lots, "geometry", "geom")
     named = lots.filter(text.not_blank(F.col(block)) & text.not_blank(F.col(lot)))
     code = text.strip(F.col(postcode).cast("string"))
+    tried = evaluate_once(named, {"decoded_shape": decoded(named, shape)})
+    broken = F.col("decoded_shape").isNull() & F.col(shape).isNotNull()
     placed = (
-        named.withColumn("decoded_shape", decoded(named, shape))
+        tried.filter(~broken)
         .withColumn("center", centroid("decoded_shape"))
         .withColumn("postcode_number", code.try_cast("bigint"))
         .withColumns({"lon": F.col("center.x"), "lat": F.col("center.y")})
         .drop("center", "decoded_shape", shape)
     )
     keys = [estate, block, postcode, "postcode_number"]
-    grouped = collect_in_parts(
+    grouped = collect_items(
         placed.dropna(subset=keys), keys, house(F.col(lot), F.col("lon"), F.col("lat")), "housenumbers", max_items
     )
     complete = _complete(districts)
@@ -202,13 +157,15 @@ def shape_block_documents(
         postcode=F.col("postcode_number"),
         context=F.col(block),
     )
-    without_shape = named.drop(shape).withColumn("postcode_number", code.try_cast("bigint"))
-    return documents, _block_rejects(without_shape, complete, keys, key="postcode_number")
+    numbered = tried.withColumn("postcode_number", code.try_cast("bigint"))
+    no_shape = numbered.filter(broken).withColumn("reason", F.lit("no valid WKB")).drop(shape, "decoded_shape")
+    rejects = _block_rejects(numbered.filter(~broken).drop(shape, "decoded_shape"), complete, keys, key="postcode_number")
+    return documents, rejects.unionByName(no_shape)
 
 
 def _complete(districts: DataFrame) -> DataFrame:
     """Districts usable as block keys: grouping drops null names."""
-    return broadcast_if_small(districts.dropna(subset=["cod_departament", "cod_province", "cod_district"]))
+    return districts.dropna(subset=["cod_departament", "cod_province", "cod_district"])
 
 
 def _block_rejects(
@@ -234,6 +191,7 @@ def district_dimension(sheet: DataFrame, order: str | None = None) -> DataFrame:
     Files have no row order in Spark: where a postcode repeats, the row with the highest ``order``
     wins, or without one the last in column order.
     """
+    # The sheet's column names and the documents' own.
     renamed = sheet.withColumnsRenamed(
         {
             "ubigeo": "postcode",
@@ -251,7 +209,7 @@ def district_dimension(sheet: DataFrame, order: str | None = None) -> DataFrame:
 
 
 def sorted_names(
-    df: DataFrame, group: str, name: str, group_alias: str, names_alias: str, max_items: int = MAX_ITEMS
+    df: DataFrame, group: str, name: str, group_alias: str, names_alias: str, max_items: int | None = None
 ) -> DataFrame:
     """Sorted distinct names per group, without blanks around them and without accents.
 
@@ -267,7 +225,7 @@ def sorted_names(
             "name": text.remove_accents(text.strip(F.col("raw_name"))),
         },
     ).select(group_alias, "name")
-    return collect_in_parts(clean.distinct(), [group_alias], F.col("name"), names_alias, max_items)
+    return collect_items(clean.distinct(), [group_alias], F.col("name"), names_alias, max_items)
 
 
 def flatten_documents(documents: DataFrame) -> DataFrame:

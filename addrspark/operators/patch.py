@@ -2,36 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from addrspark.operators.checks import require_columns
-from addrspark.operators.skew import broadcast_if_small
+from addrspark.operators.dedup import last_wins
 
 
-def patch_documents(
-    documents: DataFrame, patches: DataFrame, key: str = "id_via", strict: bool = False
+def one_patch_per_key(
+    patches: DataFrame, keys: list[str], order: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents with the patch's columns overwritten, patches whose key no document has).
+    """(patches with a key of their own, patches whose key is repeated).
+
+    With ``order`` the patch with its highest value wins, the column goes, and nothing is repeated.
+    """
+    if order:
+        return last_wins(patches, keys, order).drop(order), patches.drop(order).limit(0)
+    counted = patches.withColumn("key_patches", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    return (
+        counted.filter(F.col("key_patches") == 1).drop("key_patches"),
+        counted.filter(F.col("key_patches") > 1).drop("key_patches"),
+    )
+
+
+def patch_documents(
+    documents: DataFrame,
+    patches: DataFrame,
+    key: str | list[str] = "id_via",
+    strict: bool = False,
+    order: str | None = None,
+    known: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents with the patch's columns overwritten, patches of unknown keys, patches of repeated keys).
 
-    Every other column of ``patches`` overwrites the document's, also with null. One patch per key.
-    ``strict`` raises when a key is unknown.
+    ``key`` is a column or several of them, such as those of the document id. Every other column of
+    ``patches`` overwrites the document's, also with null. Patches that share a key are not applied, unless
+    ``order`` names a column whose highest value wins. ``known`` may name a cheaper frame with the
+    documents' keys. ``strict`` raises when a key is unknown.
     """
-    fields = [c for c in patches.columns if c != key]
-    require_columns(documents, key, *fields)
-    renamed = patches.withColumnsRenamed({f: f"new_{f}" for f in fields}).withColumn("patched", F.lit(True))
-    renamed = broadcast_if_small(renamed)
-    joined = documents.join(renamed, key, "left")
+    keys = [key] if isinstance(key, str) else list(key)
+    fields = [c for c in patches.columns if c not in (*keys, order)]
+    require_columns(documents, *keys, *fields)
+    single, repeated = one_patch_per_key(patches, keys, order)
+    renamed = single.withColumnsRenamed({f: f"new_{f}" for f in fields}).withColumn("patched", F.lit(True))
+    joined = documents.join(renamed, keys, "left")
     updated = joined.select(
         *[
             F.when(F.col("patched"), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c)
             for c in documents.columns
         ]
     )
-    found = documents.select(key).join(renamed.select(key), key, "left_semi").distinct()
-    unknown = patches.join(found, key, "left_anti")
+    unknown = single.join((documents if known is None else known).select(*keys), keys, "left_anti")
     if strict:
-        example = unknown.select(key).head(1)
+        example = unknown.select(*keys).head(1)
         if example:
-            raise LookupError(f"no document with {key} = {example[0][0]!r}")
-    return updated, unknown
+            raise LookupError(f"no document with {', '.join(keys)} = {', '.join(map(repr, example[0]))}")
+    return updated, unknown, repeated

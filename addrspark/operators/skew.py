@@ -6,12 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# At most this many keys are treated as heavy, so the list is always safe to broadcast and
-# every key outside it holds less than one thousandth of the rows.
-MAX_HEAVY_KEYS = 1000
-
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join on keys where null equals null; the right side's keys are not kept."""
@@ -21,35 +15,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str)
 
 
 def heavy_keys(df: DataFrame, keys: list[str], more_than: int) -> DataFrame:
-    """The most frequent keys (at most MAX_HEAVY_KEYS) with over ``more_than`` rows, and their count.
-
-    Counting combines map-side, so a hot key costs one partial row per task.
-    """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("key_rows"))
-        .filter(F.col("key_rows") > more_than)
-        .orderBy(F.col("key_rows").desc(), *keys)
-        .limit(MAX_HEAVY_KEYS)
-    )
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:
-    """Mark ``df`` for broadcast after measuring that it is small; otherwise return it unchanged.
+    """Keys with over ``more_than`` rows, and their count.
 
-    The measure is one distributed aggregate. An unmarked side is joined by shuffle, where adaptive
-    execution splits skewed partitions.
+    Counting combines map-side, so a hot key costs one partial row per task. There are at most rows /
+    ``more_than`` such keys; how to join them is left to adaptive execution.
     """
-    widths = [
-        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
-        if isinstance(f.dataType, (T.StringType, T.BinaryType))
-        else F.lit(8)
-        for f in df.schema.fields
-        if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
-    ]
-    nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    widths += [F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{n}`")))), F.lit(0)) for n in nested]
-    size = reduce(Column.__add__, widths).cast("bigint")
-    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).first()
-    small = found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes
-    return F.broadcast(df) if small else df
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows")).filter(F.col("key_rows") > more_than)

@@ -14,6 +14,8 @@ ENDS = ["x1", "y1", "x2", "y2"]
 MAX_DISTANCE = 15.0
 INSET = 2.0
 CELL = 60.0
+# Metres; no projected coordinate on the globe is larger.
+MAX_COORDINATE = 1.0e8
 
 
 def shape_parts(shapes: DataFrame, key: str, geometry: str) -> DataFrame:
@@ -27,7 +29,7 @@ def part_edges(parts: DataFrame, key: str) -> DataFrame:
     """Edges of each shell: key, part, edge (from 0), x1, y1, x2, y2. Edges without length are left out."""
     exploded = parts.select(key, "part", F.posexplode(edges("rings[0]")).alias("edge", "ends"))
     flat = exploded.select(key, "part", "edge", *[F.col(f"ends.{c}").alias(c) for c in ENDS])
-    return flat.filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+    return flat.filter(_finite()).filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
 
 def road_segments(roads: DataFrame, geometry: str) -> DataFrame:
@@ -38,10 +40,16 @@ def road_segments(roads: DataFrame, geometry: str) -> DataFrame:
     return (
         lines.select(F.explode(edges("line")).alias("ends"))
         .select(*[F.col(f"ends.{c}").alias(c) for c in ENDS])
+        .filter(_finite())
         .distinct()
     )
 
 
+def _finite() -> Column:
+    """An edge with an infinite or missing coordinate is near nothing."""
+    return F.greatest(*[F.abs(F.col(c)) for c in ENDS]) < F.lit(MAX_COORDINATE)
+
+
 def _on_grid(df: DataFrame, size: float, pad: float) -> DataFrame:
     """Repeat each segment for every grid cell its box, grown by ``pad``, meets.
 
@@ -78,7 +86,7 @@ def nearest_edges(
     """Per (key, part) the edge nearest to any road within ``max_distance``: edge, distance.
 
     Equal distances go to the lowest edge. Edges and roads meet through an equi-join on grid cells: two
-    things within the radius always share one. The distance shrinks to a minimum per edge before
+    things within the radius always share one. The smallest (distance, edge) of a part combines before
     anything is shuffled again, and a crowded cell is split by adaptive execution because edges are
     independent of each other.
     """
@@ -104,9 +112,8 @@ def nearest_edges(
         )
         .filter(F.col("distance") <= max_distance)
     )
-    per_edge = near.groupBy(key, "part", "edge").agg(F.min("distance").alias("distance"))
     best = F.min(F.struct("distance", "edge")).alias("best")
-    return per_edge.groupBy(key, "part").agg(best).select(key, "part", "best.edge", "best.distance")
+    return near.groupBy(key, "part").agg(best).select(key, "part", "best.edge", "best.distance")
 
 
 def address_points(

@@ -10,6 +10,7 @@ from addrspark.functions.once import evaluate_once
 from addrspark.functions.projection import shape_to_utm
 from addrspark.functions.shapes import point
 from addrspark.functions.text import parse_coordinate
+from addrspark.functions.wkb import point_wkb
 from addrspark.operators import documents as docs
 from addrspark.operators.checks import require_columns, text_column_names
 from addrspark.operators.mapping import apply_mapping
@@ -20,8 +21,11 @@ from addrspark.sinks import writers
 from addrspark.sources import readers
 
 
-def build_district_dimension(spark: SparkSession, sheet_path: str, out: str) -> None:
-    writers.write_dimension(docs.district_dimension(readers.read_district_sheet(spark, sheet_path)), out)
+def build_district_dimension(spark: SparkSession, sheet_path: str, out: str) -> DataFrame:
+    """The district sheet as a dimension; returns the rows that do not fit."""
+    sheet, rejects = readers.read_district_sheet(spark, sheet_path)
+    writers.write_dimension(docs.district_dimension(sheet), out)
+    return rejects
 
 
 def build_street_documents(spark: SparkSession, doors_path: str, districts_path: str, out: str) -> None:
@@ -33,41 +37,54 @@ def build_street_documents(spark: SparkSession, doors_path: str, districts_path:
 
 def build_block_documents(
     spark: SparkSession, lots_path: str, districts_path: str, out: str, rejects_out: str | None = None
-) -> None:
-    """Lots to one nested document per block; lots with shapes (Parquet) are placed at centroids."""
+) -> tuple[DataFrame, DataFrame]:
+    """Lots to one nested document per block; lots with shapes (Parquet) are placed at centroids.
+
+    Returns (lines that could not be read, lots that could not be placed); the latter are also written
+    where ``rejects_out`` is given.
+    """
     districts = spark.read.parquet(districts_path)
-    lots = readers.read_any(spark, lots_path, LOTS)
+    lots, broken = readers.read_any(spark, lots_path, LOTS)
     with_shape = any(c in lots.columns for c in ("geometry", "geom"))
     build = docs.shape_block_documents if with_shape else docs.block_documents
     result, rejects = build(lots, districts)
     writers.write_ndjson(result.select(*DOCUMENT_FIELDS), out, sort=["name", "context"])
     if rejects_out:
         writers.write_ndjson(rejects, rejects_out)
+    return broken, rejects
 
 
 def build_address_points(
     spark: SparkSession, lots_path: str, roads_path: str, out: str, key: str = "lot_id", zone: int = 18
-) -> None:
+) -> tuple[DataFrame, DataFrame]:
     """Lots and roads in degrees to one frontage point per lot, in UTM metres.
 
-    Lots are read by two joins, so decoding and projecting them is settled first.
+    Lots are read by two joins, so decoding and projecting them is settled first. Returns the lots and the
+    roads whose bytes are no shape.
     """
 
-    def metres(path: str) -> DataFrame:
-        shapes, _ = readers.read_shapes(spark, path, "geometry")
-        return shapes.withColumn("geometry", shape_to_utm("geometry", zone))
+    def metres(path: str) -> tuple[DataFrame, DataFrame]:
+        shapes, rejects = readers.read_shapes(spark, path, "geometry")
+        return shapes.withColumn("geometry", shape_to_utm("geometry", zone)), rejects
 
-    points = address_points(settled(metres(lots_path).select(key, "geometry")), metres(roads_path), key)
-    writers.write_shapes(points.withColumn("geometry", point(F.col("x"), F.col("y"))), out)
+    lots, bad_lots = metres(lots_path)
+    roads, bad_roads = metres(roads_path)
+    points = address_points(settled(lots.select(key, "geometry")), roads, key)
+    writers.write_shapes(points.withColumn("geometry", point_wkb(F.col("x"), F.col("y"))), out)
+    return bad_lots, bad_roads
 
 
 def index_shapes(
     spark: SparkSession, shapes_path: str, out: str, resolution: int = 8, geometry: str = "geometry"
-) -> None:
-    """Shapes to hexagon cells; the geometry becomes the hexagon."""
-    shapes, _ = readers.read_shapes(spark, shapes_path, geometry)
-    indexed, _ = hex_indexed(shapes, geometry, resolution)
+) -> tuple[DataFrame, DataFrame]:
+    """Shapes to hexagon cells; the geometry becomes the hexagon.
+
+    Returns (rows whose bytes are no shape, shapes of an unsupported kind).
+    """
+    shapes, broken = readers.read_shapes(spark, shapes_path, geometry)
+    indexed, unsupported = hex_indexed(shapes, geometry, resolution)
     writers.write_shapes(indexed, out, geometry)
+    return broken, unsupported
 
 
 def clean_points(sheet: DataFrame, lon: str, lat: str) -> DataFrame:
@@ -81,25 +98,27 @@ def clean_points(sheet: DataFrame, lon: str, lat: str) -> DataFrame:
 
 def build_points(
     spark: SparkSession, sheet_path: str, schema: T.StructType, out: str, lon: str = "LONGITUD", lat: str = "LATITUD"
-) -> None:
-    """A sheet (CSV or Parquet export) with coordinate text to point Parquet."""
-    writers.write_shapes(clean_points(readers.read_any(spark, sheet_path, schema), lon, lat), out)
+) -> DataFrame:
+    """A sheet (CSV or Parquet export) with coordinate text to point Parquet; returns lines that do not fit."""
+    sheet, rejects = readers.read_any(spark, sheet_path, schema)
+    writers.write_shapes(clean_points(sheet, lon, lat), out)
+    return rejects
 
 
-def flatten_to_points(spark: SparkSession, documents_path: str, out: str) -> DataFrame:
-    """Nested documents to one point per house number; returns the houses without coordinates."""
-    documents, _ = readers.read_ndjson(spark, documents_path, DOCUMENT)
+def flatten_to_points(spark: SparkSession, documents_path: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """Nested documents to one point per house number; returns (broken lines, houses without coordinates)."""
+    documents, broken = readers.read_ndjson(spark, documents_path, DOCUMENT)
     points, rejects = docs.placed_points(docs.flatten_documents(documents))
-    located = points.withColumn("geometry", point(F.col("lon"), F.col("lat")))
+    located = points.withColumn("geometry", point_wkb(F.col("lon"), F.col("lat")))
     writers.write_shapes(located, out)
-    return rejects
+    return broken, rejects
 
 
 def build_department_list(spark: SparkSession, sheet: DataFrame, out: str) -> None:
     """Departments with their sorted provinces as one JSON array."""
     require_columns(sheet, "Departamento", "Provincia")
     names = docs.sorted_names(sheet, "Departamento", "Provincia", "departamento", "provincias")
-    writers.write_json_array(names, out, sort=["departamento", "part"], fields=["departamento", "provincias"])
+    writers.write_json_array(names, out, sort=["departamento"], fields=["departamento", "provincias"])
 
 
 def load_documents(
@@ -115,8 +134,9 @@ def load_documents(
     lost = misfits.select(F.to_json(F.struct(*lines.columns)).alias("line"), "reason")
     accepted, refused = Observation("accepted"), Observation("refused")
     n = F.count(F.lit(1)).alias("n")
-    good.observe(accepted, n).write.mode("append").saveAsTable(table)
+    # Rejects go first: should their folder exist already, nothing has been appended yet.
     writers.write_ndjson(broken.unionByName(lost).observe(refused, n), rejects_out)
+    good.observe(accepted, n).write.mode("append").saveAsTable(table)
     return {"succeeded": accepted.get["n"], "failed": refused.get["n"]}
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from addrspark.functions.once import evaluate_once
 from addrspark.functions.wkb import decode_shapes
-from addrspark.operators.checks import pick_column
+from addrspark.operators.checks import pick_column, require_columns
 from addrspark.schemas import DISTRICT_SHEET
 
 _BROKEN = "broken_line"
@@ -61,20 +61,45 @@ def _is_json(line: Column) -> Column:
     return F.coalesce(F.get(pair, F.lit(1)) == digest, F.lit(False))
 
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType, separator: str = ";") -> DataFrame:
-    return spark.read.schema(schema).option("sep", separator).option("header", True).csv(path)
+def read_delimited(
+    spark: SparkSession, path: str, schema: T.StructType, separator: str = ";"
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of text with a header line; columns are found by name, others are left out.
+
+    Rejects keep their texts and say which values do not fit their type.
+    """
+    lines = spark.read.option("sep", separator).option("header", True).option("inferSchema", False).csv(path)
+    return typed_columns(lines, schema)
+
+
+def typed_columns(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a frame of texts whose columns are named like the schema's."""
+    require_columns(lines, *schema.names)
+    texts = lines.select(*[F.col(f"`{n}`") for n in schema.names])
+    values = F.struct(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    misfit = [
+        F.when(F.col(f"`{f.name}`").isNotNull() & F.col("typed_values").getField(f.name).isNull(), F.lit(f.name))
+        for f in schema.fields
+    ]
+    typed = evaluate_once(texts, {"typed_values": values}).withColumn("misfits", F.concat_ws(",", *misfit))
+    reason = F.concat(F.lit("does not fit: "), F.col("misfits"))
+    return (
+        typed.filter(F.col("misfits") == "").select("typed_values.*"),
+        typed.filter(F.col("misfits") != "").withColumn("reason", reason).drop("typed_values", "misfits"),
+    )
 
 
-def read_district_sheet(spark: SparkSession, path: str) -> DataFrame:
+def read_district_sheet(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return read_delimited(spark, path, DISTRICT_SHEET)
 
 
-def read_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Choose the reader by file extension."""
+def read_any(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects), the reader chosen by file extension. Parquet is typed already and has no rejects."""
     if path.endswith((".ndjson", ".json")):
-        return spark.read.schema(schema).json(path)
+        return read_ndjson(spark, path, schema)
     if path.endswith(".parquet"):
-        return spark.read.parquet(path)
+        rows = spark.read.parquet(path)
+        return rows, rows.limit(0).withColumn("reason", F.lit(""))
     if path.endswith(".csv"):
         return read_delimited(spark, path, schema)
     raise ValueError(f"unsupported file type: {path!r} is not .ndjson, .json, .parquet or .csv")

@@ -116,6 +116,7 @@ PATCHES = """
 SELECT CASE WHEN o_orderstatus = 'P' THEN o_orderkey + 900000000 ELSE o_orderkey END AS id_via,
        'EDITED ' || o_orderpriority AS name
 FROM {orders} WHERE o_orderstatus <> 'O'
+UNION ALL SELECT o_orderkey AS id_via, 'AGAIN' AS name FROM {orders} WHERE o_orderkey % 40 = 7
 """
 
 

