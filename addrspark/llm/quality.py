@@ -20,9 +20,11 @@ from addrspark.llm import words as W
 
 BITS = 18
 SAMPLE_ROWS = 9000
-MIN_TEXTS = 10
-PENALTY = 3.0
-SCALE = 10.0
+# A feature counts when it stands in so many sampled texts and is this many standard errors away from
+# chance in one grade. Most words say nothing about quality; leaving them out keeps their noise out.
+MIN_TEXTS = 5
+MIN_Z = 5.0
+PENALTY = 1.0
 BEGINNING = 4
 ENDING = 3
 SHARE_STEPS = np.array([0.002, 0.01, 0.03, 0.1, 0.25, 0.5, 0.8])
@@ -102,14 +104,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def fit(first: np.ndarray, feature: np.ndarray, grades: np.ndarray, share: np.ndarray, levels: int) -> Model:
     """Penalised likelihood of the cumulative links by L-BFGS; ``share`` weighs rows.
 
-    Features of fewer than MIN_TEXTS sampled texts stay at zero. The first threshold and the logs of the
-    gaps above it are free, which keeps the thresholds in order.
+    Only telling features have weights. The first threshold and the logs of the gaps above it are free,
+    which keeps the thresholds in order.
     """
     number = len(grades)
-    known = np.bincount(feature, minlength=1 << BITS) >= MIN_TEXTS
-    names = np.flatnonzero(known)
     row = np.repeat(np.arange(number), np.diff(first))
-    value = _values(row, number)[known[feature]]
+    known = _telling(feature, grades[row], np.bincount(grades, minlength=levels))
+    names = np.flatnonzero(known)
     row, column = row[known[feature]], (np.cumsum(known) - 1)[feature[known[feature]]]
     penalty = PENALTY / number
 
@@ -119,11 +120,11 @@ def fit(first: np.ndarray, feature: np.ndarray, grades: np.ndarray, share: np.nd
     def loss(p: np.ndarray) -> tuple[float, np.ndarray]:
         weights, free = p[levels - 1 :], p[: levels - 1]
         ends = np.concatenate([[-40], thresholds(free), [40]])
-        score = np.bincount(row, weights[column] * value, number)
+        score = np.bincount(row, weights[column], number)
         upper, lower = _sigmoid(ends[grades + 1] - score), _sigmoid(ends[grades] - score)
         chance = np.maximum(upper - lower, 1e-12)
         d_upper, d_lower = (share * x * (1 - x) / chance / number for x in (upper, lower))
-        slope = np.bincount(column, (d_upper - d_lower)[row] * value, len(names)) + penalty * weights
+        slope = np.bincount(column, (d_upper - d_lower)[row], len(names)) + penalty * weights
         ends_slope = np.zeros(levels + 1)
         np.add.at(ends_slope, grades + 1, -d_upper)
         np.add.at(ends_slope, grades, d_lower)
@@ -139,10 +140,15 @@ def fit(first: np.ndarray, feature: np.ndarray, grades: np.ndarray, share: np.nd
     return Model(weights, thresholds(best[: levels - 1]))
 
 
-def _values(row: np.ndarray, rows: int) -> np.ndarray:
-    """The value of every feature, so that texts of any length weigh alike."""
-    counts = np.maximum(np.bincount(row, minlength=rows), 1)
-    return SCALE / np.sqrt(counts[row])
+def _telling(feature: np.ndarray, grade_of: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Features whose share of texts in some grade is far from that in the others."""
+    levels, number = len(texts), texts.sum()
+    held = np.bincount(feature * levels + grade_of, minlength=levels << BITS).reshape(-1, levels)
+    total = held.sum(axis=1, keepdims=True)
+    share = np.clip(total / number, 1e-9, 1 - 1e-9)
+    inside, outside = held / np.maximum(texts, 1), (total - held) / np.maximum(number - texts, 1)
+    error = np.sqrt(share * (1 - share) * (1 / np.maximum(texts, 1) + 1 / np.maximum(number - texts, 1)))
+    return (np.abs(inside - outside) >= MIN_Z * error).any(axis=1) & (total[:, 0] >= MIN_TEXTS)
 
 
 def _minimum(loss, p: np.ndarray, steps: int = 80, memory: int = 8) -> np.ndarray:
@@ -206,7 +212,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: s
     made = sample.mapInArrow(_feature_rows, "id bigint, grade int, share double, features binary").toArrow()
     if not made.num_rows:
         return None
+    # Copies of one text would make all its words look telling.
     made = made.sort_by("id")
+    seen = made.column("features").to_pylist()
+    once = list({x: i for i, x in reversed(list(enumerate(seen)))}.values())
+    made = made.take(sorted(once))
     lists = [np.frombuffer(x, dtype=np.int32) for x in made.column("features").to_pylist()]
     first = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
     shares = made.column("share").to_numpy()
@@ -232,7 +242,7 @@ def _scorer(model: Model):
             for lo, hi in W.row_slices(batch.column("text")):
                 part = batch.slice(lo, hi - lo)
                 row, feature = features(part.column("text"))
-                total = np.bincount(row, model.weights[feature] * _values(row, hi - lo), hi - lo)
+                total = np.bincount(row, model.weights[feature], hi - lo)
                 reach = 1 - _sigmoid(model.thresholds[None, :] - total[:, None])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), pa.array(reach.sum(axis=1)), *(pa.array(np.ascontiguousarray(x)) for x in reach.T)],
