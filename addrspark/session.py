@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -15,7 +19,9 @@ DEFAULTS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-PARTITION_BYTES = 128 << 20
+PARTITION_BYTES = 1 << 30
+# Above this the driver's tables of map outputs cost more than smaller partitions save.
+MAX_REDUCERS = 50_000
 
 
 def build_session(app: str = "addrspark", master: str | None = None, **extra: str) -> SparkSession:
@@ -27,17 +33,34 @@ def build_session(app: str = "addrspark", master: str | None = None, **extra: st
         builder = builder.config(name, value)
     for name, value in extra.items():
         builder = builder.config(name.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python steps import it.
+
+    ``build_session`` does so by itself; call it once on a session made otherwise, unless the package is
+    installed on every machine or was given to ``spark-submit --py-files``.
+    """
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="addrspark-package-")) / "addrspark.zip"
+    with zipfile.ZipFile(archive, "w") as zipped:
+        for source in sorted(package.rglob("*.py")):
+            zipped.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Set the number of shuffle partitions so that each takes about 128 MiB of the input.
+    """Set the number of shuffle partitions so that each takes about 1 GiB of the input, up to MAX_REDUCERS.
 
     Adaptive execution merges partitions that turn out small, but never makes more than it was given:
-    the default of 200 would put 500 GB of a 100 TB input into each.
+    the default of 200 would put 500 GB of a 100 TB input into each. Sorts and aggregates of a partition
+    spill, so it need not fit into memory.
     """
     cores = spark.sparkContext.defaultParallelism
-    wanted = max(cores, -(-input_bytes // PARTITION_BYTES))
+    wanted = max(cores, min(-(-input_bytes // PARTITION_BYTES), MAX_REDUCERS))
     rounded = -(-wanted // cores) * cores
     spark.conf.set("spark.sql.shuffle.partitions", str(rounded))
     return rounded

@@ -19,16 +19,25 @@ def write_ndjson(df: DataFrame, path: str, sort: list[str] | None = None, mode:
 
 
 def write_duplicate_groups(
-    split: DataFrame, path: str, sort: list[str] | None = None, mode: str = "errorifexists"
+    split: DataFrame,
+    path: str,
+    sort: list[str] | None = None,
+    mode: str = "errorifexists",
+    folders: bool = False,
 ) -> None:
-    """CSV with header in one folder per ``dup_group``, each file in ``sort`` order; no folder without rows.
+    """CSV with header, ranged by ``dup_group`` and then by ``sort``; the number is a column.
 
-    The rebalance hint lets adaptive execution cut the low groups, which hold most rows, into several
-    files.
+    With ``folders`` there is one folder per number instead, as many as the most frequent key has rows. The
+    rebalance hint then lets adaptive execution cut the low groups, which hold most rows, into several files.
     """
+    order = ["dup_group", *(sort or [])]
+    if not folders:
+        ranged = split.repartitionByRange(*order).sortWithinPartitions(*order)
+        ranged.write.mode(mode).option("header", True).csv(path)
+        return
     balanced = split.hint("rebalance", "dup_group")
     if sort:
-        balanced = balanced.sortWithinPartitions("dup_group", *sort)
+        balanced = balanced.sortWithinPartitions(*order)
     balanced.write.mode(mode).partitionBy("dup_group").option("header", True).csv(path)
 
 
@@ -85,6 +94,14 @@ def bulk_lines(
     return documents.select(F.concat_ws("\n", action, body).alias("value"))
 
 
+def bulk_chunks(lines: DataFrame, chunk_size: int = CHUNK) -> DataFrame:
+    """Bulk lines with the number of their ``chunk``; a chunk stays in one task and has at most ``chunk_size``."""
+    place = F.monotonically_increasing_id()
+    task, row = F.shiftright(place, 33), place.bitwiseAND(F.lit((1 << 33) - 1))
+    chunk = F.shiftleft(task, 33) + F.floor(row / F.lit(chunk_size))
+    return lines.select(chunk.cast("bigint").alias("chunk"), "value")
+
+
 def bulk_export(
     documents: DataFrame,
     path: str,
@@ -93,10 +110,18 @@ def bulk_export(
     id_keys: list[str] | None = None,
     source: list[str] | None = None,
     mode: str = "errorifexists",
+    file_per_chunk: bool = True,
 ) -> None:
-    """Bulk request files of at most ``chunk_size`` documents each."""
+    """Bulk request files of at most ``chunk_size`` documents each.
+
+    For many documents pass ``file_per_chunk=False``: Parquet files hold several chunks each, told apart by
+    the column ``chunk``.
+    """
     lines = bulk_lines(documents, index, id_keys, source)
-    lines.write.mode(mode).option("maxRecordsPerFile", chunk_size).text(path)
+    if file_per_chunk:
+        lines.write.mode(mode).option("maxRecordsPerFile", chunk_size).text(path)
+    else:
+        bulk_chunks(lines, chunk_size).write.mode(mode).parquet(path)
 
 
 def create_index_table(spark: SparkSession, name: str, schema: T.StructType) -> bool:

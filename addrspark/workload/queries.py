@@ -379,3 +379,10 @@ def bulk_export_lines(spark, sf):
         "target", "doc_id", "source.id_via", "source.name", "source.context",
         F.size("source.housenumbers").cast("bigint").alias("houses"),
     )
+
+
+@query
+def bulk_chunks(spark, sf):
+    chunks = writers.bulk_chunks(writers.bulk_lines(streets(spark, sf), "streets", ["id_via", "name", "postcode", "part"]), 100)
+    sizes = chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.sum("n").cast("bigint").alias("documents"), (F.max("n") <= 100).alias("within_size"))
