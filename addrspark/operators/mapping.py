@@ -86,7 +86,26 @@ def apply_mapping(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataF
 
 
 def with_keywords(df: DataFrame, limits: dict[str, int]) -> DataFrame:
-    """Add ``<field>_keyword`` for exact matching; values longer than the limit are not kept there."""
-    return df.withColumns(
-        {f"{name}_keyword": keyword(F.col(name), limit) for name, limit in limits.items() if name in df.columns}
-    )
+    """Add ``<field>_keyword`` for exact matching; values longer than the limit are not kept there.
+
+    ``outer.inner`` names a field of a struct or of the structs of an array; the keyword is added beside it.
+    """
+    for name, limit in limits.items():
+        outer, *inner = name.split(".")
+        if outer not in df.columns:
+            continue
+        if inner:
+            df = df.withColumn(outer, _beside(F.col(outer), df.schema[outer].dataType, inner, limit))
+        else:
+            df = df.withColumn(f"{outer}_keyword", keyword(F.col(outer), limit))
+    return df
+
+
+def _beside(value: Column, kind: T.DataType, path: list[str], limit: int) -> Column:
+    """``value`` with the keyword of the field at ``path``."""
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda item: _beside(item, kind.elementType, path, limit))
+    field = value.getField(path[0])
+    if len(path) == 1:
+        return value.withField(f"{path[0]}_keyword", keyword(field, limit))
+    return value.withField(path[0], _beside(field, kind[path[0]].dataType, path[1:], limit))

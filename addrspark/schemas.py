@@ -136,11 +136,13 @@ def schema_from_mapping(mapping: dict) -> T.StructType:
 
 
 def keyword_limits(mapping: dict) -> dict[str, int]:
-    """Top-level text fields that carry an exact-match sub-field, with its length limit."""
+    """Text fields that carry an exact-match sub-field, with its length limit; nested ones as ``outer.inner``."""
     body = mapping.get("mappings", mapping)
     limits = {}
     for name, spec in body["properties"].items():
         keyword = spec.get("fields", {}).get("keyword")
         if keyword:
             limits[name] = keyword.get("ignore_above", 2**31 - 1)
+        if "properties" in spec:
+            limits |= {f"{name}.{inner}": limit for inner, limit in keyword_limits(spec).items()}
     return limits

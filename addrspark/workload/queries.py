@@ -386,3 +386,10 @@ def bulk_chunks(spark, sf):
     chunks = writers.bulk_chunks(writers.bulk_lines(streets(spark, sf), "streets", ["id_via", "name", "postcode", "part"]), 100)
     sizes = chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
     return sizes.agg(F.sum("n").cast("bigint").alias("documents"), (F.max("n") <= 100).alias("within_size"))
+
+
+@query
+def nested_keywords(spark, sf):
+    limits = {k: v for k, v in schemas.keyword_limits(schemas.INDEX_MAPPING).items() if "." in k}
+    houses = mapping.with_keywords(streets(spark, sf), limits).select("id_via", "name", "postcode", F.explode("housenumbers").alias("h"))
+    return houses.select("id_via", "name", "postcode", "h.number", "h.number_keyword")

@@ -364,3 +364,12 @@ def test_shapes_are_written_as_bytes(spark, tmp_path):
     assert back.first().geometry.kind == "Point"
     writers.write_shapes(spark.read.parquet(str(tmp_path / "a")), str(tmp_path / "b"))
     assert spark.read.parquet(str(tmp_path / "b")).first().geometry == spark.read.parquet(str(tmp_path / "a")).first().geometry
+
+
+def test_keywords_beside_nested_fields(spark):
+    limits = schemas.keyword_limits(schemas.INDEX_MAPPING)
+    assert limits["housenumbers.number"] == 256 and "housenumbers.location" not in limits
+    row = (1, "n", [("5", (1.0, 2.0)), ("x" * 257, None), (None, None)])
+    df = spark.createDataFrame([row], "id int, name string, housenumbers array<struct<number: string, location: struct<lon: double, lat: double>>>")
+    got = mapping.with_keywords(df, limits).first()
+    assert got.name_keyword == "n" and [h.number_keyword for h in got.housenumbers] == ["5", None, None]
