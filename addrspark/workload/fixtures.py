@@ -178,6 +178,15 @@ def shaped_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop(*[f"{a}{i}" for a in "xy" for i in range(4)])
 
 
+def broken_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with bytes that are no shape in every 23rd lot and none in every 31st."""
+    lots = shaped_lots(spark, sf_dir)
+    cut = F.substring("geometry", 1, 9)
+    return lots.withColumn(
+        "geometry", F.when(F.col("event_id") % 23 == 0, cut).when(F.col("event_id") % 31 != 0, F.col("geometry"))
+    )
+
+
 def _lot_shape(p) -> tuple:
     """Shell and optional hole of the lot numbered ``p``."""
     x = F.lit(3e5) + (p % 50) * 4e1

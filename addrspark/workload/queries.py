@@ -393,3 +393,16 @@ def nested_keywords(spark, sf):
     limits = {k: v for k, v in schemas.keyword_limits(schemas.INDEX_MAPPING).items() if "." in k}
     houses = mapping.with_keywords(streets(spark, sf), limits).select("id_via", "name", "postcode", F.explode("housenumbers").alias("h"))
     return houses.select("id_via", "name", "postcode", "h.number", "h.number_keyword")
+
+
+@query
+def blocks_v2_broken(spark, sf):
+    _, rejects = documents.shape_block_documents(fx.broken_lots(spark, sf), districts(spark, sf))
+    return rejects.filter(F.col("reason") == "no valid WKB").select("event_id", "name_manzana", "name_lote", "reason")
+
+
+@query
+def hex_rejects(spark, sf):
+    good, broken = wkb.decode_shapes(fx.broken_lots(spark, sf), "geometry")
+    _, unsupported = spatial.hex_indexed(good)
+    return broken.select("event_id", "reason").unionByName(unsupported.select("event_id", "reason"))
