@@ -20,6 +20,7 @@ from addrspark.llm import words as W
 
 BITS = 18
 SAMPLE_ROWS = 9000
+SAMPLE_PARTS = 256
 # A feature counts when it stands in so many sampled texts and is this many standard errors away from
 # chance in one grade. Most words say nothing about quality; leaving them out keeps their noise out.
 MIN_TEXTS = 5
@@ -191,9 +192,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str)
     """
     known = labels.select(F.col(id_col).alias("label_id"), grade(F.col("quality"), F.col("toxic")).alias("grade"))
     known = known.dropna().groupBy("label_id").agg(F.min("grade").alias("grade"))
-    # Spark keeps the best rows of each task before the window, so no grade comes whole into one task.
-    picked = Window.partitionBy("grade").orderBy(F.xxhash64("label_id"), "label_id")
-    best = known.withColumn("place", F.row_number().over(picked)).filter(F.col("place") <= rows // 3)
+    # First within hash parts of a grade, so that the last choice is among a bounded number of rows.
+    known = known.withColumn("hash", F.xxhash64("label_id")).withColumn("part", F.pmod("hash", F.lit(SAMPLE_PARTS)))
+    order, place, most = [F.col("hash"), F.col("label_id")], F.row_number(), rows // 3
+    near = known.withColumn("place", place.over(Window.partitionBy("grade", "part").orderBy(*order)))
+    near = near.filter(F.col("place") <= most).drop("place")
+    best = near.withColumn("place", place.over(Window.partitionBy("grade").orderBy(*order))).filter(F.col("place") <= most)
     totals = known.groupBy("grade").agg(F.count(F.lit(1)).alias("total"))
     taken = best.groupBy("grade").agg(F.count(F.lit(1)).alias("taken")).join(totals, "grade")
     sample = best.join(taken, "grade").select("label_id", "grade", F.sqrt(F.col("total") / F.col("taken")).alias("share"))
