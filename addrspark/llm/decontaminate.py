@@ -1,10 +1,12 @@
 """Documents that hold benchmark items, found by BM25 over an index of the items.
 
-Every passage of every document is a query. Block-max WAND prunes: a passage goes on when the largest
-contributions of its terms reach the threshold, a block of items when the largest ones within the block do,
-and only items of such blocks are scored. The steps run on all passages of a slice at once, so cursors
-become sorted arrays. Scores are shares of the item's score for its own text. What is retrieved is verified
-on word n-grams of the item's question and answer.
+Every passage of every document is a query. A passage leaks an item when it holds enough word n-grams of both
+its question and its answer, or a run of its words. Each item's threshold is the least score that this can
+have, so pruning drops only what that rule rejects. Block-max WAND prunes: a passage goes on when it shares an
+n-gram with an item and the largest contributions of its terms reach the lowest threshold, a block of items
+when the largest ones within the block reach the block's, and only items of such blocks that share an n-gram
+are scored. The steps run on all passages of a slice at once, so cursors become sorted arrays. Scores are
+shares of the item's score for its own text.
 """
 
 from __future__ import annotations
@@ -21,7 +23,6 @@ from addrspark.llm import words as W
 from addrspark.llm.shared import written
 
 K1, B = 1.2, 0.75
-MIN_SCORE = 0.5
 MIN_OVERLAP = 0.5
 GRAM = 5
 RUN = 13
@@ -29,10 +30,20 @@ ITEM_BLOCK = 4
 # Items are indexed in segments, so that the table of block maxima stays small.
 SEGMENT_ITEMS = 512
 PASSAGES = 512
+PAIRS = 1 << 22
 PART_BYTES = 16 << 20
 U64 = np.uint64
 
 
+class Lookup(NamedTuple):
+    """The items that hold each of the n-grams of one length that verification counts."""
+
+    n: int
+    hashes: np.ndarray  # sorted
+    start: np.ndarray  # per hash, where its items begin
+    items: np.ndarray
+
+
 class Index(NamedTuple):
     """Items as sorted terms with their contributions, and block maxima per term (compressed rows)."""
 
@@ -48,6 +59,9 @@ class Index(NamedTuple):
     runs: list[np.ndarray]
     run_words: list[int]
     longest: int
+    least: np.ndarray  # per item, the smallest score of a passage that leaks it
+    block_least: np.ndarray
+    lookups: list[Lookup]
 
 
 def question_and_answer(text: str, count: int) -> int:
@@ -68,7 +82,50 @@ def _gram_values(hashes: np.ndarray, n: int) -> np.ndarray:
     return np.unique(W.gram_hashes(words, n)[0])
 
 
-def build_index(items: list[tuple[int | None, str]], frequency: dict[int, int], total: int, mean: float) -> Index:
+def _distinct(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted, first): the terms of every window in order, and whether each is the first of its kind there."""
+    ordered = np.sort(windows, axis=1)
+    return ordered, np.concatenate([np.ones((len(ordered), 1), bool), ordered[:, 1:] != ordered[:, :-1]], axis=1)
+
+
+def least_score(places: np.ndarray, weights: np.ndarray, question: int, min_overlap: float) -> float:
+    """A score that no passage stays below which leaks the item; ``places`` are its words as places in ``weights``.
+
+    A run of the item brings the weights of its terms. For n-grams of question and answer each term's weight is
+    dealt to the n-grams that hold it; so many n-grams as are needed bring at least the sum of the smallest shares.
+    """
+    runs, first = _distinct(np.lib.stride_tricks.sliding_window_view(places, min(RUN, len(places))))
+    by_run = (weights[runs] * first).sum(axis=1).min()
+    parts = [np.unique(np.lib.stride_tricks.sliding_window_view(p, min(GRAM, len(p))), axis=0) for p in (places[:question], places[question:]) if len(p)]
+    holders = np.zeros(len(weights))
+    for grams in parts:
+        ordered, first = _distinct(grams)
+        np.add.at(holders, ordered[first], 1)
+    by_grams = 0.0
+    for grams in parts:
+        ordered, first = _distinct(grams)
+        shares = np.sort(((weights / np.maximum(holders, 1))[ordered] * first).sum(axis=1))
+        by_grams += shares[: int(np.ceil(min_overlap * len(grams) - 1e-9))].sum()
+    return float(min(by_run, by_grams)) * (1 - 1e-9)
+
+
+def _lookups(grams: list[tuple[int, np.ndarray, int]]) -> list[Lookup]:
+    """Lookups of (length, n-grams, item), one per length."""
+    out = []
+    for n in sorted({n for n, values, _ in grams if len(values)}):
+        own = [(values, item) for m, values, item in grams if m == n]
+        hashes = np.concatenate([v for v, _ in own])
+        items = np.repeat([item for _, item in own], [len(v) for v, _ in own])
+        order = np.lexsort((items, hashes))
+        hashes, items = hashes[order], items[order]
+        known, start = np.unique(hashes, return_index=True)
+        out.append(Lookup(n, known, np.append(start, len(hashes)), items))
+    return out
+
+
+def build_index(
+    items: list[tuple[int | None, str]], frequency: dict[int, int], total: int, mean: float, min_overlap: float = MIN_OVERLAP
+) -> Index:
     """The index of one part of the items, with frequencies of all of them."""
     ids, item_words, splits = [], [], []
     for item, text in items:
@@ -79,13 +136,14 @@ def build_index(items: list[tuple[int | None, str]], frequency: dict[int, int],
             splits.append(question_and_answer(text, len(hashes)))
     terms = np.unique(np.concatenate(item_words)) if item_words else np.empty(0, U64)
     idf = np.array([np.log(1 + (total - n + 0.5) / (n + 0.5)) for n in (frequency[int(t)] for t in terms.view(np.int64))])
-    item_terms, item_weights = [], []
-    for hashes in item_words:
-        own, times = np.unique(hashes, return_counts=True)
+    item_terms, item_weights, least = [], [], []
+    for hashes, question in zip(item_words, splits, strict=True):
+        own, places, times = np.unique(hashes, return_inverse=True, return_counts=True)
         at = np.searchsorted(terms, own)
         weight = idf[at] * times * (K1 + 1) / (times + K1 * (1 - B + B * len(hashes) / mean))
         item_terms.append(at)
         item_weights.append(weight / weight.sum())
+        least.append(least_score(places, item_weights[-1], question, min_overlap))
     rows = np.concatenate(item_terms) if ids else np.empty(0, np.int64)
     weights = np.concatenate(item_weights) if ids else np.empty(0)
     item_sizes = np.array([len(t) for t in item_terms], dtype=np.int64)
@@ -101,8 +159,13 @@ def build_index(items: list[tuple[int | None, str]], frequency: dict[int, int],
     run_words = [min(RUN, len(h)) for h in item_words]
     runs = [_gram_values(h, n) for h, n in zip(item_words, run_words, strict=True)]
     longest = max((len(h) for h in item_words), default=0)
+    block_least = np.full(n_blocks, np.inf)
+    np.minimum.at(block_least, np.arange(len(ids)) // ITEM_BLOCK, least)
+    counted = [(min(GRAM, n), g, i) for i, both in enumerate(zip(grams, part_words, strict=True)) for g, n in zip(*both, strict=True)]
+    lookups = _lookups(counted + [(n, r, i) for i, (r, n) in enumerate(zip(runs, run_words, strict=True))])
     return Index(
-        ids, terms, most, block_most, item_start, rows, weights, grams, part_words, runs, run_words, longest
+        ids, terms, most, block_most, item_start, rows, weights, grams, part_words, runs, run_words, longest,
+        np.array(least), block_least, lookups,
     )
 
 
@@ -120,20 +183,50 @@ def _passages(first: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray,
     return row, begin, np.minimum(begin + 2 * step, first[row + 1])
 
 
-def _retrieve(index: Index, words: W.Words, threshold: float) -> Iterator[tuple[int, int, int, int, float]]:
-    """(row, begin, end, item, score) of every passage and item with a score of ``threshold`` or more."""
+def _expanded(low: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers ``low`` to ``low + size`` of each pair in a row."""
+    return np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def _sharing(index: Index, words: W.Words, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Sorted ``passage * items + item`` of all that share an n-gram that verification counts."""
+    pairs = [np.empty(0, np.int64)]
+    for n, known, start, items in index.lookups:
+        hashes, at = W.gram_hashes(words, n)
+        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        hit = np.flatnonzero(known[place] == hashes)
+        low = np.searchsorted(end, at[hit] + n)
+        size = np.maximum(np.searchsorted(begin, at[hit], "right") - low, 0)
+        passage, gram = np.divmod(np.unique(_expanded(low, size) * len(known) + np.repeat(place[hit], size)), len(known))
+        size = start[gram + 1] - start[gram]
+        ends = np.cumsum(size)
+        cuts = np.searchsorted(ends, np.arange(PAIRS, ends[-1], PAIRS)) if len(ends) else []
+        for a, b in zip([0, *cuts], [*cuts, len(gram)], strict=True):
+            of = items[_expanded(start[gram[a:b]], size[a:b])]
+            pairs.append(np.unique(np.repeat(passage[a:b], size[a:b]) * len(index.ids) + of))
+    return np.unique(np.concatenate(pairs))
+
+
+def _retrieve(index: Index, words: W.Words) -> Iterator[tuple[int, int, int, int, float]]:
+    """(row, begin, end, item, score) of every passage and item that verification may accept."""
     row, begin, end = _passages(words.first, index.longest)
+    sharing = _sharing(index, words, begin, end)
+    asked = np.unique(sharing // len(index.ids))
+    if not len(asked):
+        return
+    row, begin, end = row[asked], begin[asked], end[asked]
+    sharing = np.searchsorted(asked, sharing // len(index.ids)) * len(index.ids) + sharing % len(index.ids)
     place = np.minimum(np.searchsorted(index.terms, words.hashes), len(index.terms) - 1)
     known = np.flatnonzero(index.terms[place] == words.hashes)
     low, high = np.searchsorted(known, begin), np.searchsorted(known, end)
     size = high - low
     passage = np.repeat(np.arange(len(row)), size)
-    at = known[np.repeat(low - (np.cumsum(size) - size), size) + np.arange(len(passage))]
+    at = known[_expanded(low, size)]
     n_terms = len(index.terms)
     held = np.unique(passage * n_terms + place[at])
     passage, term = np.divmod(held, n_terms)
     bound = np.bincount(passage, index.most[term], len(row))
-    able = bound[passage] >= threshold
+    able = bound[passage] >= index.least.min()
     passage, term = passage[able], term[able]
     if not len(passage):
         return
@@ -143,19 +236,21 @@ def _retrieve(index: Index, words: W.Words, threshold: float) -> Iterator[tuple[
         some = starts[low : low + PASSAGES]
         stop = starts[low + PASSAGES] if low + PASSAGES < len(starts) else len(term)
         reach = np.add.reduceat(index.block_most[term[some[0] : stop]], some - some[0], axis=0)
-        at, block = np.nonzero(reach >= threshold - 1e-4)
+        at, block = np.nonzero(reach >= index.block_least - 1e-4)
         reached.append((passage[some][at], block))
     passage, block = (np.concatenate(x) for x in zip(*reached, strict=True))
-    item = (block[:, None] * ITEM_BLOCK + np.arange(ITEM_BLOCK)).ravel()
-    passage = np.repeat(passage, ITEM_BLOCK)[item < len(index.ids)]
-    item = item[item < len(index.ids)]
+    passage_of, item = np.divmod(sharing, len(index.ids))
+    reached = passage * len(index.block_least) + block  # sorted
+    wanted = passage_of * len(index.block_least) + item // ITEM_BLOCK
+    kept = reached[np.minimum(np.searchsorted(reached, wanted), len(reached) - 1)] == wanted if len(reached) else np.zeros(len(item), bool)
+    passage, item = passage_of[kept], item[kept]
     sizes = index.item_start[item + 1] - index.item_start[item]
     of = np.repeat(np.arange(len(item)), sizes)
-    entry = np.repeat(index.item_start[item] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(of))
+    entry = _expanded(index.item_start[item], sizes)
     wanted = passage[of] * n_terms + index.item_terms[entry]
     has = held[np.minimum(np.searchsorted(held, wanted), len(held) - 1)] == wanted
     score = np.bincount(of[has], index.item_weights[entry[has]], len(item))
-    for k in np.flatnonzero(score >= threshold):
+    for k in np.flatnonzero(score >= index.least[item]):
         p = passage[k]
         yield int(row[p]), int(begin[p]), int(end[p]), int(item[k]), float(score[k])
 
@@ -172,7 +267,7 @@ def _verified(index: Index, item: int, hashes: np.ndarray, min_overlap: float) -
     )
 
 
-def _marker(segments: list[Index], threshold: float, min_overlap: float):
+def _marker(segments: list[Index], min_overlap: float):
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in W.row_slices(batch.column("text")):
@@ -181,7 +276,7 @@ def _marker(segments: list[Index], threshold: float, min_overlap: float):
                 found = part.column("items").to_pylist()
                 for index in segments if len(words.hashes) else ():
                     items: list[dict[int, float]] = [{} for _ in range(hi - lo)]
-                    for row, begin, end, item, score in _retrieve(index, words, threshold):
+                    for row, begin, end, item, score in _retrieve(index, words):
                         if score > items[row].get(item, 0) and (
                             item in items[row] or _verified(index, item, words.hashes[begin:end], min_overlap)
                         ):
@@ -196,18 +291,21 @@ def _marker(segments: list[Index], threshold: float, min_overlap: float):
 def mark_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
-    threshold: float = MIN_SCORE,
     min_overlap: float = MIN_OVERLAP,
     text_col: str = "text",
 ) -> DataFrame:
     """(row, items): every input row as a struct, and the verified benchmark items in it with their scores.
 
     Words are runs of letters, digits and non-ASCII characters in lower case. Null and empty texts hold nothing, and neither do items without words; null item ids stay null. An
-    item's question is its text up to the last question mark, else the first half; the rest is its answer.
+    item's question is its text up to the last question mark, else the first half; the rest is its answer. An
+    item is found where ``min_overlap`` (above 0) of the 5-grams of both stand in a passage, or any 13 of its words
+    in a row (all of them, in a shorter item). The score does not decide.
     Documents pass through in one piece without a shuffle, repeated rows are judged each, and their columns
     may have any name. The index of a part of the items of about 16 MB of text goes to every task; a larger
     benchmark is taken part by part, with the documents written in between.
     """
+    if not 0 < min_overlap <= 1:
+        raise ValueError(f"min_overlap must be above 0 and at most 1, not {min_overlap}")
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
     hashed = written(items.mapInArrow(_item_terms, "length bigint, terms array<bigint>"), "terms")
     frequency = hashed.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
@@ -226,8 +324,8 @@ def mark_leaks(
         known = {r["term"]: r["n"] for r in frequency.join(terms.distinct(), "term").collect()}
         rows = [(r["item_id"], r["text"]) for r in chosen.orderBy("item_id", "text").collect()]
         cut = [rows[i : i + SEGMENT_ITEMS] for i in range(0, len(rows), SEGMENT_ITEMS)]
-        segments = [x for x in (build_index(c, known, seen[0], seen[1] or 1.0) for c in cut) if x.ids]
-        marked = marked.mapInArrow(_marker(segments, threshold, min_overlap), marked.schema)
+        segments = [x for x in (build_index(c, known, seen[0], seen[1] or 1.0, min_overlap) for c in cut) if x.ids]
+        marked = marked.mapInArrow(_marker(segments, min_overlap), marked.schema)
         if k < parts - 1:
             marked = written(marked, "marked")
     return marked.select("row", "items")

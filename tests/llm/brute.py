@@ -122,5 +122,29 @@ def leaks(text: str | None, items: list[tuple[int | None, str | None]]) -> list[
     return found
 
 
+def partial_leaks(text: str | None, items: list[tuple[int, str]]) -> list[int]:
+    """Items without question marks of which some passage holds half of the 5-grams of both halves, or 13 words in a row."""
+
+    def grams(said: list[str], n: int) -> set[tuple[str, ...]]:
+        return {tuple(said[k : k + n]) for k in range(len(said) - n + 1)}
+
+    own = ALNUM.findall((text or "").lower())
+    wanted = {item: ALNUM.findall(said.lower()) for item, said in items}
+    step = max(64, *map(len, wanted.values()))
+    passages = [own[k : k + 2 * step] for k in range(0, max(len(own) - step, 1), step)]
+    found = []
+    for item, said in wanted.items():
+        halves = [h for h in (said[: len(said) // 2], said[len(said) // 2 :]) if h]
+        run = min(13, len(said))
+        for passage in passages:
+            held = all(
+                2 * len(grams(h, n) & grams(passage, n)) >= len(grams(h, n)) for h in halves for n in [min(5, len(h))]
+            )
+            if held or grams(said, run) & grams(passage, run):
+                found.append(item)
+                break
+    return found
+
+
 def rows_of(df) -> list[str]:
     return sorted(repr(dict(sorted(r.asDict().items()))) for r in df.collect())

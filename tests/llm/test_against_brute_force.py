@@ -11,7 +11,7 @@ from addrspark.llm import decontaminate, hash_tree, license_scan, mixing, near_j
 from addrspark.llm import words as W
 from addrspark.llm.components import components
 from addrspark.llm.queries import QUERIES
-from brute import edge_documents, edge_tables, leaks, prose, similar, words, write_tables
+from brute import edge_documents, edge_tables, leaks, partial_leaks, prose, similar, words, write_tables
 
 
 @pytest.fixture(scope="module")
@@ -126,6 +126,47 @@ def test_leaks_in_parts_and_segments(spark, monkeypatch, part_bytes, segment):
     assert got == {i: leaks(t, items) for i, t in rows}
 
 
+def test_partial_quotes_are_leaks(spark):
+    rng = random.Random(13)
+    items = [(i, prose(rng, 5 + 3 * i, 60 if i % 2 else 4000)) for i in range(24)]
+    rows = []
+    for i in range(360):
+        said = items[i % 24][1].split()
+        length = rng.choice([4, 9, 12, 13, 14, 20, 30])
+        at = rng.randrange(max(1, len(said) - length + 1))
+        quote = said[at : at + length]
+        if i % 3 == 0:  # the whole item with some words changed
+            quote = [f"new{k}" if rng.random() < 0.08 else w for k, w in enumerate(said)]
+        around = 60 if i % 5 == 0 else 4000
+        rows.append((i, " ".join([prose(rng, rng.randrange(200), around), *quote, prose(rng, rng.randrange(200), around)])))
+    found = decontaminate.mark_leaks(frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string"))
+    got = {r.row.doc_id: sorted(x.item for x in r["items"]) for r in found.collect()}
+    want = {i: partial_leaks(t, items) for i, t in rows}
+    assert got == want
+    assert any(i % 24 > 12 and found and not leaks(rows[i][1], items) for i, found in want.items())
+    assert not all(want.values())
+
+
+def test_no_leak_scores_below_its_threshold():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        places = rng.integers(0, rng.integers(1, 40), rng.integers(1, 60))
+        weights = rng.random(40)
+        question = int(rng.integers(0, len(places)))
+        least = decontaminate.least_score(places, weights, question, 0.5)
+        parts = [p for p in (places[:question], places[question:]) if len(p)]
+        for _ in range(20):
+            held = set()
+            for part in parts:  # as many n-grams as are needed, and all that their words bring
+                n = min(5, len(part))
+                grams = sorted({tuple(part[k : k + n]) for k in range(len(part) - n + 1)})
+                for g in rng.permutation(len(grams))[: -(-len(grams) // 2)]:
+                    held |= set(grams[g])
+            assert weights[list(held)].sum() >= least
+        run = min(13, len(places))
+        assert all(weights[np.unique(places[k : k + run])].sum() >= least for k in range(len(places) - run + 1))
+
+
 def test_shards_follow_their_weights_and_moves_stay_in_the_subtree(spark):
     docs = spark.range(40_000).selectExpr("id doc_id")
     tree = hash_tree.even_tree(8)
