@@ -240,3 +240,41 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_re
        sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i - 1)) END, ' '), '')) AS kept_sha256
 FROM d LEFT JOIN l USING (line)
 """
+
+ORACLE["op11_quality_rules"] = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS line, doc_id, coalesce(text, '') AS t,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), c AS (
+  SELECT line, doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals, length(regexp_replace(t, '[^!]', '', 'g')) AS n_exclamations,
+         length(regexp_replace(t, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g')) AS n_letters
+  FROM d
+), l AS (
+  SELECT line, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup_lines
+  FROM (SELECT line, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY line
+), g AS (
+  SELECT line, start, md5(array_to_string(w[start + 1:start + 5], ' ')) AS words
+  FROM (SELECT line, w, unnest(range(len(w) - 4)) AS start FROM d WHERE len(w) >= 5)
+), r AS (
+  SELECT line, count(DISTINCT place) AS n_repeat_words FROM (
+    SELECT line, unnest(range(start, start + 5)) AS place
+    FROM (SELECT *, count(*) OVER (PARTITION BY line, words) AS n FROM g) WHERE n > 1
+  ) GROUP BY line
+), o AS (
+  SELECT line, max(n) AS n_top_word
+  FROM (SELECT line, x, count(*) AS n FROM (SELECT line, unnest(w) AS x FROM d) GROUP BY line, x) GROUP BY line
+), m AS (
+  SELECT doc_id, n_words, word_chars, n_symbols, n_capitals, n_exclamations, n_letters, coalesce(n_lines, 0) AS n_lines,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         coalesce(n_top_word, 0) AS n_top_word
+  FROM c LEFT JOIN l USING (line) LEFT JOIN r USING (line) LEFT JOIN o USING (line)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+            OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR 10 * n_capitals > 4 * word_chars
+            OR 2 * n_exclamations > n_words OR 10 * n_letters < 4 * word_chars OR 10 * n_top_word > 4 * n_words) AS kept
+FROM m
+"""

@@ -16,6 +16,7 @@ from addrspark.llm import (
     mixing,
     near_join,
     quality,
+    quality_rules,
     substring_dedup,
     token_counts,
 )
@@ -89,3 +90,8 @@ def op6_quality(spark, sf):
 @query
 def op4_token_counts(spark, sf):
     return token_counts.count_tokens(table(spark, sf, "documents"))
+
+
+@query
+def op11_quality_rules(spark, sf):
+    return quality_rules.rule_digest(table(spark, sf, "documents"))

@@ -18,9 +18,10 @@ TABLES = {
     "labels": pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32())]),
     "pages": pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())]),
     "benchmark": pa.schema([("item_id", pa.int64()), ("text", pa.string())]),
+    "conversations": pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())]),
 }
 # Columns that the operators use inside; tables may have them already.
-CLASHING = ["id", "node", "norm", "hash", "size", "bucket", "row", "items", "kept", "shard", "rank", "start", "places", "word", "label_id"]
+CLASHING = ["id", "node", "norm", "hash", "size", "bucket", "row", "items", "kept", "shard", "rank", "start", "places", "word", "label_id", "n", "form", "depth", "conv", "counts"]
 
 
 def words(text: str | None) -> tuple[str, ...]:
@@ -53,6 +54,7 @@ def edge_documents() -> list[tuple]:
         base.replace(" ", "  \n", 40), long_text, long_text + " end", prose(rng, 80) + " " + passage,
         passage + "\n" + prose(rng, 90), passage.upper(), passage + " " + passage, "same " * 200, "same " * 150,
         "Licensed under CC BY-NC 4.0. All rights reserved.", "GNU General Public License, version 3, cc by",
+        "!! " * 30, "AA BB CC\n" * 12, "| a b\n" * 3 + "x y z | c d e f g", "1 2 3 4 5 6 7 8 9 10 11 12", " \n a b\n\n a b \n a b\r\nq\n", "ab " * 9 + "cd",
         "Ünïcode wörds äre kept — « quoted » ünïcode\u00a0x", prose(rng, 19), prose(rng, 20),
     ]
     for k in range(6):  # near copies, each with one word changed
@@ -66,6 +68,27 @@ def edge_documents() -> list[tuple]:
     return rows
 
 
+def edge_conversations() -> list[tuple]:
+    """Nulls everywhere, ties, repeated rows, absent and short first conversations, copies, one long conversation."""
+    rng = random.Random(15)
+    said = [prose(rng, n) for n in (0, 1, 3, 8, 20)]
+    rows = []
+    for c in range(130):
+        start = 2 if c in (20, 40) else 0
+        length = {0: 6, 20: 1, 60: 2, 100: 5, 101: 90}.get(c, rng.randrange(1, 9))
+        if c == 80:
+            continue  # the others of its twenty have no first conversation
+        for t in range(start, start + length):
+            rows.append((c, t, ("user", "assistant")[t % 2], said[0 if c % 3 else rng.randrange(5)]))
+    for c in range(200, 240):  # copies of one conversation
+        rows += [(c, t, "user", said[t % 5]) for t in range(12)]
+    rows += [(300, None, None, None), (300, None, "user", "b a"), (300, 1, None, None), (300, 1, "user", None), (300, 1, "user", "x y")]
+    rows += [rows[3], rows[3], rows[-1], (None, 1, "user", "nobody said this"), (None, None, None, None)]
+    rows += [(-7, 0, "user", "minus"), (-7, 1, "user", "two words"), (-20, 5, "user", "below")]
+    rng.shuffle(rows)
+    return rows
+
+
 def edge_tables(folder) -> str:
     docs = edge_documents()
     item = docs[14][1]
@@ -76,7 +99,7 @@ def edge_tables(folder) -> str:
     ]
     pages = [(i, u, None) for i, u in enumerate(urls)] + [(5, urls[5], "x"), (None, "http://x.net/a", None)]
     benchmark = [(1, " ".join(item.split()[80:])), (2, None), (3, ""), (None, prose(random.Random(8), 30)), (4, "what is it? a thing of its own kind")]
-    return write_tables(folder, {"documents": docs, "labels": labels, "pages": pages, "benchmark": benchmark}, clashing=True)
+    return write_tables(folder, {"documents": docs, "labels": labels, "pages": pages, "benchmark": benchmark, "conversations": edge_conversations()}, clashing=True)
 
 
 def similar(rows: list[tuple[int | None, str | None]], threshold: float = 0.8, gram: int = 5) -> list[tuple]:

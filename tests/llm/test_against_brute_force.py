@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from addrspark.llm import decontaminate, hash_tree, license_scan, mixing, near_join, quality, substring_dedup, token_counts
+from addrspark.llm import decontaminate, hash_tree, license_scan, mixing, near_join, quality, quality_rules, substring_dedup, token_counts
 from addrspark.llm import words as W
 from addrspark.llm.components import components
 from addrspark.llm.queries import QUERIES
@@ -284,3 +284,47 @@ def test_pipeline_stages_on_hard_cases(spark, edges):
         if name != "sharding":
             docs = corpus_pipeline.written(out, "stage")
     assert sorted(r.slot for r in out.filter("shard = 0").collect()) == list(range(out.filter("shard = 0").count()))
+
+
+def test_cascade_takes_the_best_rejection_per_cost_first():
+    rules = [r for r in quality_rules.RULES if r.name in ("few_words", "symbols", "duplicate_lines", "capitals")]
+    bits = {r.name: 1 << k for k, r in enumerate(rules)}
+    # Capitals reject most, but nothing that symbols leave; lines are dear.
+    outcomes = [(bits["symbols"] | bits["capitals"], 50, 5000), (bits["symbols"], 10, 1000), (bits["duplicate_lines"], 30, 3000), (0, 100, 10_000)]
+    cost = {"scan": 1e-8, "words": 1e-9, "characters": 2e-9, "lines": 1e-6}
+    order = [r.name for r in quality_rules.cascade_order(rules, outcomes, cost)]
+    assert order == ["capitals", "symbols", "duplicate_lines", "few_words"]
+    cheap = [r.name for r in quality_rules.cascade_order(rules, outcomes, {**cost, "characters": 1e-5})]
+    assert cheap[0] == "duplicate_lines"
+
+
+def test_cascade_measures_only_what_is_left():
+    import pyarrow as pa
+
+    texts = pa.array(["| | | | a b c d e f g h i", "one two", "a b c d e f g h i j k", None, "x " * 50], pa.string())
+    rules = {r.name: r for r in quality_rules.RULES}
+    seen, by = quality_rules.run_cascade(texts, [rules[n] for n in ("symbols", "few_words", "top_word")])
+    assert by.tolist() == [0, 1, -1, 1, 2]
+    assert seen.known["top_word"].tolist() == [False, False, True, False, True]
+    whole, _ = quality_rules.run_cascade(texts, [], quality_rules.BASE_GROUPS)
+    later, _ = quality_rules.run_cascade(texts, [rules["symbols"], rules["few_words"]], quality_rules.BASE_GROUPS)
+    for name in ("n_words", "word_chars", "n_dup_lines", "n_repeat_words"):
+        assert later.counts[name].tolist() == whole.counts[name].tolist()
+
+
+def test_verdict_does_not_depend_on_the_order(spark, edges):
+    docs = spark.read.parquet(f"{edges}/documents.parquet")
+    verdicts = [
+        Counter((r.row.doc_id, r.kept) for r in quality_rules.judge_texts(docs, rules).select("row", "kept").collect())
+        for rules in (quality_rules.RULES, quality_rules.RULES[::-1])
+    ]
+    assert verdicts[0] == verdicts[1]
+    assert set(docs.columns) == set(quality_rules.judge_texts(docs).select("row.*").columns)
+
+
+def test_quality_rules_by_label(spark):
+    folder = "/root/testdata/sf0.1"
+    judged = quality_rules.rule_digest(spark.read.parquet(f"{folder}/documents.parquet"))
+    rows = judged.filter("n_words >= 10").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
+    assert np.mean([r.kept for r in rows if r.quality == 1]) > 0.99
+    assert np.mean([r.kept for r in rows if r.quality == 0 and r.toxic == 0]) < 0.02
