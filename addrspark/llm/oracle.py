@@ -278,3 +278,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR 2 * n_exclamations > n_words OR 10 * n_letters < 4 * word_chars OR 10 * n_top_word > 4 * n_words) AS kept
 FROM m
 """
+
+# The unsigned checksum of a string x, as an expression over the table of the checksum.
+_CRC_TABLE = r"""SELECT list(list_reduce([n::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS tab FROM range(256) g(n)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+      list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)),
+      lambda a, x: xor(tab[(xor(a, x) & 255) + 1], a >> 8)))"""
+
+
+ORACLE["op12_conversation_trie"] = rf"""
+WITH t AS ({_CRC_TABLE}), p AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) AS pos, said, words FROM (
+    SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
+           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS words
+    FROM conversations WHERE conv_id IS NOT NULL)
+), c AS MATERIALIZED (
+  SELECT conv_id, conv_id - conv_id % 20 AS first, ({_crc32("conv_id::VARCHAR")} % 4)::BIGINT AS h
+  FROM (SELECT DISTINCT conv_id FROM p), t
+), opened AS MATERIALIZED (
+  SELECT c.conv_id, p.pos AS depth, said, words FROM c JOIN p ON p.conv_id = c.first AND p.pos <= c.h
+), k AS (SELECT conv_id, count(*) AS k FROM opened GROUP BY conv_id
+), r AS (
+  SELECT conv_id, 0 AS depth, '' AS said, 0 AS words FROM c UNION ALL SELECT * FROM opened UNION ALL
+  SELECT conv_id, p.pos - h + coalesce(k, 0), said, words FROM p JOIN c USING (conv_id) LEFT JOIN k USING (conv_id) WHERE p.pos > h
+), s AS MATERIALIZED (
+  SELECT conv_id, depth, words, string_agg(said, '') OVER w AS node, lag(depth) OVER w AS up, lead(depth) OVER w IS NULL AS ends
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), n AS MATERIALIZED (
+  SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, max(words) AS words, bool_and(ends) AS leaf,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM s GROUP BY node
+), o AS (
+  SELECT s.node, sum(n.leaf::INT) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved, sum((n.depth = s.depth + 1)::INT) AS n_children
+  FROM n JOIN s ON s.conv_id = n.conv_id AND s.depth <= n.depth GROUP BY s.node
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, n_children::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN o ON n.node = o.node
+LEFT JOIN s ON s.conv_id = n.conv_id AND s.depth = n.depth - 1 LEFT JOIN n u ON u.node = s.node
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from addrspark.llm import (
+    conversation_trie,
     decontaminate,
     exact_dedup,
     hash_tree,
@@ -95,3 +96,8 @@ def op4_token_counts(spark, sf):
 @query
 def op11_quality_rules(spark, sf):
     return quality_rules.rule_digest(table(spark, sf, "documents"))
+
+
+@query
+def op12_conversation_trie(spark, sf):
+    return conversation_trie.conversation_trie(table(spark, sf, "conversations"), rebuild=True)

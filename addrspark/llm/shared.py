@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -33,3 +34,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/addrspark-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def with_common(left: DataFrame, right: DataFrame, on: list[str], times: str, share: int = 1000) -> DataFrame:
+    """Inner join of ``left`` with ``right``, where column ``times`` of ``right`` counts the rows of ``left`` with its key.
+
+    Keys on more than one in ``share`` rows, of which there are fewer than ``share``, are broadcast, with the
+    rows of ``right`` that they have; all others are joined by a shuffle. Both sides are read twice and should
+    be written tables. ``times`` is dropped.
+    """
+    total = right.select(*on, times).distinct().agg(F.sum(times)).first()[0] or 0
+    heavy = F.col(times) * share > total
+    common = right.filter(heavy).drop(times)
+    keys = F.broadcast(common.select(*on).distinct())
+    rest = left.join(keys, on, "left_anti").join(right.filter(~heavy).drop(times), on)
+    return left.join(F.broadcast(common), on).unionByName(rest)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import random
 import re
@@ -169,5 +170,25 @@ def partial_leaks(text: str | None, items: list[tuple[int, str]]) -> list[int]:
     return found
 
 
+def trie(turns: dict[int, list[tuple[str, str]]]) -> list[tuple]:
+    """(conv_id, depth, parent, n_convs, n_children, n_leaves, saved_tokens, ends_sha256) of every node of ordered turns."""
+    members, ends = defaultdict(set), defaultdict(list)
+    for c, said in turns.items():
+        for d in range(len(said) + 1):
+            members[tuple(said[:d])].add(c)
+        ends[tuple(said)].append(c)
+    out = []
+    for node, convs in members.items():
+        below = [n for n in members if n[: len(node)] == node]
+        leaves = sum(not any(len(m) == len(n) + 1 and m[: len(n)] == n for m in below) for n in below)
+        saved = sum((len(members[n]) - 1) * len(n[-1][1].split()) for n in below if n)
+        ids = ",".join(map(str, sorted(ends[node])))
+        out.append((
+            min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs),
+            sum(len(n) == len(node) + 1 for n in below), leaves, saved, hashlib.sha256(ids.encode()).hexdigest(),
+        ))
+    return out
+
+
 def rows_of(df) -> list[str]:
     return sorted(repr(dict(sorted(r.asDict().items()))) for r in df.collect())

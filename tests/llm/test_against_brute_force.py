@@ -7,11 +7,11 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from addrspark.llm import decontaminate, hash_tree, license_scan, mixing, near_join, quality, quality_rules, substring_dedup, token_counts
+from addrspark.llm import conversation_trie, decontaminate, hash_tree, license_scan, mixing, near_join, quality, quality_rules, substring_dedup, token_counts
 from addrspark.llm import words as W
 from addrspark.llm.components import components
 from addrspark.llm.queries import QUERIES
-from brute import edge_documents, edge_tables, leaks, partial_leaks, prose, similar, words, write_tables
+from brute import edge_documents, edge_tables, leaks, partial_leaks, prose, similar, trie, words, write_tables
 
 
 @pytest.fixture(scope="module")
@@ -328,3 +328,31 @@ def test_quality_rules_by_label(spark):
     rows = judged.filter("n_words >= 10").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
     assert np.mean([r.kept for r in rows if r.quality == 1]) > 0.99
     assert np.mean([r.kept for r in rows if r.quality == 0 and r.toxic == 0]) < 0.02
+
+
+@pytest.mark.parametrize("band,stretch", [(2, 4), (3, 5), (16, 4096)])
+def test_trie_of_deep_and_common_conversations(spark, band, stretch):
+    rng = random.Random(band)
+    common = [("user", prose(rng, rng.randrange(4))) for _ in range(40)]
+    turns = {c: common[: rng.randrange(1, 41)] for c in range(0, 300, 3)}  # all share their beginnings
+    turns |= {c: [*common[: rng.randrange(9)], *[("bot", f"x y {rng.randrange(3)}") for _ in range(rng.randrange(6))]] for c in range(1, 90, 3)}
+    turns |= {9000 + c: [("user", "same"), ("user", "same again")] for c in range(60)}
+    turns = {c: said for c, said in turns.items() if said}
+    rows = [(c, t, role, text) for c, said in turns.items() for t, (role, text) in enumerate(said)]
+    rng.shuffle(rows)
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(4)
+    got = conversation_trie.conversation_trie(table, band=band, stretch=stretch).collect()
+    assert Counter(map(tuple, got)) == Counter(trie(turns))
+
+
+def test_long_conversation_is_cut_over_partitions(spark):
+    table = spark.range(20_000).selectExpr("5 conv_id", "id div 3 turn", "'user' role", "concat('w ', id % 7) text")
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    try:
+        placed = conversation_trie.ordered_turns(table)
+        assert sorted(r.pos for r in placed.collect()) == list(range(1, 20_001))
+        turns = {f.rsplit("/", 1)[0] for f in placed.inputFiles()}
+        assert spark.read.parquet(*turns).groupBy("part").count().agg({"count": "max"}).first()[0] < 10_000
+    finally:
+        spark.conf.set(merge, "true")
