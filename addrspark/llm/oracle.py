@@ -321,3 +321,34 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_con
 FROM n JOIN o ON n.node = o.node
 LEFT JOIN s ON s.conv_id = n.conv_id AND s.depth = n.depth - 1 LEFT JOIN n u ON u.node = s.node
 """
+
+ORACLE["op13_spelling_variants"] = rf"""
+WITH RECURSIVE t AS ({_CRC_TABLE}), r0 AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), r AS (
+  SELECT run, {_crc32("id || ':' || run")} AS h, length(run) AS len FROM r0, t WHERE length(run) >= 7
+), v AS MATERIALIZED (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % len)::BIGINT) || substr(run, (h % len)::BIGINT + 2) ELSE run END AS word FROM r
+  ) WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2
+), x AS MATERIALIZED (
+  SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS short FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)
+), near AS MATERIALIZED (
+  SELECT DISTINCT word, near FROM (
+    SELECT a.word, b.word AS near FROM x a JOIN x b ON a.short = b.short AND a.i = b.i AND a.word <> b.word
+    UNION ALL SELECT x.word, v.word FROM x JOIN v ON x.short = v.word
+    UNION ALL SELECT v.word, x.word FROM x JOIN v ON x.short = v.word)
+), b AS (
+  SELECT near.word, count(*) AS n_near, arg_min(near, (-v.n, near)) AS best, max(v.n) AS best_n
+  FROM near JOIN v ON v.word = near.near GROUP BY near.word
+), f AS MATERIALIZED (
+  SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form,
+         CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+  FROM v LEFT JOIN b ON v.word = b.word
+), c AS (
+  SELECT word, word AS at, form AS further FROM f
+  UNION ALL SELECT c.word, f.word, f.form FROM c JOIN f ON f.word = c.further
+)
+SELECT f.word, form, c.at AS root, n, n_near, form_n FROM f JOIN c ON c.word = f.word AND c.further IS NULL
+"""

@@ -18,6 +18,7 @@ from addrspark.llm import (
     near_join,
     quality,
     quality_rules,
+    spelling_variants,
     substring_dedup,
     token_counts,
 )
@@ -101,3 +102,8 @@ def op11_quality_rules(spark, sf):
 @query
 def op12_conversation_trie(spark, sf):
     return conversation_trie.conversation_trie(table(spark, sf, "conversations"), rebuild=True)
+
+
+@query
+def op13_spelling_variants(spark, sf):
+    return spelling_variants.spelling_variants(table(spark, sf, "documents"))

@@ -168,3 +168,9 @@ def gram_hashes(words: Words, n: int, seed: int = 7) -> tuple[np.ndarray, np.nda
 def rows_of(words: Words) -> np.ndarray:
     """The row of every word."""
     return np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+
+
+def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of ``symbols[starts:ends]`` for each pair; symbols are any whole numbers."""
+    values = mix(symbols.astype(U64) + U64(_odd(seed)))
+    return mix(_rolling(values, starts, ends, _odd(seed + 1)) + (ends - starts).astype(U64))

@@ -62,6 +62,11 @@ def edge_documents() -> list[tuple]:
         changed = base.split()
         changed[20 + 40 * k] = f"new{k}"
         texts.append(" ".join(changed))
+    rng = random.Random(21)
+    for k in range(12):  # spelling variants, a third of all words the same one
+        said = ["Reference"] * 12 + ["referenze", "refference", "aaaaaaa", "AAAAAAAA", "aaaaaaaaa", "baaaaaaa", "\u00c9clairage", "\u00e9clairage", "eclairage"]
+        said += ["preference" * 30, "preference" * 15 + "x" + "preference" * 15, "preferences", "preference"]
+        texts.append(" ".join(rng.choice(said) for _ in range(40 + k)))
     rows = [(i, t, "en", f"src{i % 4}", None if t is None else len(t)) for i, t in enumerate(texts)]
     rows += [rows[9], rows[9], rows[12]]  # rows repeated as they are
     rows += [(None, base, None, None, None), (None, "no id here at all in this row", "de", None, 5), (None, None, None, None, None)]

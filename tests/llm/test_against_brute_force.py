@@ -1,13 +1,14 @@
 """Queries that SQL cannot express, against plain Python."""
 
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from addrspark.llm import conversation_trie, decontaminate, hash_tree, license_scan, mixing, near_join, quality, quality_rules, substring_dedup, token_counts
+from addrspark.llm import conversation_trie, decontaminate, hash_tree, license_scan, mixing, near_join, quality, quality_rules, spelling_variants, substring_dedup, token_counts
 from addrspark.llm import words as W
 from addrspark.llm.components import components
 from addrspark.llm.queries import QUERIES
@@ -356,3 +357,48 @@ def test_long_conversation_is_cut_over_partitions(spark):
         assert spark.read.parquet(*turns).groupBy("part").count().agg({"count": "max"}).first()[0] < 10_000
     finally:
         spark.conf.set(merge, "true")
+
+
+def one_edit(word):
+    letters = sorted(set("abcdé"))
+    out = {word[:i] + word[i + 1 :] for i in range(len(word))}
+    out |= {word[:i] + c + word[i + 1 :] for i in range(len(word)) for c in letters}
+    return out | {word[:i] + c + word[i:] for i in range(len(word) + 1) for c in letters}
+
+
+@pytest.mark.parametrize("least", [7, 2])
+def test_near_words_of_a_dense_vocabulary(spark, least):
+    rng = random.Random(least)
+    words = {"".join(rng.choice("abcdé"[:k]) for _ in range(rng.randrange(least, 11))) for k in (2, 3, 5) for _ in range(400)}
+    words |= {"a" * k for k in range(least, 30)}  # one branching node a letter
+    long_word = "".join(rng.choice("abcd") for _ in range(5000))
+    words |= {long_word, long_word[:2500] + "é" + long_word[2500:], long_word[:4000] + long_word[4001:], long_word[:-1], long_word[1:]}
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    got = Counter(map(tuple, spelling_variants.near_words(table, least).collect()))
+    short = Counter((w, v) for w in words for v in (one_edit(w) if len(w) < 100 else ()) if v in words and v != w)
+    long = [w for w in words if len(w) > 100]
+    longer = {(a, b) for a in long for b in long if len(b) == len(a) - 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))}
+    assert got == short + Counter(longer) + Counter((b, a) for a, b in longer)
+    assert len(longer) >= 4
+
+
+def test_forms_and_roots(spark):
+    counts = {"reference": 5000, "referense": 400, "referenze": 40, "referonze": 3, "raference": 500, "referencee": 501, "zzzzzzz": 2}
+    got = {r.word: r for r in spelling_variants.group_variants(spark.createDataFrame(list(counts.items()), "word string, n bigint")).collect()}
+    assert {w: r.form for w, r in got.items()} == {
+        "reference": None, "referense": "reference", "referenze": "reference", "referonze": "referenze",
+        "raference": "reference", "referencee": None, "zzzzzzz": None,
+    }
+    assert got["referonze"].root == "reference" and got["referencee"].root == "referencee" and got["zzzzzzz"].n_near == 0
+    assert got["referenze"].form_n == 5000 and got["referenze"].n_near == 3
+
+
+def test_words_lose_letters_by_checksum(spark):
+    rows = [(i, "Abcdefgh \u00c9tranger\u00d7 short x" if i % 2 else "abcdefgh") for i in range(200)]
+    want = Counter()
+    for i, text in rows:
+        for run in ["abcdefgh"] + (["\u00c9tranger\u00d7"] if i % 2 else []):
+            h = zlib.crc32(f"{i}:{run}".encode())
+            want[run[: h % len(run)] + run[h % len(run) + 1 :] if h % 31 == 0 else run] += 1
+    got = {r.word: r.n for r in spelling_variants.vocabulary(frame(spark, rows)).collect()}
+    assert got == {w: n for w, n in want.items() if n >= 2 and len(w) >= 7}
