@@ -66,6 +66,22 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return rounded
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share.
+
+    A local session without one gets a temporary folder, kept as its setting. On a cluster that would be
+    another folder on every machine, so there the setting must be given.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("addrspark.scratch", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    folder = "file://" + tempfile.mkdtemp(prefix="addrspark-")
+    spark.conf.set("addrspark.scratch", folder)
+    return folder
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Compute a frame that is read more than once only once, in the cluster's shared checkpoint folder.
 

@@ -38,16 +38,26 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> tuple[D
 def parse_ndjson(lines: DataFrame, column: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Like ``read_ndjson`` for lines already in a column; other columns are kept."""
     others = [c for c in lines.columns if c != column]
+    parsed = marked_ndjson(lines, column, schema)
+    good = F.col("reason").isNull()
+    return (
+        parsed.filter(good).select(*others, *[F.col("row").getField(f.name).alias(f.name) for f in schema.fields]),
+        parsed.filter(~good).select(*others, F.col(column).alias("line"), "reason"),
+    )
+
+
+def marked_ndjson(lines: DataFrame, column: str, schema: T.StructType) -> DataFrame:
+    """``lines`` with the parsed ``row`` and the ``reason`` why a line is bad, null for a good one.
+
+    Works on streams too, where good and bad lines must come out of one pass.
+    """
     wide = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType(), True)])
     options = {**_STRICT, "columnNameOfCorruptRecord": _BROKEN}
     line = F.col(column)
     parsed = evaluate_once(lines, {"row": F.from_json(line, wide, options), "whole": _is_json(line)})
     good = F.col("whole") & F.col(f"row.{_BROKEN}").isNull()
-    reason = F.when(F.col("whole"), F.lit("wrong type")).otherwise(F.lit("invalid JSON"))
-    return (
-        parsed.filter(good).select(*others, *[F.col("row").getField(f.name).alias(f.name) for f in schema.fields]),
-        parsed.filter(~good).select(*others, F.col(column).alias("line"), reason.alias("reason")),
-    )
+    reason = F.when(good, F.lit(None)).when(F.col("whole"), F.lit("wrong type")).otherwise(F.lit("invalid JSON"))
+    return parsed.withColumn("reason", reason).drop("whole")
 
 
 def _is_json(line: Column) -> Column:

@@ -136,6 +136,61 @@ SELECT p_partkey AS lot_id, nth AS part, nth = 0 AND p_partkey % 6 = 0 AS hollow
 FROM (SELECT p_partkey, unnest(CASE WHEN p_partkey % 10 = 0 THEN [0, 1] ELSE [0] END) AS nth FROM {{part}})
 """
 
+# Doors with the day they were recorded, and districts as they were from a day on, several editions each.
+DATED_DOORS = """
+SELECT l_orderkey AS id_via, CAST(l_linenumber AS BIGINT) AS numpuerta, l_partkey AS lot,
+       CASE WHEN l_suppkey % 10 = 0 THEN l_suppkey + 900000000 WHEN l_partkey % 97 = 0 THEN NULL ELSE l_suppkey END AS postcode,
+       CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE l_shipdate END AS recorded
+FROM {lineitem}
+"""
+
+DATED_DISTRICTS = " UNION ALL ".join(
+    f"""SELECT s_suppkey AS postcode, s_name || ' {e}' AS district_then,
+       CAST(DATE '1995-06-01' + CAST((s_suppkey * 37) % 700 + {e * 450} AS INT) AS TIMESTAMP) AS valid_from
+FROM {{supplier}}"""
+    for e in range(4)
+)
+
+# The sheet of districts as texts: another order of columns, one more of them, and some numbers that are none.
+DISTRICT_SHEET = """
+SELECT s_name AS NOMBDIST, 'x' || s_name AS extra,
+       CASE WHEN s_suppkey % 9 = 4 THEN 'S/N ' || CAST(s_suppkey AS STRING) ELSE CAST(s_suppkey AS STRING) END AS ubigeo,
+       r_name AS NOMBDEP, CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE n_name END AS NOMBPROV,
+       'REGION ' || CAST(n_nationkey % 3 AS STRING) AS REGION_NATURAL
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
+"""
+
+PROVINCE_SHEET = """
+SELECT r_name AS Departamento, ' ' || n_name || ' "' || CAST(c_custkey % 4 AS STRING) || '"' AS Provincia
+FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
+"""
+
+# Lots of which some have no longitude or no latitude.
+UNPLACED_LOTS = f"""
+SELECT event_type AS manzana, CAST(event_id AS STRING) AS lote, 'URB ' || CAST(user_id % 20 AS STRING) AS nombre_urbanizacion,
+       CAST(user_id AS STRING) AS id_urb, user_id % 120 AS postcode,
+       CASE WHEN event_id % 7 = 0 THEN NULL ELSE -77e0 + value / 1e3 END AS lon,
+       CASE WHEN event_id % 11 = 0 THEN NULL ELSE -12e0 - value / 1e3 END AS lat
+FROM {{events}}
+"""
+
+# Spans of minutes to weeks that begin with an event, to hold events of the same kind.
+SPANS = """
+SELECT event_id AS span_id, event_type, ts AS span_start,
+       ts + INTERVAL '1' MINUTE * CAST(CASE WHEN event_id % 400 = 0 THEN 30000 ELSE (event_id % 500) * 3 END AS INT) AS span_end
+FROM {events} WHERE event_id % 20 = 0
+"""
+
+# Two editions of a narrow table with many copies of a row.
+OLD_EDITION = """
+SELECT l_suppkey % 7 AS sector, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS floor, l_returnflag AS flag
+FROM {lineitem} WHERE l_orderkey % 10 < 7
+"""
+NEW_EDITION = """
+SELECT l_suppkey % 7 AS sector, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS floor, l_returnflag AS flag
+FROM {lineitem} WHERE l_orderkey % 10 > 2
+"""
+
 ROADS = """
 SELECT s_suppkey AS road_id, 299900e0 AS x1, 302100e0 AS x2,
        866e4 + s_suppkey * 4e1 - 3e0 - (s_suppkey % 7) * 25e-1 AS y

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,10 +10,12 @@ from pyspark.sql import functions as F
 
 from addrspark import schemas
 from addrspark.functions import hexgrid, projection, shapes, text, wkb
-from addrspark.operators import checks, dedup, documents, mapping, patch, spatial
+from addrspark.operators import asof, checks, dedup, documents, editions, intervals, mapping, patch, spatial, timewindows, totals
 from addrspark.plans.flows import as_text, clean_points
+from addrspark.session import shared_folder
 from addrspark.sinks import writers
 from addrspark.sources import readers
+from addrspark.streaming import load
 from addrspark.workload import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,9 +200,8 @@ def clean_coordinates(spark, sf):
 
 
 def json_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    schema = "event_id BIGINT, event_type STRING, user_id BIGINT"
     lines = fx.view(spark, sf, fx.JSON_LINES, heavy=True)
-    return readers.parse_ndjson(lines, "line", schemas.T.StructType.fromDDL(schema))
+    return readers.parse_ndjson(lines, "line", JSON_SCHEMA)
 
 
 @query
@@ -406,3 +408,181 @@ def hex_rejects(spark, sf):
     good, broken = wkb.decode_shapes(fx.broken_lots(spark, sf), "geometry")
     _, unsupported = spatial.hex_indexed(good)
     return broken.select("event_id", "reason").unionByName(unsupported.select("event_id", "reason"))
+
+
+def fresh(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for queries that write and read again."""
+    return f"{shared_folder(spark)}/addrspark-{name}-{uuid.uuid4().hex}"
+
+
+JSON_SCHEMA = schemas.T.StructType(
+    [
+        schemas.T.StructField("event_id", schemas.T.LongType()),
+        schemas.T.StructField("event_type", schemas.T.StringType()),
+        schemas.T.StructField("user_id", schemas.T.LongType()),
+    ]
+)
+
+
+def stream_loaded(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The JSON lines of the batch queries, every fifth sent twice, in several files in no order of time."""
+    lines = fx.view(spark, sf, fx.JSON_LINES)
+    twice = lines.filter("line_no % 5 = 0")
+    folder = fresh(spark, "stream")
+    lines.unionByName(twice).select("line").repartition(6).write.text(f"{folder}/in")
+    load.load_available(
+        spark, f"{folder}/in", JSON_SCHEMA, "event_id", f"{folder}/out", f"{folder}/state", files_per_batch=2
+    )
+    return load.loaded(spark, f"{folder}/out", JSON_SCHEMA)
+
+
+@query
+def stream_load_good(spark, sf):
+    return stream_loaded(spark, sf)[0]
+
+
+@query
+def stream_load_rejects(spark, sf):
+    return stream_loaded(spark, sf)[1]
+
+
+@query
+def stream_hourly_counts(spark, sf):
+    """Counts per hour and kind of events that arrive in several files, every count brought up to date."""
+    folder = fresh(spark, "counts")
+    events = fx.table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    events.repartition(5).write.parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    load.start_counts(arriving, "ts", "1 hour", ["event_type"], f"{folder}/out", f"{folder}/state", "60 days").awaitTermination()
+    counts = load.current_counts(spark, f"{folder}/out", ["event_type"])
+    return counts.select("event_type", F.date_format("begin", "yyyy-MM-dd HH:mm").alias("begin"), "n")
+
+
+@query
+def district_as_of(spark, sf):
+    doors = fx.view(spark, sf, fx.DATED_DOORS)
+    return asof.as_of_join(doors, fx.view(spark, sf, fx.DATED_DISTRICTS), ["postcode"], "recorded", "valid_from")
+
+
+@query
+def events_in_spans(spark, sf):
+    events = fx.table(spark, sf, "events").select("event_id", "event_type", "ts")
+    met = intervals.join_spans(events, fx.view(spark, sf, fx.SPANS), "ts", "span_start", "span_end", ["event_type"])
+    return met.groupBy("span_id").agg(
+        F.count(F.lit(1)).alias("events"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event")
+    )
+
+
+@query
+def edition_changes(spark, sf):
+    return editions.edition_changes(fx.view(spark, sf, fx.OLD_EDITION), fx.view(spark, sf, fx.NEW_EDITION))
+
+
+def placed_doors(spark: SparkSession, sf: str) -> DataFrame:
+    names = districts(spark, sf).withColumnRenamed("postcode", "ubigeo").drop("context")
+    return doors(spark, sf).join(names, "ubigeo", "left")
+
+
+HIERARCHY = ["cod_departament", "cod_province", "tipo_via"]
+
+
+@query
+def door_totals_rollup(spark, sf):
+    return totals.totals(placed_doors(spark, sf), HIERARCHY, totals.rollup_sets(HIERARCHY), "id_via", "doors", "streets")
+
+
+@query
+def door_totals_cube(spark, sf):
+    return totals.totals(placed_doors(spark, sf), HIERARCHY, totals.cube_sets(HIERARCHY), "id_via", "doors", "streets")
+
+
+@query
+def user_sessions(spark, sf):
+    found = timewindows.sessions(fx.table(spark, sf, "events"), ["user_id"], "ts", 6 * 3600)
+    texts = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("session_start", "session_end")}
+    return found.withColumns(texts)
+
+
+@query
+def trailing_hour_counts(spark, sf):
+    events = fx.table(spark, sf, "events").select("event_id", "event_type", "ts")
+    return timewindows.trailing_counts(events, ["event_type"], "ts", 3600).drop("ts")
+
+
+def district_sheet(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """A sheet with a header and more columns than are wanted, written and read again by column names."""
+    path = fresh(spark, "sheet")
+    sheet = fx.view(spark, sf, fx.DISTRICT_SHEET).withColumnRenamed("REGION_NATURAL", "REGION NATURAL")
+    sheet.write.option("sep", ";").option("header", True).csv(path)
+    return readers.read_district_sheet(spark, path)
+
+
+@query
+def district_sheet_rows(spark, sf):
+    return district_sheet(spark, sf)[0].withColumnRenamed("REGION NATURAL", "region_natural")
+
+
+@query
+def district_sheet_rejects(spark, sf):
+    return district_sheet(spark, sf)[1].withColumnRenamed("REGION NATURAL", "region_natural")
+
+
+@query
+def ndjson_lines(spark, sf):
+    """Doors as JSON lines, nulls spelled out: the lines of the files written."""
+    path = fresh(spark, "ndjson")
+    writers.write_ndjson(doors(spark, sf).select("id_via", "numpuerta", "tipo_via", "nom_via", "ubigeo"), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query
+def json_array_lines(spark, sf):
+    names = documents.sorted_names(
+        fx.view(spark, sf, fx.PROVINCE_SHEET), "Departamento", "Provincia", "departamento", "provincias"
+    )
+    lines = writers.json_array_lines(names, ["departamento"], ["departamento", "provincias"])
+    return lines.select(F.col("place").cast("bigint").alias("place"), "departamento", F.col("value").alias("line"))
+
+
+@query
+def json_array_text(spark, sf):
+    """The written parts, put together in order of their names, as one text."""
+    path = fresh(spark, "array")
+    names = documents.sorted_names(
+        fx.view(spark, sf, fx.PROVINCE_SHEET), "Departamento", "Provincia", "departamento", "provincias"
+    )
+    writers.write_json_array(names, path, ["departamento"], ["departamento", "provincias"])
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
+    parsed = F.from_json(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("file", "value"))), lambda x: x["value"]), ""),
+                         "array<struct<departamento: string, provincias: array<string>>>")
+    return files.agg(parsed.alias("rows")).select(F.inline("rows")).select("departamento", F.array_join("provincias", "|").alias("provincias"))
+
+
+@query
+def flatten_rejects(spark, sf):
+    blocks, _ = documents.block_documents(fx.view(spark, sf, fx.UNPLACED_LOTS), districts(spark, sf))
+    _, rejects = documents.placed_points(documents.flatten_documents(blocks))
+    return rejects
+
+
+@query
+def point_geometry(spark, sf):
+    """Cleaned coordinates as point bytes, and what the bytes say when they are read again."""
+    points = clean_points(fx.view(spark, sf, fx.SHEET), "LONGITUD", "LATITUD")
+    bytes_of = points.select("c_custkey", wkb.point_wkb(F.col("LONGITUD"), F.col("LATITUD")).alias("geometry"))
+    head = bytes_of.withColumn("head", F.hex(F.substring("geometry", 1, 5))).withColumn("n_bytes", F.octet_length("geometry").cast("bigint"))
+    back, _ = wkb.decode_shapes(head, "geometry")
+    vertex = F.col("geometry.parts")[0][0][0]
+    return back.select("c_custkey", "head", "n_bytes", F.col("geometry.kind").alias("kind"), vertex["x"].alias("x"), vertex["y"].alias("y"))
+
+
+@query
+def hex_geometry(spark, sf):
+    """The hexagon that takes the place of a lot's shape, corner by corner."""
+    lots, _ = wkb.decode_shapes(fx.shaped_lots(spark, sf), "geometry")
+    indexed, _ = spatial.hex_indexed(lots)
+    corners = indexed.select("event_id", F.col("geometry.kind").alias("kind"), F.posexplode(F.col("geometry.parts")[0][0]).alias("corner", "v"))
+    return corners.select(
+        "event_id", "kind", F.col("corner").cast("bigint").alias("corner"),
+        scaled(F.col("v.x"), 1e7).alias("lon_e7"), scaled(F.col("v.y"), 1e7).alias("lat_e7"),
+    )
