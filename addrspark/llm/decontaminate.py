@@ -1,21 +1,26 @@
 """Documents that hold benchmark items, found by BM25 over an index of the items.
 
-Every passage of every document is a query. A passage leaks an item when it holds enough word n-grams of both
-its question and its answer, or a run of its words. Each item's threshold is the least score that this can
-have, so pruning drops only what that rule rejects. Block-max WAND prunes: a passage goes on when it shares an
-n-gram with an item and the largest contributions of its terms reach the lowest threshold, a block of items
-when the largest ones within the block reach the block's, and only items of such blocks that share an n-gram
-are scored. The steps run on all passages of a slice at once, so cursors become sorted arrays. Scores are
-shares of the item's score for its own text.
+Every passage of every document is a query, and its terms' postings give the candidates. A passage leaks an
+item when it holds enough word n-grams of both its question and its answer, or a run of its words. Each item's
+threshold is the least score that this can have, so retrieval above the thresholds loses no leak. Block-max WAND
+prunes it: a passage goes on when the largest contributions of its terms reach the lowest threshold, a block of
+items when the largest ones within the block, as its postings tell, reach the block's, and only the items of such
+blocks are scored. What scores above its threshold is verified. The steps run on many passages at once, so
+cursors become arrays. Scores are shares of the item's score for its own text.
+
+Items are indexed in segments, each built in a task of its own; the driver sees the finished indexes, a part of
+bounded size at a time, and no text.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,30 +32,24 @@ MIN_OVERLAP = 0.5
 GRAM = 5
 RUN = 13
 ITEM_BLOCK = 4
-# Items are indexed in segments, so that the table of block maxima stays small.
 SEGMENT_ITEMS = 512
 PASSAGES = 512
-PAIRS = 1 << 22
-PART_BYTES = 16 << 20
+# Items scored at once.
+PAIRS = 1 << 15
+# Serialised indexes that go to every task at once.
+PART_BYTES = 32 << 20
 U64 = np.uint64
 
 
-class Lookup(NamedTuple):
-    """The items that hold each of the n-grams of one length that verification counts."""
-
-    n: int
-    hashes: np.ndarray  # sorted
-    start: np.ndarray  # per hash, where its items begin
-    items: np.ndarray
-
-
 class Index(NamedTuple):
     """Items as sorted terms with their contributions, and block maxima per term (compressed rows)."""
 
     ids: list[int | None]
     terms: np.ndarray  # sorted term hashes
     most: np.ndarray  # largest contribution of each term
-    block_most: np.ndarray  # largest contribution of each term in each block of items
+    post_start: np.ndarray  # per term, where its postings begin
+    post_block: np.ndarray  # postings: a block of items that the term is in,
+    post_most: np.ndarray  # and its largest contribution there
     item_start: np.ndarray  # per item, where its terms begin
     item_terms: np.ndarray
     item_weights: np.ndarray
@@ -61,7 +60,6 @@ class Index(NamedTuple):
     longest: int
     least: np.ndarray  # per item, the smallest score of a passage that leaks it
     block_least: np.ndarray
-    lookups: list[Lookup]
 
 
 def question_and_answer(text: str, count: int) -> int:
@@ -109,20 +107,6 @@ def least_score(places: np.ndarray, weights: np.ndarray, question: int, min_over
     return float(min(by_run, by_grams)) * (1 - 1e-9)
 
 
-def _lookups(grams: list[tuple[int, np.ndarray, int]]) -> list[Lookup]:
-    """Lookups of (length, n-grams, item), one per length."""
-    out = []
-    for n in sorted({n for n, values, _ in grams if len(values)}):
-        own = [(values, item) for m, values, item in grams if m == n]
-        hashes = np.concatenate([v for v, _ in own])
-        items = np.repeat([item for _, item in own], [len(v) for v, _ in own])
-        order = np.lexsort((items, hashes))
-        hashes, items = hashes[order], items[order]
-        known, start = np.unique(hashes, return_index=True)
-        out.append(Lookup(n, known, np.append(start, len(hashes)), items))
-    return out
-
-
 def build_index(
     items: list[tuple[int | None, str]], frequency: dict[int, int], total: int, mean: float, min_overlap: float = MIN_OVERLAP
 ) -> Index:
@@ -150,8 +134,10 @@ def build_index(
     item_start = np.concatenate([[0], np.cumsum(item_sizes)])
     block = np.repeat(np.arange(len(ids)) // ITEM_BLOCK, item_sizes)
     n_blocks = len(ids) // ITEM_BLOCK + 1
-    block_most = np.zeros((len(terms), n_blocks), dtype=np.float32)
-    np.maximum.at(block_most, (rows, block), weights.astype(np.float32))
+    posting, place = np.unique(rows * n_blocks + block, return_inverse=True)
+    post_most = np.zeros(len(posting))
+    np.maximum.at(post_most, place, weights)
+    post_start = np.searchsorted(posting // n_blocks, np.arange(len(terms) + 1))
     most = np.zeros(len(terms))
     np.maximum.at(most, rows, weights)
     grams = [(_gram_values(h[:q], GRAM), _gram_values(h[q:], GRAM)) for h, q in zip(item_words, splits, strict=True)]
@@ -161,11 +147,9 @@ def build_index(
     longest = max((len(h) for h in item_words), default=0)
     block_least = np.full(n_blocks, np.inf)
     np.minimum.at(block_least, np.arange(len(ids)) // ITEM_BLOCK, least)
-    counted = [(min(GRAM, n), g, i) for i, both in enumerate(zip(grams, part_words, strict=True)) for g, n in zip(*both, strict=True)]
-    lookups = _lookups(counted + [(n, r, i) for i, (r, n) in enumerate(zip(runs, run_words, strict=True))])
     return Index(
-        ids, terms, most, block_most, item_start, rows, weights, grams, part_words, runs, run_words, longest,
-        np.array(least), block_least, lookups,
+        ids, terms, most, post_start, posting % n_blocks, post_most, item_start, rows, weights, grams, part_words, runs,
+        run_words, longest, np.array(least), block_least,
     )
 
 
@@ -188,71 +172,45 @@ def _expanded(low: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
-def _sharing(index: Index, words: W.Words, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Sorted ``passage * items + item`` of all that share an n-gram that verification counts."""
-    pairs = [np.empty(0, np.int64)]
-    for n, known, start, items in index.lookups:
-        hashes, at = W.gram_hashes(words, n)
-        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        hit = np.flatnonzero(known[place] == hashes)
-        low = np.searchsorted(end, at[hit] + n)
-        size = np.maximum(np.searchsorted(begin, at[hit], "right") - low, 0)
-        passage, gram = np.divmod(np.unique(_expanded(low, size) * len(known) + np.repeat(place[hit], size)), len(known))
-        size = start[gram + 1] - start[gram]
-        ends = np.cumsum(size)
-        cuts = np.searchsorted(ends, np.arange(PAIRS, ends[-1], PAIRS)) if len(ends) else []
-        for a, b in zip([0, *cuts], [*cuts, len(gram)], strict=True):
-            of = items[_expanded(start[gram[a:b]], size[a:b])]
-            pairs.append(np.unique(np.repeat(passage[a:b], size[a:b]) * len(index.ids) + of))
-    return np.unique(np.concatenate(pairs))
-
-
 def _retrieve(index: Index, words: W.Words) -> Iterator[tuple[int, int, int, int, float]]:
-    """(row, begin, end, item, score) of every passage and item that verification may accept."""
+    """(row, begin, end, item, score) of every passage and item whose score reaches the item's threshold."""
     row, begin, end = _passages(words.first, index.longest)
-    sharing = _sharing(index, words, begin, end)
-    asked = np.unique(sharing // len(index.ids))
-    if not len(asked):
-        return
-    row, begin, end = row[asked], begin[asked], end[asked]
-    sharing = np.searchsorted(asked, sharing // len(index.ids)) * len(index.ids) + sharing % len(index.ids)
     place = np.minimum(np.searchsorted(index.terms, words.hashes), len(index.terms) - 1)
     known = np.flatnonzero(index.terms[place] == words.hashes)
     low, high = np.searchsorted(known, begin), np.searchsorted(known, end)
-    size = high - low
-    passage = np.repeat(np.arange(len(row)), size)
-    at = known[_expanded(low, size)]
-    n_terms = len(index.terms)
-    held = np.unique(passage * n_terms + place[at])
-    passage, term = np.divmod(held, n_terms)
-    bound = np.bincount(passage, index.most[term], len(row))
-    able = bound[passage] >= index.least.min()
-    passage, term = passage[able], term[able]
-    if not len(passage):
-        return
-    starts = np.flatnonzero(np.concatenate([[True], np.diff(passage) != 0]))
-    reached = []
-    for low in range(0, len(starts), PASSAGES):
-        some = starts[low : low + PASSAGES]
-        stop = starts[low + PASSAGES] if low + PASSAGES < len(starts) else len(term)
-        reach = np.add.reduceat(index.block_most[term[some[0] : stop]], some - some[0], axis=0)
-        at, block = np.nonzero(reach >= index.block_least - 1e-4)
-        reached.append((passage[some][at], block))
-    passage, block = (np.concatenate(x) for x in zip(*reached, strict=True))
-    passage_of, item = np.divmod(sharing, len(index.ids))
-    reached = passage * len(index.block_least) + block  # sorted
-    wanted = passage_of * len(index.block_least) + item // ITEM_BLOCK
-    kept = reached[np.minimum(np.searchsorted(reached, wanted), len(reached) - 1)] == wanted if len(reached) else np.zeros(len(item), bool)
-    passage, item = passage_of[kept], item[kept]
-    sizes = index.item_start[item + 1] - index.item_start[item]
-    of = np.repeat(np.arange(len(item)), sizes)
-    entry = _expanded(index.item_start[item], sizes)
-    wanted = passage[of] * n_terms + index.item_terms[entry]
-    has = held[np.minimum(np.searchsorted(held, wanted), len(held) - 1)] == wanted
-    score = np.bincount(of[has], index.item_weights[entry[has]], len(item))
-    for k in np.flatnonzero(score >= index.least[item]):
-        p = passage[k]
-        yield int(row[p]), int(begin[p]), int(end[p]), int(item[k]), float(score[k])
+    n_terms, lowest = len(index.terms), index.least.min()
+    for a in range(0, len(row), PASSAGES):
+        size = high[a : a + PASSAGES] - low[a : a + PASSAGES]
+        has = np.zeros((len(size), n_terms), dtype=bool)
+        has[np.repeat(np.arange(len(size)), size), place[known[_expanded(low[a : a + PASSAGES], size)]]] = True
+        able = has @ index.most >= lowest
+        if not able.any():
+            continue
+        has[~able] = False
+        for p, item, score in _scored(index, has):
+            yield int(row[a + p]), int(begin[a + p]), int(end[a + p]), item, score
+
+
+def _scored(index: Index, has: np.ndarray) -> Iterator[tuple[int, int, float]]:
+    """(passage, item, score) above the item's threshold, for passages given by the terms that they hold."""
+    n_blocks = len(index.block_least)
+    passage, term = np.nonzero(has)
+    size = index.post_start[term + 1] - index.post_start[term]
+    entry = _expanded(index.post_start[term], size)
+    reach = np.bincount(np.repeat(passage, size) * n_blocks + index.post_block[entry], index.post_most[entry], len(has) * n_blocks)
+    reached = np.flatnonzero(reach >= np.tile(index.block_least, len(has)) * (1 - 1e-9))
+    passage, block = np.divmod(reached, n_blocks)
+    first = block * ITEM_BLOCK
+    size = np.minimum(first + ITEM_BLOCK, len(index.ids)) - first
+    passages, items = np.repeat(passage, size), _expanded(first, size)
+    for a in range(0, len(items), PAIRS):
+        passage, item = passages[a : a + PAIRS], items[a : a + PAIRS]
+        sizes = index.item_start[item + 1] - index.item_start[item]
+        entry = _expanded(index.item_start[item], sizes)
+        of = np.repeat(np.arange(len(item)), sizes)
+        score = np.bincount(of, index.item_weights[entry] * has[passage[of], index.item_terms[entry]], len(item))
+        for k in np.flatnonzero(score >= index.least[item]):
+            yield int(passage[k]), int(item[k]), float(score[k])
 
 
 def _verified(index: Index, item: int, hashes: np.ndarray, min_overlap: float) -> bool:
@@ -267,8 +225,9 @@ def _verified(index: Index, item: int, hashes: np.ndarray, min_overlap: float) -
     )
 
 
-def _marker(segments: list[Index], min_overlap: float):
+def _marker(shipped: Broadcast, min_overlap: float):
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segments = [Index(*pickle.loads(one)) for one in shipped.value]
         for batch in batches:
             for lo, hi in W.row_slices(batch.column("text")):
                 part = batch.slice(lo, hi - lo)
@@ -301,45 +260,77 @@ def mark_leaks(
     item is found where ``min_overlap`` (above 0) of the 5-grams of both stand in a passage, or any 13 of its words
     in a row (all of them, in a shorter item). The score does not decide.
     Documents pass through in one piece without a shuffle, repeated rows are judged each, and their columns
-    may have any name. The index of a part of the items of about 16 MB of text goes to every task; a larger
+    may have any name. Indexes of at most PART_BYTES, or of one segment, go to every task at once; a larger
     benchmark is taken part by part, with the documents written in between.
     """
     if not 0 < min_overlap <= 1:
         raise ValueError(f"min_overlap must be above 0 and at most 1, not {min_overlap}")
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
-    hashed = written(items.mapInArrow(_item_terms, "length bigint, terms array<bigint>"), "terms")
-    frequency = hashed.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    seen = hashed.filter("length > 0").agg(F.count(F.lit(1)), F.avg("length")).first()
-    parts = -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 1) // PART_BYTES)
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+    indexes = _indexes(benchmark, min_overlap)
+    sizes = indexes.select("segment", F.octet_length("index").alias("bytes")).collect()
+    parts: list[list[int]] = [[]]
+    room = PART_BYTES
+    for r in sorted(sizes):
+        if parts[-1] and r["bytes"] > room:
+            parts.append([])
+            room = PART_BYTES
+        parts[-1].append(r["segment"])
+        room -= r["bytes"]
 
     named = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if docs.columns else F.lit(None)
     marked = docs.select(
-        named.alias("row"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"),
+        named.alias("row"), F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("text"),
         F.array().cast("array<struct<item: bigint, score: double>>").alias("items"),
     )
-    for k in range(parts):
-        chosen = items.filter(part == k)
-        terms = chosen.mapInArrow(_item_terms, "length bigint, terms array<bigint>").select(F.explode("terms").alias("term"))
-        known = {r["term"]: r["n"] for r in frequency.join(terms.distinct(), "term").collect()}
-        rows = [(r["item_id"], r["text"]) for r in chosen.orderBy("item_id", "text").collect()]
-        cut = [rows[i : i + SEGMENT_ITEMS] for i in range(0, len(rows), SEGMENT_ITEMS)]
-        segments = [x for x in (build_index(c, known, seen[0], seen[1] or 1.0, min_overlap) for c in cut) if x.ids]
-        marked = marked.mapInArrow(_marker(segments, min_overlap), marked.schema)
-        if k < parts - 1:
+    for k, part in enumerate(parts):
+        chosen = indexes.filter(F.col("segment").isin(part)).select("index").collect()
+        shipped = docs.sparkSession.sparkContext.broadcast([bytes(r["index"]) for r in chosen])
+        marked = marked.mapInArrow(_marker(shipped, min_overlap), marked.schema)
+        if k < len(parts) - 1:
             marked = written(marked, "marked")
     return marked.select("row", "items")
 
 
+def _indexes(benchmark: DataFrame, min_overlap: float) -> DataFrame:
+    """(segment, index): the serialised index of each segment of items, built in tasks from counts over all items.
+
+    An item goes to a segment by hash, so segments have about SEGMENT_ITEMS items. Every segment gets the
+    frequencies of its own terms.
+    """
+    text = F.lower(F.coalesce("text", F.lit("")))
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), text.alias("text"), F.monotonically_increasing_id().alias("line"))
+    hashed = written(items.mapInArrow(_item_terms, "item_id bigint, text string, line bigint, length bigint, terms array<bigint>"), "terms")
+    seen = hashed.filter("length > 0").agg(F.count(F.lit(1)), F.avg("length")).first()
+    total, mean = seen[0], seen[1] or 1.0
+    segments = max(1, -(-total // SEGMENT_ITEMS))
+    placed = hashed.filter("length > 0").withColumn("segment", F.pmod(F.xxhash64("line"), F.lit(segments)))
+    each = placed.select("segment", F.explode("terms").alias("term"))
+    frequency = each.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counts = each.distinct().join(frequency, "term").select(
+        "segment", F.lit(None).cast("bigint").alias("item_id"), F.lit(None).cast("string").alias("text"), "term", "n"
+    )
+    texts = placed.select("segment", "item_id", "text", F.lit(None).cast("bigint").alias("term"), F.lit(None).cast("bigint").alias("n"))
+
+    def build(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        known = {r["term"]: r["n"] for r in rows if r["term"] is not None}
+        own = sorted(((r["item_id"], r["text"]) for r in rows if r["text"] is not None), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        index = build_index(own, known, total, mean, min_overlap)
+        return pa.table({"segment": table.column("segment").slice(0, 1), "index": pa.array([pickle.dumps(tuple(index))], pa.binary())})
+
+    return written(texts.unionByName(counts).groupBy("segment").applyInArrow(build, "segment bigint, index binary"), "indexes")
+
+
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(length, distinct terms) of every item."""
+    """Every item with its length and distinct terms."""
     for batch in batches:
         lengths, terms = [], []
         for lo, hi in W.row_slices(batch.column("text")):
             words = W.scan_words(batch.column("text").slice(lo, hi - lo), W.ALNUM_SPLIT, fold=True)
             lengths += np.diff(words.first).tolist()
             terms += [np.unique(words.hashes[a:b]).view(np.int64) for a, b in zip(words.first, words.first[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64()), pa.array(terms, pa.list_(pa.int64()))], names=["length", "terms"])
+        given = [batch.column(c) for c in ("item_id", "text", "line")]
+        made = [pa.array(lengths, pa.int64()), pa.array(terms, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([*given, *made], names=["item_id", "text", "line", "length", "terms"])
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

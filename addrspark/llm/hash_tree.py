@@ -102,7 +102,12 @@ def shard_of(docs: DataFrame, key: Column, tree: list[Leaf], alias: str) -> Data
 
 
 def assign_shards(
-    docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", tree: list[Leaf] | None = None
+    docs: DataFrame,
+    shards: int = 24,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    tree: list[Leaf] | None = None,
+    carry: str | None = None,
 ) -> DataFrame:
     """One row per input row: id, size, text_crc32, law, shard, slot, grown_shard.
 
@@ -110,7 +115,8 @@ def assign_shards(
     of the text plus 8, a null text has none and the checksum of an empty one. ``slot`` numbers the rows of
     a shard without gaps from 0 by (hash bucket, id, checksum, size); rows equal in all of these are
     interchangeable. Buckets are numbered apart and set off by their sizes, so no shard is sorted in one
-    task. Only id and text of ``docs`` are read; an empty table gives an empty result.
+    task. Only id and text of ``docs`` are read, and the column ``carry``, which is handed on and must not be
+    named like one of the others; an empty table gives an empty result.
     """
     tree = tree or even_tree(shards)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -118,6 +124,7 @@ def assign_shards(
         F.col(id_col).cast("bigint").alias("id"),
         (F.octet_length(text) + 8).cast("bigint").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        *([carry] if carry else []),
     )
     placed = shard_of(shard_of(rows, F.col("id"), tree, "shard"), F.col("id"), grown(tree), "grown_shard")
     hashed = F.md5(F.concat(F.lit("slot/"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
@@ -134,4 +141,5 @@ def assign_shards(
     return numbered.select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("key").alias("law"), "shard",
         (F.col("offset") + F.col("place") - 1).alias("slot"), "grown_shard",
+        *([carry] if carry else []),
     )

@@ -1,9 +1,11 @@
 """Mixing sources to target weights by blocks of a fixed number of words.
 
 The texts of a source, in a fixed order, form one stream of words that is cut into blocks. A source's
-target becomes a number of slots; every slot draws the output shard it belongs to, so a shard's counts per
-source are multinomial. Slots reach blocks through a pseudorandom permutation of the source's block
-indices, a new one for each epoch, and slots and blocks meet in a join on (source, index).
+target becomes a number of slots. Every output shard draws its counts of slots per source: as many draws as it
+has slots, each falling on a source with the source's share of all slots. Totals over the shards are then
+brought to the targets by scaling a source's counts. The counts give each shard its slots of a source; slots
+reach blocks through a pseudorandom permutation of the source's block indices, a new one for each epoch, and
+slots and blocks meet in a join on (source, index).
 
 Everything is SQL. A source of any size is spread: its order is found bucket by bucket, its slots are made
 in chunks, and both sides of the join are keyed by block.
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from addrspark.llm.shared import written
+from addrspark.llm.shared import numbered, restored, written
 from addrspark.operators.skew import null_safe_join
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -44,7 +46,9 @@ def _permuted(index: Column, blocks: Column, seed: Column, backwards: bool = Fal
 
 def sized_documents(docs: DataFrame, *more: str, id_col: str = "doc_id") -> DataFrame:
     """id, source, size in words, and the bucket of the source's order that the row belongs to."""
-    hashed = F.md5(F.concat(F.lit("order/"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    # Rows without an id are many in one place unless their texts spread them.
+    key = F.coalesce(F.col(id_col).cast("string"), F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
+    hashed = F.md5(F.concat(F.lit("order/"), key))
     return docs.select(
         F.col(id_col).cast("bigint").alias("id"),
         F.col("source").cast("string").alias("source"),
@@ -99,38 +103,75 @@ def source_targets(sizes: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     return wanted.withColumn("last_slots", F.coalesce(slots, F.lit(0)).cast("bigint"))
 
 
-def mixture_slots(targets: DataFrame, shards: int, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Every slot of the mixture: shard, rank, epoch, index (of the block), words (taken from its start).
-
-    An epoch but the last one takes each block of the source once. The last one ends after ``left`` words,
-    so that the words of a source's slots add up to its target.
-    """
-    total = F.col("epochs") * F.col("blocks") + F.col("last_slots")
-    columns = ["rank", "epochs", "left", "blocks", "lack", "short"]
+def _chunks(df: DataFrame, total: Column, *columns: str) -> DataFrame:
+    """``columns`` of each row with ``slot``, the numbers below ``total``, made in chunks by many tasks."""
     last_chunk = F.floor((total - 1) / F.lit(CHUNK_SLOTS))
-    chunks = targets.filter(total > 0).select(
+    chunks = df.filter(total > 0).select(
         *columns, total.alias("total"), F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)).alias("chunk")
     )
     first = F.col("chunk") * CHUNK_SLOTS
     last = F.least(first + CHUNK_SLOTS, F.col("total")) - 1
     # With a number given, adaptive execution does not merge the chunks, which are few but grow to many slots.
-    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slots = chunks.repartition(tasks, "rank", "chunk").select(*columns, F.explode(F.sequence(first, last)).alias("slot"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunks.repartition(tasks, *[c for c in columns if c in ("rank", "shard")], "chunk")
+    return spread.select(*columns, F.explode(F.sequence(first, last)).alias("slot"))
+
+
+def shard_counts(targets: DataFrame, shards: int) -> DataFrame:
+    """(rank, upto): per source the slots that shards 0, 1, ... hold up to and with each, by multinomial draws.
+
+    Shard j of n draws a source once for each of its slots, by a hash seeded with the shard. A source's counts
+    over the shards are then scaled, in running sums rounded down, so that they add up to its slots; a source
+    that no shard has drawn is spread evenly. Draws are counted per shard and source before the shuffle.
+    """
+    slots = (F.col("epochs") * F.col("blocks") + F.col("last_slots")).alias("slots")
+    wanted = targets.select("rank", slots)
+    lists = F.sort_array(F.collect_list(F.struct("rank", "slots")))
+    one = wanted.agg(lists.alias("by_rank"), F.sum("slots").alias("n"))
+    sums = F.transform("by_rank", lambda x: F.aggregate(
+        F.filter("by_rank", lambda y: y["rank"] <= x["rank"]), F.lit(0).cast("bigint"), lambda a, y: a + y["slots"]
+    ))
+    each = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    one = one.filter("n > 0").select(sums.alias("sums"), "n", each)
+    own = F.floor(F.col("n") / F.lit(shards)) + F.when(F.col("shard") < F.pmod("n", F.lit(shards)), 1).otherwise(0)
+    draws = _chunks(one, own, "shard", "sums", "n")
+    drawn = F.pmod(_number(F.md5(F.concat_ws("/", F.lit("draw"), "shard", "slot"))), F.col("n"))
+    found = draws.select("shard", "sums", drawn.alias("drawn"))
+    rank = F.size(F.filter("sums", lambda x: x <= F.col("drawn"))) + 1
+    counted = found.select("shard", rank.alias("rank")).groupBy("rank", "shard").agg(F.count(F.lit(1)).alias("c"))
+    by_shard = counted.groupBy("rank").agg(F.map_from_entries(F.collect_list(F.struct("shard", "c"))).alias("counts"))
+    met = wanted.join(by_shard, "rank", "left")
+    filled = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda k: F.when(
+        F.col("counts").isNull(), F.lit(1).cast("bigint")).otherwise(F.coalesce(F.element_at("counts", k), F.lit(0).cast("bigint")))
+    )
+    met = met.withColumn("c", filled)
+    running = F.transform("c", lambda _, k: F.aggregate(F.slice("c", 1, k + 1), F.lit(0).cast("bigint"), lambda a, x: a + x))
+    met = met.withColumn("running", running)
+    wide = "transform(running, r -> cast(r as decimal(19, 0)) * cast(slots as decimal(19, 0)) div cast(running[size(running) - 1] as decimal(19, 0)))"
+    return met.select("rank", F.expr(wide).alias("upto"))
+
+
+def mixture_slots(targets: DataFrame, shards: int, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Every slot of the mixture: shard, rank, epoch, index (of the block), words (taken from its start).
+
+    An epoch but the last one takes each block of the source once. The last one ends after ``left`` words,
+    so that the words of a source's slots add up to its target. Slots belong to shards as ``shard_counts`` says.
+    """
+    columns = ["rank", "epochs", "left", "blocks", "lack", "short", "upto"]
+    total = F.col("epochs") * F.col("blocks") + F.col("last_slots")
+    slots = _chunks(targets.join(shard_counts(targets, shards), "rank"), total, *columns)
     slots = slots.select(
         "*",
         F.floor(F.col("slot") / F.col("blocks")).alias("epoch"),
         F.pmod("slot", "blocks").alias("turn"),
+        F.size(F.filter("upto", lambda x: x <= F.col("slot"))).alias("shard"),
     )
     seed = F.concat_ws("/", F.col("rank"), F.col("epoch"))
     slots = slots.withColumn("index", _permuted(F.col("turn"), F.col("blocks"), seed))
     full = F.lit(block_words) - F.when(F.col("index") == F.col("blocks") - 1, F.col("lack")).otherwise(0)
     taken = F.col("turn") * block_words - F.when(F.col("turn") > F.col("short"), F.col("lack")).otherwise(0)
     words = F.when(F.col("epoch") < F.col("epochs"), full).otherwise(F.least(full, F.col("left") - taken))
-    drawn = F.md5(F.concat_ws("/", F.lit("shard"), F.col("rank"), F.col("slot")))
-    return slots.select(
-        F.pmod(_number(drawn), F.lit(shards)).cast("int").alias("shard"),
-        "rank", "epoch", "index", words.cast("bigint").alias("words"),
-    )
+    return slots.select("shard", "rank", "epoch", "index", words.cast("bigint").alias("words"))
 
 
 def placed_documents(sizes: DataFrame, targets: DataFrame, *more: str) -> DataFrame:
@@ -179,47 +220,61 @@ def taken_pieces(placed: DataFrame, targets: DataFrame, shards: int, block_words
 
 
 def mix_sources(docs: DataFrame, shards: int = 24, block_words: int = BLOCK_WORDS, id_col: str = "doc_id") -> DataFrame:
-    """One row per input row: id, size, source_size, target, taken (words the mix takes, repeats counted).
+    """One row per input row: id, size, source_size, target, taken and taken_by_shard.
 
-    A null text has no words; rows without words take part with nothing taken. Null is a source of its own.
-    No text is taken more than three times over. The words taken of a source are its target, rounded.
-    Rows repeated in the table are texts of their own. Empty tables give an empty result.
+    ``taken`` are the words that the mix takes, repeats counted; ``taken_by_shard`` tells them apart as
+    ``shard:words``, in order of shards. A null text has no words; rows without words take part with nothing
+    taken. Null is a source of its own. No text is taken more than three times over. The words taken of a source
+    are its target, rounded. Rows repeated in the table are texts of their own. Empty tables give an empty result.
     """
     sizes = written(sized_documents(docs, id_col=id_col), "sizes")
     targets = written(source_targets(sizes, block_words), "targets")
     placed = written(placed_documents(sizes, targets), "placed")
     pieces = taken_pieces(placed, targets, shards, block_words)
-    taken = pieces.groupBy("rank", "start").agg(F.sum("words").alias("taken"))
+    by_shard = pieces.groupBy("rank", "start", "shard").agg(F.sum("words").alias("words"))
+    shown = F.transform(F.sort_array(F.collect_list(F.struct("shard", "words"))), lambda x: F.concat_ws(":", x["shard"], x["words"]))
+    taken = by_shard.groupBy("rank", "start").agg(F.sum("words").alias("taken"), F.array_join(shown, ",").alias("taken_by_shard"))
     known = targets.select("rank", "source_size", "target")
     filled = placed.filter(F.col("size") > 0).join(taken, ["rank", "start"], "left")
-    rows = filled.unionByName(placed.filter(F.col("size") == 0).withColumn("taken", F.lit(0).cast("bigint")))
+    nothing = {"taken": F.lit(0).cast("bigint"), "taken_by_shard": F.lit("")}
+    rows = filled.unionByName(placed.filter(F.col("size") == 0).withColumns(nothing))
     return rows.join(known, "rank").select(
-        F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")
-    )
+        F.col("id").alias(id_col), "size", "source_size", "target",
+        *[F.coalesce(c, value).alias(c) for c, value in nothing.items()],
+    )
 
 
 def mixed_texts(docs: DataFrame, shards: int = 24, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The mixture as rows like those of ``docs``, one per document and epoch that takes words of it.
+    """The mixture as rows like those of ``docs``, one per document, epoch and output shard that takes words of it.
 
-    An epoch that takes a document whole repeats it unchanged; otherwise the text is the words taken, in
-    order, joined by one space, and n_chars (where there is such a column) follows it.
+    A row that takes a document whole repeats it unchanged; otherwise the text is the words taken, in
+    order, joined by one space, and n_chars (where there is such a column) follows it. Texts without words give
+    no rows; a null source is a source of its own, null ids are texts of their own, and so are repeated rows.
     """
-    named = [F.col(c).alias(f"in_{c}") for c in docs.columns]
-    rows = docs.select(F.struct(*named).alias("row"), "doc_id", "source", "text")
-    sizes = written(sized_documents(docs), "sizes")
+    lines = numbered(docs, "lines")
+    field = {c: F.col("row").getField(f"in_{docs.columns.index(c)}").alias(c) for c in ("doc_id", "source", "text")}
+    sizes = sized_documents(lines.select("line", *field.values()), "line").filter(F.col("size") > 0)
+    sizes = written(sizes, "sizes")
     targets = written(source_targets(sizes, block_words), "targets")
-    placed = written(placed_documents(sized_documents(rows, "row").filter(F.col("size") > 0), targets, "row"), "placed")
-    pieces = taken_pieces(placed.drop("row"), targets, shards, block_words)
-    parts = pieces.groupBy("rank", "start", "epoch").agg(
+    placed = written(placed_documents(sizes, targets, "line"), "placed")
+    pieces = taken_pieces(placed, targets, shards, block_words)
+    parts = pieces.groupBy("rank", "start", "epoch", "shard").agg(
         F.sort_array(F.collect_list(F.struct("offset", "words"))).alias("parts"), F.sum("words").alias("taken")
     )
-    met = placed.join(parts, ["rank", "start"])
-    split = F.regexp_extract_all("row.in_text", F.lit(WORD), F.lit(0))
-    cut = F.transform(F.array(split), lambda w: F.flatten(
-        F.transform("parts", lambda p: F.slice(w, (p["offset"] + 1).cast("int"), p["words"].cast("int")))
-    ))
-    text = F.when(F.col("taken") == F.col("size"), F.col("row.in_text")).otherwise(F.array_join(F.get(cut, F.lit(0)), " "))
-    changed = {"text": F.col("mixed_text"), "n_chars": F.length("mixed_text").cast("bigint")}
-    return met.withColumn("mixed_text", text).select(
-        *[changed.get(c, F.col("row").getField(f"in_{c}")).alias(c) for c in docs.columns]
+    # A document's parts are as many as its blocks and epochs, so they fit beside its text.
+    parts = placed.join(parts, ["rank", "start"]).groupBy("line").agg(
+        F.first("size").alias("size"), F.collect_list(F.struct("epoch", "shard", "parts", "taken")).alias("takes")
     )
+    met = lines.select("line", "row", field["text"]).join(parts, "line")
+    split = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+
+    def text_of(words: Column, take: Column) -> Column:
+        cut = F.transform(take["parts"], lambda p: F.slice(words, (p["offset"] + 1).cast("int"), p["words"].cast("int")))
+        return F.when(take["taken"] == F.col("size"), F.col("text")).otherwise(F.array_join(F.flatten(cut), " "))
+
+    # The one-element array makes the words a bound variable, split once per document.
+    texts = F.flatten(F.transform(F.array(split), lambda w: F.transform("takes", lambda t: text_of(w, t))))
+    rows = met.select("row", F.explode(texts).alias("mixed_text"))
+    changed = {"text": F.col("mixed_text").alias("text"), "n_chars": F.length("mixed_text").cast("bigint").alias("n_chars")}
+    given = dict(zip(docs.columns, restored(rows, docs.columns), strict=True))
+    return rows.select(*[changed.get(c, given[c]) for c in docs.columns])

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrspark.llm import words as W
@@ -33,14 +33,17 @@ U64 = np.uint64
 def choose_bands(threshold: float, recall: float, most_hashes: int = 128) -> tuple[int, int]:
     """(bands, rows): the most selective banding that finds a pair at the threshold with this probability.
 
-    More rows admit fewer dissimilar pairs but need more bands.
+    More rows admit fewer dissimilar pairs but need more bands. ValueError where no banding of ``most_hashes``
+    hashes reaches the recall.
     """
-    best = (1, 1)
+    best = None
     for rows in range(1, most_hashes + 1):
         bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))
         if bands * rows > most_hashes:
             break
         best = (bands, rows)
+    if best is None:
+        raise ValueError(f"no banding of {most_hashes} hashes finds pairs at {threshold} with probability {recall}")
     return best
 
 
@@ -98,10 +101,11 @@ def _signer(bands: int, rows: int, gram: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").slice(lo, hi - lo),
+                        batch.column("stand_in").slice(lo, hi - lo),
                         pa.array(_node_ids(text, words)),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel().view(np.int64))),
                     ],
-                    names=["id", "node", "bands"],
+                    names=["id", "stand_in", "node", "bands"],
                 )
 
     return sign
@@ -238,17 +242,18 @@ def similar_texts(
     of ``threshold`` or more; ``class_id`` is the smallest id among all texts connected by links.
 
     Texts without words (also null and empty ones) are copies where their bytes agree and never linked.
-    Rows with a null id share the class of their text where another row names it, otherwise class_id is null
-    and they have no links. An id should name one text; of several, each is a text of its own. Columns other
+    Rows with a null id are compared like all others; class_id and text_id are null where no row of the class or
+    text has an id. An id should name one text; of several, each is a text of its own. Columns other
     than id and text are not looked at. An empty table gives an empty result.
     """
     bands, rows = choose_bands(threshold, recall)
+    # A text without an id is fetched by its hash.
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    signed = written(texts.mapInArrow(_signer(bands, rows, gram), "id bigint, node bigint, bands array<bigint>"), "signed")
-    nodes = written(
-        signed.groupBy("node").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")),
-        "nodes",
-    )
+    texts = texts.withColumn("stand_in", F.when(F.col("id").isNull(), F.xxhash64("text")))
+    ddl = "id bigint, stand_in bigint, node bigint, bands array<bigint>"
+    signed = written(texts.mapInArrow(_signer(bands, rows, gram), ddl), "signed")
+    firsts = [F.min("id").alias("rep"), F.min("stand_in").alias("stand_in"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")]
+    nodes = written(signed.groupBy("node").agg(*firsts), "nodes")
     edges = _star_edges(nodes)
     met = _with_texts(edges, nodes, texts)
     ddl = "member bigint, centre bigint, linked boolean, centre_size int, member_size int, lacks int, differs array<bigint>"
@@ -263,7 +268,6 @@ def similar_texts(
     counts = counts.groupBy("node").agg(F.sum("links").alias("n_links"))
 
     named = nodes.select("node", "rep", "copies").join(roots, "node", "left").join(counts, "node", "left")
-    # Linked nodes have a named text each, as only those are fetched; others stand for themselves.
     least = named.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("rep").alias("class_id"))
     known = named.join(least, "root", "left").select(
         "node", "copies", F.col("rep").alias("text_id"),
@@ -276,7 +280,7 @@ def similar_texts(
 
 def _star_edges(nodes: DataFrame) -> DataFrame:
     """(member, centre): every node of a bucket with the bucket's smallest node."""
-    rows = nodes.filter(F.col("rep").isNotNull()).select("node", F.explode("bands").alias("bucket"))
+    rows = nodes.select("node", F.explode("bands").alias("bucket"))
     centres = (
         rows.groupBy("bucket")
         .agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
@@ -287,15 +291,22 @@ def _star_edges(nodes: DataFrame) -> DataFrame:
     return written(met.select(F.col("node").alias("member"), "centre").distinct(), "stars")
 
 
+def _text_key(id_col: str) -> list[Column]:
+    return [F.coalesce(id_col, "stand_in").alias("key"), F.col(id_col).isNull().alias("unnamed")]
+
+
 def _with_texts(edges: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Edges with both texts. Texts are moved once by id; both sides of the join read that exchange."""
-    names = nodes.select("node", "rep")
+    """Edges with both texts. Texts are moved once by id or hash; both sides of the join read that exchange."""
+    names = nodes.select("node", *_text_key("rep"))
+    # Copies without an id are one text; ids name a text each.
+    unnamed = texts.filter(F.col("id").isNull()).dropDuplicates(["stand_in"])
+    texts = texts.filter(F.col("id").isNotNull()).unionByName(unnamed).select("text", *_text_key("id"))
     sides = []
     for side in ("member", "centre"):
         wanted = (edges if side == "member" else edges.select("centre").distinct()).join(
-            names.withColumnsRenamed({"node": side, "rep": "id"}), side
+            names.withColumnRenamed("node", side), side
         )
-        sides.append(wanted.join(texts, "id").drop("id").withColumnRenamed("text", f"{side}_text"))
+        sides.append(wanted.join(texts, ["key", "unnamed"]).drop("key", "unnamed").withColumnRenamed("text", f"{side}_text"))
     return sides[0].join(sides[1], "centre").select("member", "centre", "member_text", "centre_text")
 
 

@@ -116,7 +116,7 @@ FROM p2
 ORACLE["op9_source_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-         substr(md5('order/' || coalesce(doc_id::VARCHAR, '')), 1, 3) AS bucket
+         substr(md5('order/' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 3) AS bucket
   FROM documents
 ), s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
 ), s1 AS (SELECT *, row_number() OVER (ORDER BY encode(source) NULLS LAST) AS rank FROM s0
@@ -140,8 +140,24 @@ WITH d AS (
   FROM s6 WHERE source_size > 0
 ), s8 AS (
   SELECT *, CASE WHEN short < (rest + 127) // 128 THEN (rest + lack + 127) // 128 ELSE (rest + 127) // 128 END AS last_slots FROM s7
+), w AS (
+  SELECT rank, (epochs * blocks + last_slots)::BIGINT AS slots, sum(epochs * blocks + last_slots) OVER (ORDER BY rank)::BIGINT AS upto,
+         sum(epochs * blocks + last_slots) OVER ()::BIGINT AS n FROM s8
+), j AS (
+  SELECT shard, n, unnest(range((n // 24 + CASE WHEN shard < n % 24 THEN 1 ELSE 0 END)::BIGINT)) AS i
+  FROM (SELECT DISTINCT n FROM w), range(24) r(shard)
+), dr AS (
+  SELECT shard, ('0x' || substr(md5('draw/' || shard || '/' || i), 1, 12))::BIGINT % n AS drawn FROM j
+), dc AS (
+  SELECT w.rank, shard, count(*) AS c FROM dr JOIN w ON drawn >= w.upto - w.slots AND drawn < w.upto GROUP BY w.rank, shard
+), dt AS (SELECT rank, sum(c) AS drawn FROM dc GROUP BY rank
+), bounds AS (
+  SELECT w.rank, r.shard, (sum(CASE WHEN drawn IS NULL THEN 1 ELSE coalesce(c, 0) END) OVER (PARTITION BY w.rank ORDER BY r.shard)::HUGEINT * slots)
+         // coalesce(drawn, 24) AS upto
+  FROM w CROSS JOIN range(24) r(shard) LEFT JOIN dt ON dt.rank = w.rank LEFT JOIN dc ON dc.rank = w.rank AND dc.shard = r.shard
+), ub AS (SELECT rank, list(upto ORDER BY shard) AS upto FROM bounds GROUP BY rank
 ), k AS (
-  SELECT rank, epochs, rest, blocks, lack, short, slot // blocks AS epoch, slot % blocks AS turn
+  SELECT rank, slot, epochs, rest, blocks, lack, short, slot // blocks AS epoch, slot % blocks AS turn
   FROM (SELECT *, unnest(range((epochs * blocks + last_slots)::BIGINT)) AS slot FROM s8)
 ), k2 AS (
   SELECT *, list_reduce([turn, 0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11], lambda x, r:
@@ -150,20 +166,25 @@ WITH d AS (
            THEN ((('0x' || substr(md5(rank || '/' || epoch || '/' || r), 1, 12))::BIGINT - x) % blocks + blocks) % blocks ELSE x END) AS idx
   FROM k
 ), k3 AS (
-  SELECT rank, idx, 128 - CASE WHEN idx = blocks - 1 THEN lack ELSE 0 END AS whole, epoch, epochs,
+  SELECT rank, slot, idx, 128 - CASE WHEN idx = blocks - 1 THEN lack ELSE 0 END AS whole, epoch, epochs,
          rest - (turn * 128 - CASE WHEN turn > short THEN lack ELSE 0 END) AS remains FROM k2
-), slots AS (SELECT rank, idx, CASE WHEN epoch < epochs THEN whole ELSE least(whole, remains) END AS words FROM k3
+), slots AS (
+  SELECT rank, idx, len(list_filter(upto, lambda x: x <= slot)) AS shard,
+         CASE WHEN epoch < epochs THEN whole ELSE least(whole, remains) END AS words
+  FROM k3 JOIN ub USING (rank)
 ), p AS MATERIALIZED (
   SELECT doc_id, rank, size, sum(size) OVER (PARTITION BY rank ORDER BY bucket, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) - size AS start,
          row_number() OVER () AS line
   FROM d JOIN s1 ON d.source IS NOT DISTINCT FROM s1.source
 ), b AS (
   SELECT line, rank, start, size, unnest(range((start // 128)::BIGINT, ((start + size - 1) // 128 + 1)::BIGINT)) AS idx FROM p WHERE size > 0
+), t0 AS (
+  SELECT line, shard, sum(least(least(start + size, (idx + 1) * 128) - idx * 128, words) - (greatest(start, idx * 128) - idx * 128)) AS taken
+  FROM b JOIN slots USING (rank, idx) WHERE words > greatest(start, idx * 128) - idx * 128 GROUP BY line, shard
 ), t AS (
-  SELECT line, sum(greatest(0, least(least(start + size, (idx + 1) * 128) - idx * 128, words) - (greatest(start, idx * 128) - idx * 128))) AS taken
-  FROM b JOIN slots USING (rank, idx) GROUP BY line
+  SELECT line, sum(taken) AS taken, string_agg(shard || ':' || taken, ',' ORDER BY shard) AS taken_by_shard FROM t0 GROUP BY line
 )
-SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, coalesce(taken_by_shard, '') AS taken_by_shard
 FROM p JOIN s5 USING (rank) LEFT JOIN t ON p.line = t.line
 """
 

@@ -23,6 +23,9 @@ from addrspark.llm import (
     token_counts,
 )
 
+# The rank file of a public tokenizer, under the same path on every machine.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -91,7 +94,7 @@ def op6_quality(spark, sf):
 
 @query
 def op4_token_counts(spark, sf):
-    return token_counts.count_tokens(table(spark, sf, "documents"))
+    return token_counts.count_tokens(table(spark, sf, "documents"), VOCABULARY)
 
 
 @query

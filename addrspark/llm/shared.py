@@ -1,27 +1,13 @@
-"""Folders and settings shared by the text operators."""
+"""Written tables and joins shared by the text operators."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def scratch_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which driver and executors share.
-
-    Only where the session names none, as in local tests, a temporary folder takes its place and is
-    kept as the session's setting.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("addrspark.scratch", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="addrspark-")
-        spark.conf.set("addrspark.scratch", folder)
-    return folder
+from addrspark.session import shared_folder
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -31,11 +17,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     that is emptied, since the caller's lazy result still reads it.
     """
     spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/addrspark-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/addrspark-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """(line, row): every row as a struct under a number of its own, written so that numbers stay.
+
+    Fields of ``row`` are named ``in_0``, ``in_1``, ... so that columns may have any name.
+    """
+    fields = [F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(docs.columns)]
+    return written(docs.select(F.monotonically_increasing_id().alias("line"), F.struct(*fields).alias("row")), name)
+
+
+def restored(rows: DataFrame, columns: list[str]) -> list:
+    """The columns of a frame that ``numbered`` has packed."""
+    return [rows["row"].getField(f"in_{i}").alias(c) for i, c in enumerate(columns)]
+
+
 def with_common(left: DataFrame, right: DataFrame, on: list[str], times: str, share: int = 1000) -> DataFrame:
     """Inner join of ``left`` with ``right``, where column ``times`` of ``right`` counts the rows of ``left`` with its key.
 

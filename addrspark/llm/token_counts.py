@@ -1,9 +1,9 @@
-"""Token counts of documents in flat token streams that have no index.
+"""Token counts of documents in flat token files that have no index.
 
-A stream is nothing but token identifiers, documents ending in a separator identifier. Blocks of fixed size
-are searched for separators with one vectorised comparison each; a prefix scan over the block summaries
-then gives every block its place, the number of documents before it and where the last of them ended, which
-stitches the documents that run over block boundaries.
+A file is nothing but token identifiers, documents ending in a separator identifier. Tasks read byte ranges of
+files and search blocks of fixed size for separators with one vectorised comparison each; a prefix scan over
+the block summaries then gives every block its place, the number of documents before it and where the last of
+them ended, which stitches the documents that run over block and range boundaries.
 """
 
 from __future__ import annotations
@@ -15,19 +15,22 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from addrspark.llm import words as W
-from addrspark.llm.shared import scratch_folder
+from addrspark.llm.shared import written
+from addrspark.session import shared_folder
 
 # Fixed value: how the vocabulary's texts are split before merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-# Fixed value: the first identifier that this vocabulary leaves free.
+# Fixed value: the first identifier that a vocabulary of 50 256 texts leaves free.
 SEPARATOR = 50256
 BLOCK_TOKENS = 1 << 16
+# Blocks that one task reads in a row.
+RANGE_BLOCKS = 256
 SCAN_GROUP = 1024
 
 
@@ -41,115 +44,134 @@ def encoder(path: str):
     return tiktoken.Encoding("flat", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _stream_writer(path: str, separator: int, block_tokens: int):
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, block = TaskContext.get().partitionId(), 0
-        encode = encoder(path).encode_ordinary
-        pending: list[np.ndarray] = []
-        held, ids, ends = 0, [], []  # documents that end in what is pending, and where
-
-        def cut(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal pending, held, ids, ends, block
-            stream = np.concatenate(pending) if pending else np.empty(0, np.uint16)
-            at = 0
-            while at + block_tokens <= held or (last and at < held):
-                to = min(at + block_tokens, held)
-                here = int(np.searchsorted(ends, to, "left"))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([shard], pa.int32()), pa.array([block], pa.int64()),
-                        pa.array([stream[at:to].tobytes()], pa.binary()), pa.array([ids[:here]], pa.list_(pa.int64())),
-                    ],
-                    names=["shard", "block", "tokens", "ids"],
-                )
-                ids, ends, block, at = ids[here:], ends[here:], block + 1, to
-            pending, held, ends = [stream[at:]], held - at, [e - at for e in ends]
+def _kind(width: int) -> np.dtype:
+    if width not in (2, 4):
+        raise ValueError(f"tokens take 2 or 4 bytes, not {width}")
+    return np.dtype(f"<u{width}")
 
-        for batch in batches:
-            for lo, hi in W.row_slices(batch.column("text")):
-                part = batch.slice(lo, hi - lo)
-                for id_, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    pending.append(np.array([*encode(text or ""), separator], dtype=np.uint16))
-                    held += len(pending[-1])
-                    ids.append(id_)
-                    ends.append(held - 1)
-                yield from cut(False)
-        yield from cut(True)
+
+def _file_writer(folder: str, vocabulary: str, separator: int, width: int):
+    kind = _kind(width)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(folder)
+        # Another attempt of the task writes another file, and only the finished one is named by its rows.
+        shard = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.bin"
+        encode = encoder(vocabulary).encode_ordinary
+        out, ordinal = None, 0
+        try:
+            for batch in batches:
+                for lo, hi in W.row_slices(batch.column("text")):
+                    part = batch.slice(lo, hi - lo)
+                    if out is None:
+                        out = system.open_output_stream(f"{root}/{shard}")
+                    for text in part.column("text").to_pylist():
+                        tokens = encode(text or "")
+                        if tokens and max(tokens) > np.iinfo(kind).max:
+                            raise ValueError(f"a token of this vocabulary does not fit into {width} bytes")
+                        out.write(np.array([*tokens, separator], dtype=kind).tobytes())
+                    count = len(part.column("id"))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([shard] * count), pa.array(np.arange(ordinal, ordinal + count)), part.column("id")],
+                        names=["shard", "ordinal", "id"],
+                    )
+                    ordinal += count
+        finally:
+            if out is not None:
+                out.close()
 
     return write
 
 
-def write_streams(
-    docs: DataFrame,
-    name: str,
-    vocabulary: str = VOCABULARY,
-    separator: int = SEPARATOR,
-    block_tokens: int = BLOCK_TOKENS,
-    id_col: str = "doc_id",
+def write_flat_files(
+    docs: DataFrame, folder: str, vocabulary: str, separator: int = SEPARATOR, width: int = 2, id_col: str = "doc_id"
 ) -> DataFrame:
-    """Tokenise documents into one stream per task: shard, block, tokens (16-bit, little-endian), ids.
+    """Tokenise documents into flat files in ``folder``, one per task; returns (shard, ordinal, id) of each document.
 
-    Blocks follow each other without regard to documents. ``ids`` lists the documents that end in a block,
-    in order but without their places. The table is written, so that a stream is made once.
+    Files hold little-endian tokens of ``width`` bytes, 2 or 4, and nothing else; ``shard`` is a file's name and
+    ``ordinal`` the document's number in it. ``folder`` is a URI that every machine can write to, and every
+    machine finds the vocabulary's rank file under the same path.
     """
+    if separator > np.iinfo(_kind(width)).max:
+        raise ValueError(f"the separator {separator} does not fit into {width} bytes")
+    system, root = fs.FileSystem.from_uri(folder)
+    system.create_dir(root, recursive=True)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    made = rows.mapInArrow(
-        _stream_writer(vocabulary, separator, block_tokens), "shard int, block bigint, tokens binary, ids array<bigint>"
-    )
-    path = f"{scratch_folder(docs.sparkSession)}/{name}"
-    made.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(made.schema).parquet(path)
+    return written(rows.mapInArrow(_file_writer(folder, vocabulary, separator, width), "shard string, ordinal bigint, id bigint"), "files")
 
 
-def read_flat_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Flat files of 16-bit little-endian tokens as streams: shard (the file's path), block, tokens.
+def file_ranges(
+    spark: SparkSession, folder: str, width: int = 2, block_tokens: int = BLOCK_TOKENS, range_blocks: int = RANGE_BLOCKS
+) -> DataFrame:
+    """(shard, first_block, offset, length): byte ranges of all files in ``folder``, for files of any size.
 
-    A file is read in one piece, so files should stay below the 2 GB that a value can hold.
+    Only names and lengths are looked at. A file whose length is no multiple of ``width`` is an error.
     """
+    size = block_tokens * range_blocks * _kind(width).itemsize
+    files = spark.read.format("binaryFile").load(folder).select("path", "length")
+    whole = F.when(F.col("length") % width == 0, F.col("length")).otherwise(
+        F.raise_error(F.concat(F.col("path"), F.lit(" does not hold whole tokens")))
+    )
+    named = files.select(F.element_at(F.split("path", "/"), -1).alias("shard"), whole.alias("whole")).filter("whole > 0")
+    last = F.floor((F.col("whole") - 1) / F.lit(size))
+    cut = named.select("shard", "whole", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("nth"))
+    offset = F.col("nth") * size
+    return cut.select(
+        "shard", (F.col("nth") * range_blocks).alias("first_block"), offset.alias("offset"),
+        F.least(F.lit(size).cast("bigint"), F.col("whole") - offset).alias("length"),
+    )
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = block_tokens * 2
-        for batch in batches:
-            for shard, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                data = content.as_buffer()
-                for block in range(-(-data.size // size)):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([shard]), pa.array([block]), pa.array([data[block * size : (block + 1) * size].to_pybytes()])],
-                        names=["shard", "block", "tokens"],
-                    )
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(split, "shard string, block bigint, tokens binary")
 
+def _range_searcher(folder: str, separator: int, width: int, block_tokens: int):
+    kind = _kind(width)
 
-def _finder(separator: int):
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
-            sizes, found = [], []
-            for data in batch.column("tokens"):
-                tokens = np.frombuffer(data.as_buffer(), dtype="<u2") if data.is_valid else np.empty(0, np.uint16)
-                sizes.append(len(tokens))
-                found.append(np.flatnonzero(tokens == separator).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("shard"), batch.column("block"), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int32()))],
-                names=["shard", "block", "size", "ends"],
-            )
+            for row in batch.to_pylist():
+                with system.open_input_file(f"{root}/{row['shard']}") as file:
+                    for nth, at in enumerate(range(0, row["length"], block_tokens * width)):
+                        size = min(block_tokens * width, row["length"] - at)
+                        tokens = np.frombuffer(file.read_at(size, row["offset"] + at), dtype=kind)
+                        ends = np.flatnonzero(tokens == separator).astype(np.int32)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([row["shard"]]), pa.array([row["first_block"] + nth]),
+                                pa.array([len(tokens)], pa.int64()), pa.array([ends], pa.list_(pa.int32())),
+                            ],
+                            names=["shard", "block", "size", "ends"],
+                        )
+
+    return search
+
+
+def search_files(
+    spark: SparkSession,
+    folder: str,
+    separator: int = SEPARATOR,
+    width: int = 2,
+    block_tokens: int = BLOCK_TOKENS,
+    range_blocks: int = RANGE_BLOCKS,
+    ranges: DataFrame | None = None,
+) -> DataFrame:
+    """(shard, block, size, ends): the places of separators in every block of the files in ``folder``.
 
-    return find
+    Each range is read by the task that searches it, block by block. ``ranges`` may name some of the files only.
+    """
+    ranges = file_ranges(spark, folder, width, block_tokens, range_blocks) if ranges is None else ranges
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    searcher = _range_searcher(folder, separator, width, block_tokens)
+    return ranges.repartition(tasks, "shard", "offset").mapInArrow(searcher, "shard string, block bigint, size bigint, ends array<int>")
 
 
-def scan_separators(blocks: DataFrame, separator: int = SEPARATOR) -> DataFrame:
+def scan_separators(found: DataFrame) -> DataFrame:
     """Blocks with what a prefix scan knows of them: shard, block, start, ordinal, before, size, ends.
 
-    ``start`` is the place of the block in its stream, ``ordinal`` the number of separators and ``before``
-    the place of the last one (-1: none) in all earlier blocks, ``ends`` the separators' places in the
-    block. The scan runs over groups of 1024 blocks and then within each, so that a stream of any length is
-    no single task's.
+    ``found`` is what ``search_files`` gives. ``start`` is the place of the block in its file, ``ordinal`` the
+    number of separators and ``before`` the place of the last one (-1: none) in all earlier blocks, ``ends`` the
+    separators' places in the block. The scan runs over groups of 1024 blocks and then within each, so that a
+    file of any length is no single task's.
     """
-    kind = blocks.schema["shard"].dataType.simpleString()
-    found = blocks.select("shard", "block", "tokens").mapInArrow(
-        _finder(separator), f"shard {kind}, block bigint, size bigint, ends array<int>"
-    )
     found = found.select(
         "*", F.floor(F.col("block") / SCAN_GROUP).alias("part"), F.size("ends").alias("n"), F.array_max("ends").alias("last")
     )
@@ -200,16 +222,26 @@ def unfinished_tokens(scanned: DataFrame) -> DataFrame:
     return scanned.groupBy("shard").agg((whole - last - 1).alias("n_tokens"))
 
 
-def count_tokens(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def count_tokens(
+    docs: DataFrame,
+    vocabulary: str,
+    separator: int = SEPARATOR,
+    width: int = 2,
+    block_tokens: int = BLOCK_TOKENS,
+    range_blocks: int = RANGE_BLOCKS,
+    id_col: str = "doc_id",
+) -> DataFrame:
     """One row per input row: id, shard, ordinal, first_token, n_tokens.
 
-    Documents are streamed, then found again in the streams. A null text counts as empty and has no tokens;
-    repeated rows and null ids are documents of their own; other columns are not looked at. An empty table
-    gives an empty result.
+    Documents are written to flat files in the shared folder, then found again in the files' ranges. A null
+    text counts as empty and has no tokens; repeated rows and null ids are documents of their own; other columns
+    are not looked at. An empty table gives an empty result.
     """
-    streams = write_streams(docs, f"streams-{uuid.uuid4().hex}", id_col=id_col, **options)
-    lengths = document_lengths(scan_separators(streams, options.get("separator", SEPARATOR)))
-    names = streams.select("shard", "block", F.posexplode("ids").alias("nth", "id"))
-    return lengths.join(names, ["shard", "block", "nth"]).select(
-        F.col("id").alias(id_col), "shard", "ordinal", "first_token", "n_tokens"
-    )
+    spark = docs.sparkSession
+    folder = f"{shared_folder(spark)}/addrspark-tokens-{uuid.uuid4().hex}"
+    files = write_flat_files(docs, folder, vocabulary, separator, width, id_col)
+    # Files of attempts that were given up are not named.
+    ranges = file_ranges(spark, folder, width, block_tokens, range_blocks).join(files.select("shard").distinct(), "shard", "left_semi")
+    found = written(search_files(spark, folder, separator, width, block_tokens, range_blocks, ranges), "found")
+    lengths = document_lengths(scan_separators(found))
+    return lengths.join(files, ["shard", "ordinal"]).select(F.col("id").alias(id_col), "shard", "ordinal", "first_token", "n_tokens")

@@ -70,6 +70,9 @@ def edge_documents() -> list[tuple]:
     rows = [(i, t, "en", f"src{i % 4}", None if t is None else len(t)) for i, t in enumerate(texts)]
     rows += [rows[9], rows[9], rows[12]]  # rows repeated as they are
     rows += [(None, base, None, None, None), (None, "no id here at all in this row", "de", None, 5), (None, None, None, None, None)]
+    rows += [(None, " ".join([*base.split()[:-1], "other"]), None, "src2", 4)]  # a near copy without an id
+    nameless = prose(rng, 90)
+    rows += [(None, nameless, "en", "src3", 4), (None, nameless, "en", "src3", 4), (None, nameless + " more", "en", None, 4)]
     rows += [(7, "another text under an id that is taken already", "fr", "src1", 40), (100, prose(rng, 50), None, "src9", None)]
     return rows
 
@@ -126,7 +129,7 @@ def similar(rows: list[tuple[int | None, str | None]], threshold: float = 0.8, g
 
     for a, b in itertools.combinations(range(len(texts)), 2):
         shared = len(sets[a] & sets[b])
-        if shared and shared >= threshold * len(sets[a] | sets[b]) and names[texts[a]] and names[texts[b]]:
+        if shared and shared >= threshold * len(sets[a] | sets[b]):
             links[a] += 1
             links[b] += 1
             parent[find(a)] = find(b)
