@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from addrspark.llm import decontaminate, hash_tree, mixing, near_join, quality
-from addrspark.llm.shared import written
+from addrspark.llm.shared import numbered, restored, written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,15 +15,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts: the one with the smallest doc_id.
+    """One row of each class of similar texts: the one with the smallest doc_id, null last.
 
-    A doc_id that stands on several rows keeps one of them. Rows with a null doc_id cannot be named by a
-    group and stay.
+    Rows are told apart by a number of their own, so a doc_id on several rows or none at all loses nothing:
+    every class keeps exactly one row, and a text that resembles no other keeps its own. Of rows equal in doc_id
+    one stays by that number.
     """
-    similar = near_join.similar_texts(docs.select("doc_id", "text"))
-    keep = similar.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(keep, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter(F.col("doc_id").isNull()))
+    lines = numbered(docs, "lines")
+    field = {c: F.col("row").getField(f"in_{docs.columns.index(c)}").alias(c) for c in ("doc_id", "text")}
+    similar = near_join.similar_texts(lines.select("line", field["text"]), id_col="line").select("line", "class_id")
+    named = similar.join(lines.select("line", field["doc_id"]), "line")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line"))
+    kept = named.groupBy("class_id").agg(first.alias("first")).select("first.line")
+    rows = lines.join(kept, "line", "left_semi")
+    return rows.select(*restored(rows, docs.columns))
 
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +37,16 @@ def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mixture takes: a row per document and epoch that takes some of it."""
+    """The words that the mixture takes: a row per document, epoch and output shard of the mixture."""
     return mixing.mixed_texts(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of every row."""
-    return hash_tree.assign_shards(docs)
+    """Every row with its text, its shard and its slot there; (shard, slot) names a row, whatever its doc_id."""
+    lines = numbered(docs, "lines")
+    field = {c: F.col("row").getField(f"in_{docs.columns.index(c)}").alias(c) for c in ("doc_id", "text", "lang", "source")}
+    placed = hash_tree.assign_shards(lines.select("line", field["doc_id"], field["text"]), carry="line")
+    return placed.join(lines.select("line", field["text"], field["lang"], field["source"]), "line").drop("line")
 
 
 STAGES = [
