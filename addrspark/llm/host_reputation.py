@@ -1,14 +1,15 @@
 """URL rules and an empirical-Bayes reputation of hosts.
 
 Labelled page outcomes are counted per host and shrunk towards the registered domain, the domain towards
-its public suffix, the suffix towards all pages. Each level has a beta prior whose mean is the parent's
+its public suffix, the suffix towards all pages. Suffixes follow a table of rules. Outcomes are a table, too;
+``page_outcomes`` makes one from labels of texts, for the pages whose own text is a labelled one. Each level has a beta prior whose mean is the parent's
 posterior mean and whose strength follows from how much the level's groups really differ (moments of the
 beta-binomial). A host passes when the lower bound of its posterior share of good pages is high enough.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from addrspark.llm.shared import written
@@ -55,20 +56,44 @@ def matching_rule(host: Column, path: Column, rules: tuple[tuple[str, str], ...]
     return rule, verdict
 
 
-def suffix_of(host: Column) -> Column:
-    """The part under which names are registered: the last label, or two of them as in ``co.uk``."""
-    double = rf"(?:^|\.)((?:{'|'.join(SECOND_LEVEL)})\.[a-z]{{2}})$"
-    bare = _bare(host)
-    return F.coalesce(F.nullif(F.regexp_extract(bare, double, 1), F.lit("")), F.regexp_extract(bare, r"[^.]*$", 0))
+def default_suffixes(spark: SparkSession) -> DataFrame:
+    """Rules for the usual second-level names of two-letter countries, such as ``co.uk``; column ``rule``."""
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    rules = [(f"{name}.{a}{b}",) for name in SECOND_LEVEL for a in letters for b in letters]
+    return spark.createDataFrame(rules, "rule string")
 
 
-def domain_of(host: Column) -> Column:
-    """The registered domain: the suffix and one label more. A numeric address is its own domain."""
-    bare = _bare(host)
-    before = F.substring(bare, F.lit(1), F.greatest(F.length(bare) - F.length(suffix_of(host)) - 1, F.lit(0)))
-    label = F.regexp_extract(before, r"[^.]*$", 0)
-    named = F.when(label == "", suffix_of(host)).otherwise(F.concat(label, F.lit("."), suffix_of(host)))
-    return F.when(bare.rlike(r"^[0-9.]+$"), bare).otherwise(named)
+def registered_domains(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """``hosts`` with suffix and domain of every distinct ``host``, by a table of public suffix rules.
+
+    A rule is a suffix; ``*`` as its first label stands for any label, and ``!`` before a rule makes an exception,
+    whose suffix is a label shorter. An exception prevails, else the rule of most labels; where none fits
+    the last label is the suffix. The domain is the suffix and one label more, or the suffix alone where there
+    is no more. A numeric address is its own domain, under its last number. Host and rule meet in a join on
+    the last labels of the host, as many as the longest rule has.
+    """
+    size = suffixes.agg(F.max(F.size(F.split("rule", r"\.")))).first()[0] or 1
+    labels = F.split(_bare(F.col("host")), r"\.")
+    parts = hosts.select("host", labels.alias("labels")).withColumn("k", F.explode(F.sequence(F.lit(1), F.least(F.size("labels"), F.lit(size)))))
+
+    def last(k: Column) -> Column:
+        return F.array_join(F.slice("labels", F.size("labels") - k + 1, k), ".")
+
+    whole = last(F.col("k"))
+    keys = F.array(
+        F.struct(whole.alias("rule"), F.col("k").alias("reach"), F.lit(False).alias("excepted")),
+        F.struct(F.when(F.col("k") > 1, F.concat(F.lit("*."), last(F.col("k") - 1))).otherwise("*").alias("rule"), F.col("k").alias("reach"), F.lit(False).alias("excepted")),
+        F.struct(F.concat(F.lit("!"), whole).alias("rule"), (F.col("k") - 1).alias("reach"), F.lit(True).alias("excepted")),
+    )
+    met = parts.select("host", F.inline(keys)).join(suffixes.select("rule").distinct(), "rule")
+    best = met.groupBy("host").agg(F.max(F.struct("excepted", "reach")).alias("best")).select(F.col("host").alias("met_host"), "best.reach")
+    placed = hosts.join(best, F.col("host") == F.col("met_host"), "left").drop("met_host")
+    placed = placed.withColumns({"labels": labels, "reach": F.greatest(F.coalesce("reach", F.lit(1)), F.lit(1))})
+    more = F.least(F.col("reach") + 1, F.size("labels"))
+    # An empty label, as before a leading dot, is no name to register.
+    named = F.when(F.get("labels", F.size("labels") - more) == "", last(F.col("reach"))).otherwise(last(more))
+    domain = F.when(_bare(F.col("host")).rlike(r"^[0-9.]+$"), _bare(F.col("host"))).otherwise(named)
+    return placed.withColumns({"suffix": last(F.col("reach")), "domain": domain}).drop("labels", "reach")
 
 
 def _bare(host: Column) -> Column:
@@ -91,11 +116,13 @@ def _strength(groups: DataFrame, parent: Column) -> Column:
     return F.lit(groups.filter(F.col("n") > 0).agg((1 / rho - 1).alias("strength")).first()["strength"])
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) -> DataFrame:
+def host_reputation(
+    pages: DataFrame, outcomes: DataFrame, z: float = 1.645, suffixes: DataFrame | None = None
+) -> DataFrame:
     """One row per host: host, domain, suffix, n, good, posterior_mean, posterior_low.
 
     ``pages`` has page_id and host, ``outcomes`` page_id, n and good (labels seen, good ones among them),
-    one row per page. A host without labels stands where its domain does; without any label at all every
+    one row per page; ``suffixes`` are rules as ``registered_domains`` takes them. A host without labels stands where its domain does; without any label at all every
     mean is 0.5. Counts combine before each shuffle, so a hot host or domain costs a row per task.
     """
     seen = outcomes.select(F.col("page_id").alias("outcome_page"), "n", "good")
@@ -103,9 +130,9 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) ->
         pages.join(seen, F.col("page_id") == F.col("outcome_page"), "left")
         .groupBy("host")
         .agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.sum(F.coalesce("good", F.lit(0))).alias("good"))
-        .select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "good")
     )
-    hosts = written(counted, "hosts")
+    rules = default_suffixes(pages.sparkSession) if suffixes is None else suffixes
+    hosts = written(registered_domains(written(counted, "counted"), rules), "hosts")
     sums = [F.sum("n").alias("n"), F.sum("good").alias("good")]
     mean = F.coalesce(F.sum("good") / F.nullif(F.sum("n"), F.lit(0)), F.lit(0.5))
     overall = F.lit(hosts.agg(mean.alias("mean")).first()["mean"])
@@ -130,25 +157,50 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) ->
     )
 
 
-def page_outcomes(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Labels as outcomes: page_id, n, good. A page is good with quality 1 and toxic 0.
+def letters_digest(text: Column) -> Column:
+    """A digest of the letters and digits of a text in order; null where there are none."""
+    letters = F.regexp_replace(text, r"[^\p{L}\p{N}]+", "")
+    return F.when(letters != "", F.md5(F.encode(letters, "UTF-8")))
+
 
-    Labels with a null part say nothing. Repeated labels of a page count each, in one row.
+def article_text(html: Column) -> Column:
+    """The text of a page's article without its heading, tags and entities; null where there is no article."""
+    article = F.regexp_extract(html, "(?s)<article>(.*?)</article>", 1)
+    bare = F.regexp_replace(F.regexp_replace(article, "(?s)<h1>.*?</h1>", ""), "<[^>]*>|&[A-Za-z]+;|&#[0-9]+;", " ")
+    return F.when(article != "", bare)
+
+
+def page_outcomes(pages: DataFrame, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Outcomes of the pages whose article is a labelled text, letter by letter: page_id, n (1) and good (0 or 1).
+
+    A text is good when most labels of the documents that hold it have quality 1 and toxic 0; half is not most.
+    Labels with a null part say nothing, and neither do documents without letters. A page_id that stands on
+    several pages has one outcome, good if all of them are; a null one has none. Texts become digests before
+    anything is shuffled, and labels of copies are counted per digest before they meet pages.
     """
     known = labels.filter(F.col("quality").isNotNull() & F.col("toxic").isNotNull() & F.col(id_col).isNotNull())
     good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("bigint")
-    return known.groupBy(F.col(id_col).alias("page_id")).agg(F.count(F.lit(1)).alias("n"), F.sum(good).alias("good"))
+    judged = known.groupBy(F.col(id_col).alias("label_id")).agg(F.count(F.lit(1)).alias("label_n"), F.sum(good).alias("label_good"))
+    texts = docs.select(F.col(id_col).alias("label_id"), letters_digest(F.col("text")).alias("digest")).filter(F.col("digest").isNotNull())
+    by_text = texts.join(judged, "label_id").groupBy("digest").agg((2 * F.sum("label_good") > F.sum("label_n")).cast("bigint").alias("good"))
+    held = pages.select("page_id", letters_digest(article_text(F.col("html"))).alias("digest"))
+    held = held.filter(F.col("page_id").isNotNull() & F.col("digest").isNotNull())
+    met = held.join(by_text, "digest").groupBy("page_id").agg(F.min("good").alias("good"))
+    return met.select("page_id", F.lit(1).cast("bigint").alias("n"), "good")
 
 
 def judge_urls(
     pages: DataFrame,
-    labels: DataFrame,
+    outcomes: DataFrame,
     rules: tuple[tuple[str, str], ...] = RULES,
     min_good: float = 0.5,
     z: float = 1.645,
+    suffixes: DataFrame | None = None,
 ) -> DataFrame:
     """Every page with host, path, rule, verdict, host_labels, posterior_mean, posterior_low.
 
+    ``outcomes`` are known outcomes of pages, page_id, n and good, such as ``page_outcomes`` gives.
+
     The longest rule that fits decides; where none fits, a page is allowed when its host's lower
     posterior bound reaches ``min_good``. A null url and one without ``://`` have an empty host, which is
     a host like any other. Pages repeated in the table are judged each; columns other than page_id and
@@ -157,7 +209,7 @@ def judge_urls(
     """
     named = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     named = named.withColumns({"host": F.coalesce("host", F.lit("")), "path": F.coalesce("path", F.lit(""))})
-    known = host_reputation(named.select("page_id", "host"), page_outcomes(labels), z)
+    known = host_reputation(named.select("page_id", "host"), outcomes, z, suffixes)
     known = known.select(
         F.col("host").alias("known_host"), F.col("n").alias("host_labels"), "posterior_mean", "posterior_low"
     )

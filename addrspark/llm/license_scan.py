@@ -1,23 +1,25 @@
 """Licence statements found through a positional index of rare words.
 
-The index holds, for every licence template, its words of highest inverse document frequency and where
-they stand. A file's words are looked up in it; each hit proposes a start of the template, proposals are
-intersected by relative position, and a start counts when its mandatory key phrase stands word by word and
-enough of the template's weight is there. Base phrases are templates that must match whole; every place of
+The index is a table of postings: for every licence template its words of highest inverse document frequency,
+with where they stand in it. The words of all files meet their postings in one join, and a hit proposes where
+its template would start, so the work for a hit does not grow with the number of templates. Proposals for one
+start are intersected by counting their words; a start counts when its mandatory key phrase stands word by word
+and enough of the template's weight is there. Base phrases are templates that must match whole; every place of
 theirs contains the looked-up word, so none is missed.
 
-Everything is SQL over the arrays of one row. Frequencies are counted over all documents.
+Everything is SQL. Templates are a table, frequencies are counted over all documents, and only the words at
+proposed starts are looked at again.
 """
 
 from __future__ import annotations
 
-import math
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from addrspark.llm.shared import written
+
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RARE_WORDS = 3
@@ -53,15 +55,10 @@ TEMPLATES = (
 )
 
 
-class Entry(NamedTuple):
-    """A template with the weights of its words and its rare words as (word, position)."""
-
-    label: str
-    words: list[str]
-    weights: list[float]
-    key: list[str]
-    key_at: int
-    rare: list[tuple[str, int]]
+def template_table(spark: SparkSession, templates: tuple[Template, ...] = TEMPLATES, base: tuple[Template, ...] = BASE) -> DataFrame:
+    """Templates as a table: label, text, key, whole (true for base phrases)."""
+    rows = [(*t, False) for t in templates] + [(*t, True) for t in base]
+    return spark.createDataFrame(rows, "label string, text string, key string, whole boolean")
 
 
 def lowered(text: Column) -> Column:
@@ -69,81 +66,87 @@ def lowered(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
-def _find(words: list[str], phrase: list[str]) -> int:
-    return next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
-
-
-def word_weights(docs: DataFrame, vocabulary: list[str], text_col: str = "text") -> dict[str, float]:
-    """Inverse document frequency over all of ``docs`` of the words of the templates, and of no others."""
-    words = F.regexp_extract_all(lowered(F.col(text_col)), F.lit(WORD), F.lit(0))
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    # The empty word, which no text has, stands for the number of documents.
-    seen = docs.select(F.explode(F.array_append(F.array_intersect(known, words), F.lit(""))).alias("word"))
-    found = {r["word"]: r["n"] for r in seen.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = found.pop("", 0)
-    return {w: math.log(1 + (total - found.get(w, 0) + 0.5) / (found.get(w, 0) + 0.5)) for w in vocabulary}
-
-
-def build_index(templates: tuple[Template, ...], weights: dict[str, float], rare: int) -> list[Entry]:
-    """Each template with its ``rare`` words of highest weight (ties by position)."""
-    entries = []
-    for t in templates:
-        words, key = t.text.split(), t.key.split()
-        ranked = sorted(range(len(words)), key=lambda i: (-weights[words[i]], i))
-        entries.append(
-            Entry(t.label, words, [weights[w] for w in words], key, _find(words, key), [(words[i], i) for i in ranked[:rare]])
-        )
-    return entries
-
-
-def _all(tests: list[Column]) -> Column:
-    return reduce(Column.__and__, tests)
-
-
-def _stands(words: Column, at: Column, phrase: list[str]) -> Column:
-    return _all([F.get(words, at + j) == w for j, w in enumerate(phrase)])
-
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(lowered(text), F.lit(WORD), F.lit(0))
 
-def _starts(words: Column, spots: Column, entry: Entry) -> Column:
-    """Starts proposed by the places of the entry's rare words."""
 
-    def proposed(word: str, offset: int) -> Column:
-        return F.transform(F.filter(spots, lambda p: F.get(words, p) == word), lambda p: p - offset)
+def build_index(docs: DataFrame, templates: DataFrame, rare: int, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(templates, postings), both written.
 
-    return F.array_distinct(F.flatten(F.array(*[proposed(w, o) for w, o in entry.rare])))
-
-
-def _places(words: Column, spots: Column, entry: Entry) -> Column:
-    """(start, label) of every place where the whole entry stands."""
-    starts = F.filter(_starts(words, spots, entry), lambda s: _stands(words, s, entry.words))
-    return F.transform(starts, lambda s: F.struct(s.cast("bigint").alias("start"), F.lit(entry.label).alias("label")))
-
-
-def _share(words: Column, at: Column, entry: Entry) -> Column:
-    """Weight of the template's words that stand in their places, as a share of all."""
-    total = sum(entry.weights)
-    there = [
-        F.when(F.get(words, at + j) == w, F.lit(x)).otherwise(0.0)
-        for j, (w, x) in enumerate(zip(entry.words, entry.weights, strict=True))
-    ]
-    return reduce(Column.__add__, there) / total
-
-
-def _accepted(words: Column, spots: Column, entry: Entry, min_share: float) -> Column:
-    """The shares of the starts at which the template counts."""
-
-    def counts(s: Column) -> Column:
-        votes = reduce(Column.__add__, [F.when(F.get(words, s + o) == w, 1).otherwise(0) for w, o in entry.rare])
-        return (votes >= min(2, len(entry.rare))) & _stands(words, s + entry.key_at, entry.key)
-
-    good = F.filter(_starts(words, spots, entry), counts)
-    return F.filter(F.transform(good, lambda s: _share(words, s, entry)), lambda x: x >= min_share)
+    Templates get a number, the arrays ``words`` and ``weights`` (inverse document frequencies over all of
+    ``docs``) and the place of their key phrase. Postings are (word, template, at, vote): the ``rare`` words of
+    highest weight of each template (one word of a base phrase), ties by place, each with a bit of its own. A
+    template whose key phrase does not stand in it can never count and is left out.
+    """
+    said = templates.select(
+        F.xxhash64("label", "text", "key", "whole").alias("template"), "label", "whole",
+        words_of(F.col("text")).alias("words"), words_of(F.col("key")).alias("key"),
+    ).dropDuplicates(["template"])
+    n = F.size("key")
+    places = F.filter(F.sequence(F.lit(0), F.greatest(F.size("words") - n, F.lit(0))), lambda k: F.slice("words", k + 1, n) == F.col("key"))
+    said = said.filter(n > 0).withColumn("key_at", F.get(places, F.lit(0))).filter(F.col("key_at").isNotNull())
+    said = written(said, "templates")
+    placed = said.select("template", "whole", F.posexplode("words").alias("at", "word"))
+    vocabulary = written(placed.select("word").distinct(), "vocabulary")
+    # How words meet the vocabulary is Spark's choice by its size, which is known from the written table.
+    seen = docs.select(F.explode(F.array_distinct(words_of(F.col(f"`{text_col}`")))).alias("word"))
+    counts = seen.join(vocabulary, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    total = docs.count()
+    n = F.coalesce("n", F.lit(0))
+    weight = F.ln(1 + (F.lit(total) - n + 0.5) / (n + 0.5))
+    weighed = written(placed.join(counts, "word", "left").withColumn("weight", weight).drop("n"), "weights")
+    ranked = F.row_number().over(Window.partitionBy("template").orderBy(F.col("weight").desc(), "at"))
+    postings = weighed.withColumn("rank", ranked).filter(F.col("rank") <= F.when(F.col("whole"), 1).otherwise(rare))
+    postings = postings.select("word", "template", "at", F.call_function("shiftleft", F.lit(1), F.col("rank") - 1).alias("vote"))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("at", "weight"))), lambda x: x["weight"])
+    weights = weighed.groupBy("template").agg(in_order.alias("weights"))
+    return written(said.join(weights, "template"), "index"), written(postings, "postings")
+
+
+def proposed_starts(docs: DataFrame, templates: DataFrame, postings: DataFrame, rare: int) -> DataFrame:
+    """(id, digest, template, start) where enough rare words of a template stand in their places.
+
+    Two of a template's rare words are enough, all of them where it has fewer. ``start`` may lie before the
+    text's first word.
+    """
+    words = docs.select("id", "digest", F.posexplode("words").alias("pos", "word"))
+    hits = words.join(postings, "word").select("id", "digest", "template", (F.col("pos") - F.col("at")).alias("start"), "vote")
+    # Repeated rows and repeated words set the same bits.
+    met = hits.groupBy("id", "digest", "template", "start").agg(F.bit_count(F.bit_or("vote")).alias("votes"))
+    needed = templates.select("template", F.when(F.col("whole"), 1).otherwise(F.least(F.lit(2), F.lit(rare), F.size("words"))).alias("needed"))
+    return met.join(needed, "template").filter(F.col("votes") >= F.col("needed")).select("id", "digest", "template", "start")
+
+
+def _verified(starts: DataFrame, docs: DataFrame, templates: DataFrame, min_share: float) -> DataFrame:
+    """(id, digest, label, start, share): share is 1 where a base phrase stands, null for no row."""
+    sized = starts.join(templates.select("template", F.size("words").alias("length")), "template")
+    each = sized.groupBy("id", "digest").agg(F.collect_list(F.struct("template", "start", "length")).alias("starts"))
+    keyed = each.withColumnsRenamed({"id": "at_id", "digest": "at_digest"})
+    same = F.col("id").eqNullSafe(F.col("at_id")) & (F.col("digest") == F.col("at_digest"))
+    # Rows equal in id and text are one here.
+    held = docs.join(keyed, same).dropDuplicates(["id", "digest"]).select("id", "digest", "words", "starts")
+    skip = lambda s: F.greatest(-s["start"], F.lit(0))
+    cut = F.transform("starts", lambda s: F.struct(
+        s["template"].alias("template"), s["start"].alias("start"), skip(s).alias("skip"),
+        F.slice("words", s["start"] + skip(s) + 1, s["length"] - skip(s)).alias("there"),
+    ))
+    found = held.select("id", "digest", F.inline(cut)).join(templates, "template")
+    rest = F.greatest(F.size("words") - F.col("skip"), F.lit(0))
+    wanted = F.slice("words", F.col("skip") + 1, rest)
+    worth = F.slice("weights", F.col("skip") + 1, rest)
+    weights = F.zip_with(F.zip_with("there", wanted, lambda a, b: a.eqNullSafe(b)), worth, lambda same, x: F.when(same, x).otherwise(0.0))
+    add = lambda values: F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    share = add(weights) / add(F.col("weights"))
+    key_from = F.col("key_at") - F.col("skip")
+    stands = (key_from >= 0) & (F.slice("there", F.greatest(key_from, F.lit(0)) + 1, F.size("key")) == F.col("key"))
+    share = F.when(F.col("whole"), F.when(F.col("there") == F.col("words"), 1.0)).otherwise(F.when(stands, share))
+    judged = found.select("id", "digest", "label", "whole", F.col("start").cast("bigint").alias("start"), share.alias("share"))
+    return judged.filter(F.col("whole") & (F.col("share") == 1.0) | ~F.col("whole") & (F.col("share") >= min_share))
 
 
 def scan_licenses(
     docs: DataFrame,
-    templates: tuple[Template, ...] = TEMPLATES,
-    base: tuple[Template, ...] = BASE,
+    templates: DataFrame | None = None,
     rare: int = RARE_WORDS,
     min_share: float = MIN_SHARE,
     id_col: str = "doc_id",
@@ -151,49 +154,35 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per input row: id, n_words, n_base, first_word, last_word, base_labels, labels, score, places.
 
-    A null or empty text has no words, empty labels and score 0. ``score`` is the largest share of a
-    template found, to six places, 1 for a base phrase. ``places`` has (label, start) of every base place. Other columns
-    of ``docs`` are not looked at; repeated rows are scanned each. The index is a literal of the plan, its
-    size is that of the templates.
+    ``templates`` are a table as ``template_table`` makes it, of any number of texts of any length. A null or
+    empty text has no words, empty labels and score 0. ``score`` is the largest share of a template found, to six
+    places, 1 for a base phrase. ``places`` has (label, start) of every base place. Other columns of ``docs``
+    are not looked at; repeated rows are scanned each. A text is known by its id and a digest, so
+    that rows equal in both are scanned alike; an empty table gives an empty result.
     """
-    vocabulary = sorted({w for t in (*templates, *base) for w in t.text.split()})
-    weights = word_weights(docs, vocabulary, text_col)
-    whole, partial = build_index(base, weights, 1), build_index(templates, weights, rare)
-    looked_up = sorted({w for e in (*whole, *partial) for w, _ in e.rare})
-
-    low = docs.select(F.col(id_col).cast("bigint").alias("id"), lowered(F.col(text_col)).alias("low"))
-    # A file without any of the looked-up words, even inside others, has nothing to find.
-    words = F.when(F.col("low").rlike("|".join(looked_up)), F.regexp_extract_all("low", F.lit(WORD), F.lit(0)))
-    split = low.select(
-        "id",
-        F.regexp_count("low", F.lit(WORD)).cast("bigint").alias("n_words"),
-        F.coalesce(words, F.array().cast("array<string>")).alias("words"),
-    )
-    known = F.array(*[F.lit(w) for w in looked_up])
-    spots = F.transform("words", lambda w, i: F.when(F.array_contains(known, w), i))
-    hit = split.withColumn("spots", F.filter(spots, lambda p: p.isNotNull()))
-    w, p = F.col("words"), F.col("spots")
-    places = [_places(w, p, e) for e in whole]
-    shares = F.array(
-        *[F.struct(F.lit(e.label).alias("label"), F.array_max(_accepted(w, p, e, min_share)).alias("share")) for e in partial]
-    )
-    found = hit.select(
-        "id", "n_words",
-        F.array_sort(F.flatten(F.array(*places))).alias("places"),
-        F.filter(shares, lambda s: s["share"].isNotNull()).alias("found"),
+    table = template_table(docs.sparkSession) if templates is None else templates
+    index, postings = build_index(docs, table, rare, text_col)
+    text = F.col(f"`{text_col}`")
+    known = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("digest"), words_of(text).alias("words"))
+    starts = written(proposed_starts(known, index, postings, rare), "starts")
+    found = _verified(starts, known, index, min_share)
+    base = F.col("whole")
+    spots = F.array_sort(F.collect_list(F.when(base, F.struct("start", "label"))))
+    per_text = found.groupBy("id", "digest").agg(
+        spots.alias("places"), F.collect_set("label").alias("labels"), F.collect_set(F.when(base, F.col("label"))).alias("base_labels"),
+        F.max(F.when(~base, F.col("share"))).alias("share"),
+    )
+    per_text = per_text.withColumnsRenamed({"id": "at_id", "digest": "at_digest"})
+    same = F.col("id").eqNullSafe(F.col("at_id")) & (F.col("digest") == F.col("at_digest"))
+    sized = known.select("id", "digest", F.size("words").cast("bigint").alias("n_words"))
+    none = F.array().cast("array<string>")
+    n_base = F.when(F.col("places").isNull(), 0).otherwise(F.size("places"))
+    first = F.transform("places", lambda x: x["start"])
+    score = F.when(n_base > 0, 1.0).otherwise(F.round(F.least(F.coalesce("share", F.lit(0.0)), F.lit(1.0)), 6))
+    return sized.join(per_text, same, "left").select(
+        F.col("id").alias(id_col), "n_words", n_base.cast("bigint").alias("n_base"),
+        F.array_min(first).alias("first_word"), F.array_max(first).alias("last_word"),
+        F.array_join(F.array_sort(F.coalesce("base_labels", none)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.coalesce("labels", none)), ",").alias("labels"),
+        score.alias("score"), "places",
     )
-    starts = F.transform("places", lambda x: x["start"])
-    base_labels = F.array_sort(F.array_distinct(F.transform("places", lambda x: x["label"])))
-    more = F.transform("found", lambda x: x["label"])
-    best = F.array_max(F.transform("found", lambda x: x["share"]))
-    return found.select(
-        F.col("id").alias(id_col),
-        "n_words",
-        F.size("places").cast("bigint").alias("n_base"),
-        F.array_min(starts).alias("first_word"),
-        F.array_max(starts).alias("last_word"),
-        F.array_join(base_labels, ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union(base_labels, more)), ",").alias("labels"),
-        F.when(F.size("places") > 0, 1.0).otherwise(F.round(F.least(F.coalesce(best, F.lit(0.0)), F.lit(1.0)), 6)).alias("score"),
-        "places",
-    )

@@ -20,13 +20,22 @@ WITH p AS (
               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
          CASE WHEN contains(url, '://') THEN regexp_extract(url, '^[\s\S]*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path
   FROM pages
-), o AS (
+), l AS (
   SELECT doc_id, count(*) AS n, sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS good
   FROM labels WHERE quality IS NOT NULL AND toxic IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id
+), x AS (
+  SELECT regexp_replace(text, '[^\p{L}\p{N}]+', '', 'g') AS letters, 2 * sum(l.good) > sum(l.n) AS good
+  FROM documents JOIN l USING (doc_id) GROUP BY letters
+), a AS (
+  SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1),
+         '(?s)<h1>.*?</h1>', '', 'g'), '<[^>]*>|&[A-Za-z]+;|&#[0-9]+;', ' ', 'g'), '[^\p{L}\p{N}]+', '', 'g') AS letters
+  FROM pages WHERE page_id IS NOT NULL
+), o AS (
+  SELECT page_id, 1 AS n, min(x.good::INT) AS good FROM a JOIN x USING (letters) WHERE letters <> '' GROUP BY page_id
 ), h0 AS (
   SELECT host, regexp_extract(host, '^(?:.*@)?([^@:]*)(?::[0-9]*)?$', 1) AS bare,
          sum(coalesce(n, 0)) AS n, sum(coalesce(good, 0)) AS good
-  FROM p LEFT JOIN o ON p.page_id = o.doc_id GROUP BY host
+  FROM p LEFT JOIN o ON p.page_id = o.page_id GROUP BY host
 ), h1 AS (
   SELECT *, coalesce(nullif(regexp_extract(bare, '(?:^|\.)((?:ac|co|com|edu|gov|net|org)\.[a-z]{2})$', 1), ''),
                      regexp_extract(bare, '[^.]*$')) AS suffix FROM h0

@@ -45,7 +45,9 @@ def op1_exact_dedup(spark, sf):
 
 @query
 def op2_url_filters(spark, sf):
-    judged = host_reputation.judge_urls(table(spark, sf, "pages"), table(spark, sf, "labels"))
+    pages = table(spark, sf, "pages")
+    outcomes = host_reputation.page_outcomes(pages, table(spark, sf, "documents"), table(spark, sf, "labels"))
+    judged = host_reputation.judge_urls(pages, outcomes)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

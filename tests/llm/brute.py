@@ -106,7 +106,9 @@ def edge_tables(folder) -> str:
         None, "", "no scheme", "http://", "http://A.Example.ORG/es/x?y#z", "https://example.org/en/1", "http://org", "x://a://b/c",
         "http://u:p@www.x.co.uk:80/a", "http://1.2.3.4/x", "http://www.b.com/fr/1", "http://www.b.com/de/", "http://q.net?x=/a", "//b.com/",
     ]
-    pages = [(i, u, None) for i, u in enumerate(urls)] + [(5, urls[5], "x"), (None, "http://x.net/a", None)]
+    pages = [(100 + i, f"http://h{i % 3}.net/{i}", f"<article><h1>x</h1>{r[1]}</article>") for i, r in enumerate(docs[6:30])]
+    pages += [(100, "http://h9.net/", f"<article>{docs[10][1]}</article>"), (None, "http://h1.net/", f"<article>{docs[9][1]}</article>")]
+    pages += [(i, u, None) for i, u in enumerate(urls)] + [(5, urls[5], "x"), (None, "http://x.net/a", None)]
     benchmark = [(1, " ".join(item.split()[80:])), (2, None), (3, ""), (None, prose(random.Random(8), 30)), (4, "what is it? a thing of its own kind")]
     return write_tables(folder, {"documents": docs, "labels": labels, "pages": pages, "benchmark": benchmark, "conversations": edge_conversations()}, clashing=True)
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from addrspark.llm import conversation_trie, decontaminate, hash_tree, license_scan, mixing, near_join, quality, quality_rules, spelling_variants, substring_dedup, token_counts
+from addrspark.llm import conversation_trie, decontaminate, hash_tree, host_reputation, license_scan, mixing, near_join, quality, quality_rules, spelling_variants, substring_dedup, token_counts
 from addrspark.llm import words as W
 from addrspark.llm.components import components
 from addrspark.llm.queries import QUERIES, VOCABULARY
@@ -279,6 +279,76 @@ def test_licence_places(spark):
     assert (got[3].labels, got[3].score, got[4].n_words) == ("", 0.0, 0)
 
 
+def test_licences_by_a_table_of_many_templates(spark):
+    rng = random.Random(31)
+    texts = [prose(rng, rng.randrange(20, 200), 300) for _ in range(60)]
+    table = [(f"t{i:02}", t, " ".join(t.split()[5:9]), False) for i, t in enumerate(texts)]
+    table += [("short", "w1 odd", "w1 odd", True), ("lost", "w1 w2 w3", "not in it", False), ("empty", "", "", False), table[0]]
+    rows = [(i, " ".join([prose(rng, 30, 300), texts[i % 60], prose(rng, 30, 300)])) for i in range(90)]
+    rows += [(200, texts[3][len("w1"):]), (201, " ".join(texts[4].split()[10:])), (202, "W1 odd w1-ODD w1"), (203, None), (202, "W1 odd w1-ODD w1")]
+    halves = texts[7].split()
+    rows.append((204, " ".join(w if k % 3 or 5 <= k < 9 else "other" for k, w in enumerate(halves))))
+    schema = "label string, text string, key string, whole boolean"
+    got = license_scan.scan_licenses(frame(spark, rows), spark.createDataFrame(table, schema)).collect()
+    by_id = {r.doc_id: r for r in got}
+    assert len(got) == len(rows)
+    assert all(f"t{i % 60:02}" in by_id[i].labels.split(",") for i in range(90))
+    assert "t04" not in by_id[201].labels  # its key phrase is cut off
+    assert "t07" in by_id[204].labels and 0.6 <= by_id[204].score < 1
+    assert (by_id[202].n_base, by_id[202].first_word, by_id[202].last_word, by_id[202].base_labels) == (2, 0, 2, "short")
+    assert by_id[203].n_words == 0 and not any("lost" in r.labels for r in got)
+
+
+def test_work_for_a_hit_is_a_join(spark):
+    starts = license_scan.proposed_starts(
+        spark.createDataFrame([], "id bigint, digest bigint, words array<string>"),
+        spark.createDataFrame([], "template bigint, whole boolean, words array<string>"),
+        spark.createDataFrame([], "word string, template bigint, at int, vote int"), 3,
+    )
+    text = starts._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_hosts_are_judged_by_outcomes_of_their_own_pages(spark):
+    rng = random.Random(17)
+    docs, labels, pages = [], [], []
+    for i in range(400):
+        text = prose(rng, 30)
+        bad = i % 2 == 0
+        docs += [(i, text), (1000 + i, text)]  # copies, of which one is labelled
+        labels.append((i, int(not bad), 0))
+        host = "bad.example.net" if bad else "good.example.net"
+        words = text.split()
+        body = " ".join(words[:9]) + "<p>" + " &amp; ".join(words[9:]) + "</p>"
+        pages.append((5000 - i, f"http://{host}/{i}", f"<html><nav>menu</nav><article><h1>{words[0]}</h1>{body}</article></html>"))
+    pages += [(9000, "http://new.example.net/", None), (9001, "http://bad.example.net/", "<article>unknown</article>"), (None, None, "")]
+    labels += [(3, None, 0), (None, 1, 0)]
+    tables = [
+        spark.createDataFrame(pages, "page_id bigint, url string, html string"), frame(spark, docs),
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"),
+    ]
+    outcomes = host_reputation.page_outcomes(*tables)
+    assert outcomes.count() == 400 and outcomes.agg({"good": "sum"}).first()[0] == 200
+    got = host_reputation.judge_urls(tables[0], outcomes).collect()
+    verdicts = {(r.host, r.verdict) for r in got}
+    assert {("bad.example.net", "block"), ("good.example.net", "allow")} <= verdicts
+    assert ("bad.example.net", "allow") not in verdicts and ("good.example.net", "block") not in verdicts
+
+
+def test_suffix_rules_with_wildcards_and_exceptions(spark):
+    rules = spark.createDataFrame([("com",), ("uk",), ("co.uk",), ("*.ck",), ("!www.ck",), ("a.b.com",), ("com",)], "rule string")
+    want = {
+        "x.y.com": ("com", "y.com"), "www.shop.co.uk": ("co.uk", "shop.co.uk"), "co.uk": ("co.uk", "co.uk"), "q.uk": ("uk", "q.uk"),
+        "m.n.foo.ck": ("foo.ck", "n.foo.ck"), "foo.ck": ("foo.ck", "foo.ck"), "www.ck": ("ck", "www.ck"), "a.www.ck": ("ck", "www.ck"),
+        "z.a.b.com": ("a.b.com", "z.a.b.com"), "b.com": ("com", "b.com"), "nowhere": ("nowhere", "nowhere"), "": ("", ""),
+        "u:p@h.co.uk:80": ("co.uk", "h.co.uk"), "10.1.2.3": ("3", "10.1.2.3"), "a..com": ("com", "com"), "other.zz": ("zz", "other.zz"),
+    }
+    hosts = spark.createDataFrame([(h,) for h in want], "host string")
+    got = {r.host: (r.suffix, r.domain) for r in host_reputation.registered_domains(hosts, rules).collect()}
+    assert got == want
+    assert host_reputation.registered_domains(hosts, rules.limit(0)).filter("host = 'x.y.com'").first().domain == "y.com"
+
+
 def one_of_each_class(rows: list[tuple]) -> Counter:
     """The doc_ids that stay when every class of similar texts, told by row and not by id, keeps one row."""
     classes: dict[int, list] = {}
