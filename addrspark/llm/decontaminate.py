@@ -31,7 +31,7 @@ K1, B = 1.2, 0.75
 MIN_OVERLAP = 0.5
 GRAM = 5
 RUN = 13
-ITEM_BLOCK = 4
+ITEM_BLOCK = 2
 SEGMENT_ITEMS = 512
 PASSAGES = 512
 # Items scored at once.
@@ -60,6 +60,7 @@ class Index(NamedTuple):
     longest: int
     least: np.ndarray  # per item, the smallest score of a passage that leaks it
     block_least: np.ndarray
+    gram_sets: list[tuple[int, np.ndarray]]  # per length, the sorted n-grams that verification counts
 
 
 def question_and_answer(text: str, count: int) -> int:
@@ -107,6 +108,12 @@ def least_score(places: np.ndarray, weights: np.ndarray, question: int, min_over
     return float(min(by_run, by_grams)) * (1 - 1e-9)
 
 
+def _gram_sets(grams: list, part_words: list, runs: list, run_words: list) -> list[tuple[int, np.ndarray]]:
+    counted = [(min(GRAM, n), g) for both, sizes in zip(grams, part_words, strict=True) for g, n in zip(both, sizes, strict=True)]
+    counted += list(zip(run_words, runs, strict=True))
+    return [(n, np.unique(np.concatenate([g for m, g in counted if m == n]))) for n in sorted({n for n, g in counted if len(g)})]
+
+
 def build_index(
     items: list[tuple[int | None, str]], frequency: dict[int, int], total: int, mean: float, min_overlap: float = MIN_OVERLAP
 ) -> Index:
@@ -149,7 +156,7 @@ def build_index(
     np.minimum.at(block_least, np.arange(len(ids)) // ITEM_BLOCK, least)
     return Index(
         ids, terms, most, post_start, posting % n_blocks, post_most, item_start, rows, weights, grams, part_words, runs,
-        run_words, longest, np.array(least), block_least,
+        run_words, longest, np.array(least), block_least, _gram_sets(grams, part_words, runs, run_words),
     )
 
 
@@ -213,6 +220,19 @@ def _scored(index: Index, has: np.ndarray) -> Iterator[tuple[int, int, float]]:
             yield int(passage[k]), int(item[k]), float(score[k])
 
 
+def _gram_places(index: Index, words: W.Words) -> np.ndarray:
+    """Running number of the places of a slice where some n-gram of the items begins.
+
+    A passage without any is no leak, which spares counting its n-grams.
+    """
+    marks = np.zeros(len(words.hashes) + 1, dtype=np.int64)
+    for n, known in index.gram_sets:
+        hashes, at = W.gram_hashes(words, n)
+        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        marks[at[known[place] == hashes] + 1] = 1
+    return np.cumsum(marks)
+
+
 def _verified(index: Index, item: int, hashes: np.ndarray, min_overlap: float) -> bool:
     """Enough n-grams of both question and answer, or a long run of the item word by word."""
     parts = index.grams[item]
@@ -235,8 +255,9 @@ def _marker(shipped: Broadcast, min_overlap: float):
                 found = part.column("items").to_pylist()
                 for index in segments if len(words.hashes) else ():
                     items: list[dict[int, float]] = [{} for _ in range(hi - lo)]
+                    begun = _gram_places(index, words)
                     for row, begin, end, item, score in _retrieve(index, words):
-                        if score > items[row].get(item, 0) and (
+                        if begun[end] > begun[begin] and score > items[row].get(item, 0) and (
                             item in items[row] or _verified(index, item, words.hashes[begin:end], min_overlap)
                         ):
                             items[row][item] = score
@@ -334,5 +355,8 @@ def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item."""
+    """The rows of ``docs`` that hold no benchmark item.
+
+    Null and empty texts hold none and stay; repeated rows stay or go together, each on its own.
+    """
     return mark_leaks(docs, benchmark, **options).filter(F.size("items") == 0).select("row.*")
