@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from addrspark.functions.text import joined_name
-from addrspark.operators.skew import heavy_keys, null_safe_join
+from addrspark.operators.skew import null_safe_join
 
 DOOR_KEY = ["id_via", "numpuerta"]
 DOOR_COLUMNS = ["id_via", "numpuerta", "tipo_via", "nom_via", "ubigeo", "lon_x", "lat_y"]
@@ -59,19 +59,16 @@ def split_duplicates(
     """Number the rows of every repeated key from 1 in ``dup_group``; row i belongs to output i.
 
     Numbers follow column order, null first, whatever the key's size. Ordinary keys are numbered by a
-    window, keys with more than ``heavy_rows`` rows bucket by bucket in ``_number_heavy``.
+    window, keys with more than ``heavy_rows`` rows bucket by bucket in ``_number_heavy``. Keys are counted
+    first, so only rows of repeated keys are ordered.
     """
     rows = df.dropna(subset=keys)
-    heavy = heavy_keys(rows, keys, heavy_rows)
-    by_key = Window.partitionBy(*keys)
-    ordinary = (
-        rows.join(heavy, keys, "left_anti")
-        .withColumn("dup_group", F.row_number().over(by_key.orderBy(*_nulls_first(_others(df, keys)))).cast("bigint"))
-        .withColumn("key_rows", F.count(F.lit(1)).over(by_key))
-        .filter(F.col("key_rows") > 1)
-        .select(*df.columns, "dup_group")
-    )
-    return ordinary.unionByName(_number_heavy(rows, keys, heavy, heavy_rows))
+    repeated = duplicate_keys(rows, keys)
+    heavy = repeated.filter(F.col("count") > heavy_rows)
+    few = repeated.filter(F.col("count") <= heavy_rows).select(*keys)
+    in_order = Window.partitionBy(*keys).orderBy(*_nulls_first(_others(df, keys)))
+    ordinary = rows.join(few, keys, "left_semi").withColumn("dup_group", F.row_number().over(in_order).cast("bigint"))
+    return ordinary.select(*df.columns, "dup_group").unionByName(_number_heavy(rows, keys, heavy, heavy_rows))
 
 
 def _number_heavy(rows: DataFrame, keys: list[str], heavy: DataFrame, heavy_rows: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from addrspark.functions import text
@@ -19,15 +19,16 @@ def collect_items(
     """One row per key with the sorted array of its items (none of them null); ``part`` is 0.
 
     With ``max_items`` an array is cut into consecutive runs of that length, numbered by ``part`` from 0,
-    by the same rule for every key.
+    by the same rule for every key. Items are numbered before they are collected, by a window that spills, so
+    no array grows beyond the limit on the way.
     """
     items = rows.select(*keys, item.alias("item"))
-    whole = items.groupBy(*keys).agg(F.sort_array(F.collect_list("item")).alias(alias))
+    collected = F.sort_array(F.collect_list("item")).alias(alias)
     if max_items is None:
-        return whole.withColumn("part", F.lit(0).cast("bigint"))
-    last = F.floor((F.size(alias) - 1) / F.lit(max_items))
-    cut = whole.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    return cut.withColumn(alias, F.slice(alias, (F.col("part") * max_items + 1).cast("int"), F.lit(max_items)))
+        return items.groupBy(*keys).agg(collected).withColumn("part", F.lit(0).cast("bigint"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("item")) - 1
+    numbered = items.withColumn("part", F.floor(place / F.lit(max_items)))
+    return numbered.groupBy(*keys, "part").agg(collected).select(*keys, alias, "part")
 
 
 def house(number: Column, lon: Column, lat: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from addrspark.functions import hexgrid
 from addrspark.functions.shapes import LINEAR, POLYGONAL, contains, edges, segment_distance
 from addrspark.functions.text import list_text
+from addrspark.operators import quadtree
 
 ENDS = ["x1", "y1", "x2", "y2"]
 # Search radius and inward offset in metres.
@@ -82,17 +83,25 @@ def nearest_edges(
     key: str,
     max_distance: float = MAX_DISTANCE,
     cell: float = CELL,
+    most_pairs: int | None = None,
 ) -> DataFrame:
     """Per (key, part) the edge nearest to any road within ``max_distance``: edge, distance.
 
     Equal distances go to the lowest edge. Edges and roads meet through an equi-join on grid cells: two
     things within the radius always share one. The smallest (distance, edge) of a part combines before
     anything is shuffled again, and a crowded cell is split by adaptive execution because edges are
-    independent of each other.
+    independent of each other. Where cells may be crowded on both sides, ``most_pairs`` lets them be cut by a
+    quadtree until they hold no more pairs than that, if cutting helps.
     """
     reach = 0.001  # metres; absorbs rounding in the cell bounds
     left = _on_grid(edge_rows, cell, max_distance + reach)
-    right = _on_grid(segments, cell, reach).withColumnsRenamed({c: f"road_{c}" for c in ENDS})
+    right = _on_grid(segments, cell, reach)
+    on = ["cell_x", "cell_y"]
+    if most_pairs is not None:
+        named = [df.withColumnsRenamed({"cell_x": "quad_x", "cell_y": "quad_y"}).distinct() for df in (left, right)]
+        left, right = quadtree.leaves(*named, cell, max_distance + reach, reach, most_pairs)
+        on = quadtree.SQUARE
+    right = right.withColumnsRenamed({c: f"road_{c}" for c in ENDS})
 
     def apart(a: str, b: str) -> Column:
         """Lower bound of the distance along one axis."""
@@ -102,7 +111,7 @@ def nearest_edges(
         )
 
     near = (
-        left.join(right, ["cell_x", "cell_y"])
+        left.join(right, on)
         .filter((apart("x1", "x2") <= max_distance) & (apart("y1", "y2") <= max_distance))
         .select(
             key,
@@ -124,6 +133,7 @@ def address_points(
     max_distance: float = MAX_DISTANCE,
     inset: float = INSET,
     cell: float = CELL,
+    most_pairs: int | None = None,
 ) -> DataFrame:
     """One point per lot part, ``inset`` metres inside the middle of the edge nearest to a road.
 
@@ -131,7 +141,7 @@ def address_points(
     one where neither side of the edge lies inside. Columns: key, part, edge, distance, x, y.
     """
     parts = shape_parts(lots, key, geometry)
-    best = nearest_edges(part_edges(parts, key), road_segments(roads, geometry), key, max_distance, cell)
+    best = nearest_edges(part_edges(parts, key), road_segments(roads, geometry), key, max_distance, cell, most_pairs)
     shell = F.col("rings")[0]
     start, end = F.element_at(shell, F.col("edge") + 1), F.element_at(shell, F.col("edge") + 2)
     faced = best.join(parts, [key, "part"]).select(

@@ -13,7 +13,9 @@ from addrspark.functions.text import parse_coordinate
 from addrspark.functions.wkb import point_wkb
 from addrspark.operators import documents as docs
 from addrspark.operators.checks import require_columns, text_column_names
+from addrspark.operators.dedup import unique_rows
 from addrspark.operators.mapping import apply_mapping
+from addrspark.operators.skew import null_safe_join
 from addrspark.operators.spatial import address_points, hex_indexed
 from addrspark.schemas import DOCUMENT, DOCUMENT_FIELDS, LOTS
 from addrspark.session import settled
@@ -122,21 +124,32 @@ def build_department_list(spark: SparkSession, sheet: DataFrame, out: str) -> No
 
 
 def load_documents(
-    spark: SparkSession, documents_path: str, table: str, schema: T.StructType, rejects_out: str
+    spark: SparkSession,
+    documents_path: str,
+    table: str,
+    schema: T.StructType,
+    rejects_out: str,
+    key: list[str] | None = None,
 ) -> dict[str, int]:
     """Create the table if absent, append the documents that fit, keep the rest; returns the counts.
 
-    The counts are observed while writing, not by another pass.
+    With ``key`` the job may be run again: a document whose key the table has already is not appended
+    (null keys are equal), of several in the input with one key the smallest row is, and the rejects of an
+    earlier run are replaced. The counts are observed while writing, not by another pass. For input that keeps
+    arriving see ``addrspark.streaming.load``.
     """
     writers.create_index_table(spark, table, schema)
     lines, broken = readers.read_ndjson(spark, documents_path, as_text(schema))
     good, misfits = apply_mapping(lines, schema)
+    if key:
+        known = spark.table(table).select(*key)
+        good = null_safe_join(unique_rows(good, key), known, key, "left_anti")
     lost = misfits.select(F.to_json(F.struct(*lines.columns)).alias("line"), "reason")
     accepted, refused = Observation("accepted"), Observation("refused")
     n = F.count(F.lit(1)).alias("n")
     # Rejects go first: should their folder exist already, nothing has been appended yet.
-    writers.write_ndjson(broken.unionByName(lost).observe(refused, n), rejects_out)
-    good.observe(accepted, n).write.mode("append").saveAsTable(table)
+    writers.write_ndjson(broken.unionByName(lost).observe(refused, n), rejects_out, mode="overwrite" if key else "errorifexists")
+    good.select(*schema.names).observe(accepted, n).write.mode("append").saveAsTable(table)
     return {"succeeded": accepted.get["n"], "failed": refused.get["n"]}
 
 

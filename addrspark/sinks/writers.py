@@ -95,7 +95,11 @@ def bulk_lines(
 
 
 def bulk_chunks(lines: DataFrame, chunk_size: int = CHUNK) -> DataFrame:
-    """Bulk lines with the number of their ``chunk``; a chunk stays in one task and has at most ``chunk_size``."""
+    """Bulk lines with the number of their ``chunk``; a chunk stays in one task and has at most ``chunk_size``.
+
+    Numbers follow tasks and the order of rows in them, so another run may deal documents differently; ids in
+    the lines, not chunk numbers, make a repeated export safe.
+    """
     place = F.monotonically_increasing_id()
     task, row = F.shiftright(place, 33), place.bitwiseAND(F.lit((1 << 33) - 1))
     chunk = F.shiftleft(task, 33) + F.floor(row / F.lit(chunk_size))

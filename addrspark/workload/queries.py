@@ -5,15 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from addrspark import schemas
-from addrspark.functions import hexgrid, projection, shapes, text, wkb
-from addrspark.operators import asof, checks, dedup, documents, editions, intervals, mapping, patch, spatial, timewindows, totals
+from addrspark.functions import hexgrid, projection, shapes, tables, text, wkb
+from addrspark.operators import asof, checks, dedup, documents, editions, intervals, mapping, patch, sketches, spatial, timewindows, totals
 from addrspark.plans.flows import as_text, clean_points
 from addrspark.session import shared_folder
-from addrspark.sinks import writers
+from addrspark.sinks import geoparquet, writers
 from addrspark.sources import readers
 from addrspark.streaming import load
 from addrspark.workload import fixtures as fx
@@ -332,11 +332,8 @@ def hex_multi_shapes(spark, sf):
     return indexed.select("event_id", "hex_index", F.size("hex_cells").cast("bigint").alias("cells"))
 
 
-@query
-def wkb_roundtrip(spark, sf):
-    bytes_of = fx.metric_lots(spark, sf).withColumn("geometry", wkb.encode_wkb(F.col("geometry")))
-    back, _ = wkb.decode_shapes(bytes_of, "geometry")
-    rings = back.select("lot_id", F.posexplode("geometry.parts").alias("part", "rings")).select(
+def ring_vertices(lots: DataFrame) -> DataFrame:
+    rings = lots.select("lot_id", F.posexplode("geometry.parts").alias("part", "rings")).select(
         "lot_id", "part", F.posexplode("rings").alias("ring", "vertices")
     )
     return rings.select(
@@ -345,6 +342,13 @@ def wkb_roundtrip(spark, sf):
     ).select("lot_id", "part", "ring", F.col("place").cast("bigint").alias("place"), "v.x", "v.y")
 
 
+@query
+def wkb_roundtrip(spark, sf):
+    bytes_of = fx.metric_lots(spark, sf).withColumn("geometry", wkb.encode_wkb(F.col("geometry")))
+    back, _ = wkb.decode_shapes(bytes_of, "geometry")
+    return ring_vertices(back)
+
+
 def patched(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     known = doors(spark, sf).select("id_via").distinct()
     return patch.patch_documents(streets(spark, sf), fx.view(spark, sf, fx.PATCHES), known=known)
@@ -586,3 +590,145 @@ def hex_geometry(spark, sf):
         "event_id", "kind", F.col("corner").cast("bigint").alias("corner"),
         scaled(F.col("v.x"), 1e7).alias("lon_e7"), scaled(F.col("v.y"), 1e7).alias("lat_e7"),
     )
+
+
+@query
+def nearest_edge_dense(spark, sf):
+    """Lots and roads drawn a hundred and twenty-eight times as small, so that they crowd a few cells of the grid.
+
+    Division by a power of two is exact, so the nearest edges are the same ones.
+    """
+    small = 128.0
+    parts = spatial.shape_parts(fx.metric_lots(spark, sf), "lot_id", "geometry")
+    ends = {c: F.col(c) / small for c in spatial.ENDS}
+    edges = spatial.part_edges(parts, "lot_id").withColumns(ends)
+    segments = spatial.road_segments(fx.metric_roads(spark, sf), "geometry").withColumns(ends)
+    best = spatial.nearest_edges(edges, segments, "lot_id", 15.0 / small, most_pairs=20_000)
+    return best.select(
+        "lot_id", F.col("part").cast("bigint").alias("part"), F.col("edge").cast("bigint").alias("edge"),
+        scaled(F.col("distance") * small, 1e3).alias("distance_mm"),
+    )
+
+
+BUCKETS = 16
+
+
+@query
+def patch_buckets(spark, sf):
+    """Documents patched in place: only the folders of patched buckets are written again."""
+    path = fresh(spark, "buckets")
+    patch.write_buckets(streets(spark, sf), path, "id_via", BUCKETS)
+    patch.patch_buckets(spark, path, fx.view(spark, sf, fx.PATCHES), "id_via", BUCKETS)
+    return spark.read.parquet(path).select("id_via", "name", "postcode", houses_text("housenumbers").alias("houses"))
+
+
+# The projected coordinates that the lots are in.
+LOT_CRS = '{"type": "ProjectedCRS", "name": "WGS 84 / UTM zone 18S", "id": {"authority": "EPSG", "code": 32718}}'
+
+
+def written_lots(spark: SparkSession, sf: str) -> str:
+    path = fresh(spark, "geo")
+    geoparquet.write_geoparquet(fx.metric_lots(spark, sf), path, crs=LOT_CRS)
+    return path
+
+
+@query
+def geo_roundtrip(spark, sf):
+    lots, _, _ = geoparquet.read_geoparquet(spark, written_lots(spark, sf))
+    return ring_vertices(lots)
+
+
+@query
+def geo_metadata(spark, sf):
+    """What the footers of the written files say, put together."""
+    files = geoparquet.geo_metadata(spark, written_lots(spark, sf))
+    return files.agg(
+        F.min("version").alias("version"), F.max("primary_column").alias("primary_column"), F.max("encoding").alias("encoding"),
+        F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_list("kinds")))), ",").alias("kinds"),
+        F.max(F.get_json_object("crs", "$.id.code")).alias("crs_code"),
+        F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"),
+    )
+
+
+@query
+def street_sketch_error(spark, sf):
+    """Whether streets per district, estimated from merged sketches of each kind of street, are as near as stated."""
+    kinds = doors(spark, sf).select("tipo_via", (F.col("ubigeo") % 10).alias("sector"), "id_via")
+    stored = sketches.distinct_sketches(kinds, ["sector", "tipo_via"], "id_via")
+    near = sketches.estimated(sketches.merged_sketches(stored, ["sector"]))
+    exact = kinds.groupBy("sector").agg(F.count_distinct("id_via").alias("streets"))
+    off = F.abs(F.col("estimate") - F.col("streets")) <= F.col("streets") * sketches.relative_error() + 1
+    return near.join(exact, "sector").select("sector", "streets", off.alias("as_stated"))
+
+
+@query
+def shape_edges_sql(spark, sf):
+    tables.register_table_functions(spark)
+    lots = fx.metric_lots(spark, sf)
+    return spark.sql("SELECT * FROM shape_edges(TABLE({lots}) PARTITION BY lot_id)", lots=lots)
+
+
+@query
+def duplicate_folders(spark, sf):
+    """The rows of every rank as they stand in its folder of CSV files."""
+    path = fresh(spark, "ranks")
+    writers.write_duplicate_groups(dedup.split_duplicates(doors(spark, sf)), path, sort=["id_via", "numpuerta"], folders=True)
+    rows = spark.read.option("header", True).csv(path)
+    return rows.select(
+        F.col("id_via").cast("bigint").alias("id_via"), F.col("numpuerta").cast("bigint").alias("numpuerta"),
+        "tipo_via", "nom_via", F.col("dup_group").cast("bigint").alias("dup_group"),
+    )
+
+
+@query
+def ordered_lines(spark, sf):
+    """Whether the lines of a sorted output stand in order, inside every file and from file to file."""
+    path = fresh(spark, "ordered")
+    unique = dedup.unique_doors(doors(spark, sf)).select("id_via", "numpuerta")
+    writers.write_ndjson(unique, path, sort=["id_via", "numpuerta"])
+    files = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_name").alias("file"),
+        F.transform(F.filter(F.split("value", "\n"), lambda x: x != ""), lambda x: F.from_json(x, "id_via BIGINT, numpuerta BIGINT")).alias("keys"),
+    )
+    ends = files.select(
+        "file", F.size("keys").cast("bigint").alias("n"), (F.sort_array("keys") == F.col("keys")).alias("sorted"),
+        F.array_min("keys").alias("low"), F.array_max("keys").alias("high"),
+    ).filter("n > 0")
+    before = F.lag("high").over(Window.orderBy("file"))
+    follows = ends.withColumn("follows", F.coalesce(before <= F.col("low"), F.lit(True)))
+    return follows.agg(F.sum("n").alias("lines"), F.min(F.col("sorted") & F.col("follows")).alias("in_order"))
+
+
+@query
+def rows_by_extension(spark, sf):
+    """The same rows from NDJSON, CSV and Parquet, told apart by the path's ending."""
+    rows = fx.view(spark, sf, fx.LOTS).select("lote", F.col("nombre_urbanizacion").alias("estate"), "postcode")
+    folder = fresh(spark, "kinds")
+    rows.write.json(f"{folder}.ndjson")
+    rows.write.option("sep", ";").option("header", True).option("emptyValue", "").csv(f"{folder}.csv")
+    rows.write.parquet(f"{folder}.parquet")
+    kinds = [readers.read_any(spark, f"{folder}.{k}", rows.schema)[0].withColumn("kind", F.lit(k)) for k in ("ndjson", "csv", "parquet")]
+    both = kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+    return both.groupBy("kind", "estate", "postcode").agg(F.count(F.lit(1)).alias("lots"))
+
+
+@query
+def registered_view(spark, sf):
+    """Streets per district by SQL over registered frames, the dimension written and read again."""
+    path = fresh(spark, "districts")
+    writers.write_dimension(districts(spark, sf), path)
+    readers.register(readers.read_parquet(spark, path, ["postcode", "cod_departament", "cod_district"]), "registered_districts")
+    readers.register(doors(spark, sf), "registered_doors")
+    return spark.sql("""
+        SELECT cod_departament, cod_district, count(DISTINCT id_via) AS streets
+        FROM registered_doors JOIN registered_districts ON ubigeo = postcode GROUP BY cod_departament, cod_district""")
+
+
+@query
+def index_table(spark, sf):
+    """Documents in the index table, which is made once and then found to exist."""
+    name = f"addrspark_index_{uuid.uuid4().hex}"
+    documents_of = streets(spark, sf).select("id_via", "name", "postcode", "context")
+    made = [writers.create_index_table(spark, name, documents_of.schema) for _ in range(2)]
+    documents_of.write.mode("append").saveAsTable(name)
+    return spark.table(name).groupBy("context").agg(F.count(F.lit(1)).alias("documents")).withColumn("made_once", F.lit(made == [True, False]))
