@@ -20,7 +20,7 @@ from addrspark.llm import words as W
 
 BITS = 18
 SAMPLE_ROWS = 9000
-SAMPLE_PARTS = 256
+RANGE_BITS = 14
 # A feature counts when it stands in so many sampled texts and is this many standard errors away from
 # chance in one grade. Most words say nothing about quality; leaving them out keeps their noise out.
 MIN_TEXTS = 5
@@ -192,12 +192,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str)
     """
     known = labels.select(F.col(id_col).alias("label_id"), grade(F.col("quality"), F.col("toxic")).alias("grade"))
     known = known.dropna().groupBy("label_id").agg(F.min("grade").alias("grade"))
-    # First within hash parts of a grade, so that the last choice is among a bounded number of rows.
-    known = known.withColumn("hash", F.xxhash64("label_id")).withColumn("part", F.pmod("hash", F.lit(SAMPLE_PARTS)))
-    order, place, most = [F.col("hash"), F.col("label_id")], F.row_number(), rows // 3
-    near = known.withColumn("place", place.over(Window.partitionBy("grade", "part").orderBy(*order)))
-    near = near.filter(F.col("place") <= most).drop("place")
-    best = near.withColumn("place", place.over(Window.partitionBy("grade").orderBy(*order))).filter(F.col("place") <= most)
+    known = known.withColumn("hash", F.xxhash64("label_id")).withColumn("range", F.shiftright("hash", 64 - RANGE_BITS))
+    # Counts per range of hashes tell which ranges hold the smallest ones; only their rows meet in a window.
+    before = Window.partitionBy("grade").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = known.groupBy("grade", "range").agg(F.count(F.lit(1)).alias("n"))
+    wanted = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).filter(F.col("before") < rows // 3)
+    near = known.join(wanted.select("grade", "range"), ["grade", "range"], "left_semi")
+    place = F.row_number().over(Window.partitionBy("grade").orderBy("hash", "label_id"))
+    best = near.withColumn("place", place).filter(F.col("place") <= rows // 3)
     totals = known.groupBy("grade").agg(F.count(F.lit(1)).alias("total"))
     taken = best.groupBy("grade").agg(F.count(F.lit(1)).alias("taken")).join(totals, "grade")
     sample = best.join(taken, "grade").select("label_id", "grade", F.sqrt(F.col("total") / F.col("taken")).alias("share"))
@@ -270,10 +272,14 @@ def grade_documents(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
     if model is None:
         one = F.lit(1.0)
         return whole.select("row", (one * 2).alias("expected_grade"), one.alias("p_grade_1"), one.alias("p_grade_2"))
-    kind = whole.schema["row"].dataType.simpleString()
-    return whole.mapInArrow(_scorer(model), f"row {kind}, expected_grade double, p_grade_1 double, p_grade_2 double")
+    ratings = ["expected_grade", "p_grade_1", "p_grade_2"]
+    shape = whole.select("row", *[F.lit(None).cast("double").alias(c) for c in ratings]).schema
+    return whole.mapInArrow(_scorer(model), shape)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, min_probability: float = 0.5, **options) -> DataFrame:
-    """The rows of ``docs`` that reach the top grade with at least ``min_probability``."""
+    """The rows of ``docs`` that reach the top grade with at least ``min_probability``.
+
+    Nulls, empty texts and repeated rows are rated as ``grade_documents`` says; each row stays or goes by itself.
+    """
     return grade_documents(docs, labels, **options).filter(F.col("p_grade_2") >= min_probability).select("row.*")

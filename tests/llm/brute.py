@@ -22,7 +22,7 @@ TABLES = {
     "conversations": pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())]),
 }
 # Columns that the operators use inside; tables may have them already.
-CLASHING = ["id", "node", "norm", "hash", "size", "bucket", "row", "items", "kept", "shard", "rank", "start", "places", "word", "label_id", "n", "form", "depth", "conv", "counts"]
+CLASHING = ["id", "node", "norm", "hash", "size", "bucket", "row", "items", "kept", "shard", "rank", "start", "places", "word", "label_id", "n", "form", "depth", "conv", "counts", "kept_id", "a.b", "line"]
 
 
 def words(text: str | None) -> tuple[str, ...]:
@@ -71,7 +71,7 @@ def edge_documents() -> list[tuple]:
     rows += [rows[9], rows[9], rows[12]]  # rows repeated as they are
     rows += [(None, base, None, None, None), (None, "no id here at all in this row", "de", None, 5), (None, None, None, None, None)]
     rows += [(None, " ".join([*base.split()[:-1], "other"]), None, "src2", 4)]  # a near copy without an id
-    nameless = prose(rng, 90)
+    nameless = prose(rng, 18)
     rows += [(None, nameless, "en", "src3", 4), (None, nameless, "en", "src3", 4), (None, nameless + " more", "en", None, 4)]
     rows += [(7, "another text under an id that is taken already", "fr", "src1", 40), (100, prose(rng, 50), None, "src9", None)]
     return rows
