@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from addrspark.llm.mixing import WORD
+from addrspark.llm.mixing import blank_split
 from addrspark.llm.shared import with_common, written
 
 BAND = 16
@@ -43,7 +43,7 @@ def ordered_turns(conversations: DataFrame, stretch: int = STRETCH) -> DataFrame
         F.col("conv_id").cast("bigint").alias("conv_id"),
         F.col("turn").cast("bigint").alias("turn"),
         F.unhex(said).alias("digest"),
-        F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("words"),
+        F.size(blank_split(text)).cast("bigint").alias("words"),
         F.monotonically_increasing_id().alias("line"),
     )
     order = [F.col("turn").asc_nulls_first(), "digest"]
