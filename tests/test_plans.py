@@ -32,6 +32,7 @@ def test_no_python_outside_the_binary_and_accent_steps(spark):
     assert with_python == {
         "accents_removed", "provinces_by_department", "blocks_v2", "blocks_v2_rejects", "blocks_v2_broken", "hex_rejects",
         "hex_shapes", "wkb_roundtrip", "point_geometry", "hex_geometry", "json_array_lines",
+        "geo_roundtrip", "shape_edges_sql",
     }
 
 
