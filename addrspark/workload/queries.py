@@ -603,7 +603,7 @@ def nearest_edge_dense(spark, sf):
     ends = {c: F.col(c) / small for c in spatial.ENDS}
     edges = spatial.part_edges(parts, "lot_id").withColumns(ends)
     segments = spatial.road_segments(fx.metric_roads(spark, sf), "geometry").withColumns(ends)
-    best = spatial.nearest_edges(edges, segments, "lot_id", 15.0 / small, most_pairs=20_000)
+    best = spatial.nearest_edges(edges, segments, "lot_id", 15.0 / small, most_pairs=100_000)
     return best.select(
         "lot_id", F.col("part").cast("bigint").alias("part"), F.col("edge").cast("bigint").alias("edge"),
         scaled(F.col("distance") * small, 1e3).alias("distance_mm"),
