@@ -27,6 +27,8 @@ MIN_LENGTH, MIN_COUNT = 7, 2
 DROP_EVERY = 31
 TIMES_MORE = 10
 WORDS_AT_ONCE = 1 << 18
+# In no word.
+END = "\n"
 
 
 def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -92,19 +94,28 @@ def _paths(words: DataFrame, least: int) -> DataFrame:
 
 
 def _edges(paths: DataFrame) -> DataFrame:
-    """(node, first, label, child): the letters from a branching node to the next one, or to the end of a word (null)."""
+    """(node, first, label, child, onward): the letters from a branching node to the next one, or to the end of a word.
+
+    ``child`` is null at the end of a word. ``onward`` are the letters that go on from the child, with END where a
+    word ends there, so that a state can see whether it will go on before it is made.
+    """
     each = paths.select("word", "stops", F.posexplode("stops").alias("i", "stop"))
     child = F.get("stops", F.col("i") + 1)
     begin = F.col("stop.t") + 1
     label = F.when(child.isNull(), F.expr("substring(word, stop.t + 1)")).otherwise(F.substring("word", begin, child["t"] - F.col("stop.t")))
     edges = each.select(F.col("stop.node").alias("node"), label.alias("label"), child["node"].alias("child")).distinct()
-    return written(edges.select("node", F.substring("label", 1, 1).alias("first"), "label", "child"), "edges")
+    edges = written(edges.select("node", F.substring("label", 1, 1).alias("first"), "label", "child"), "edges")
+    letters = F.array_join(F.collect_set(F.when(F.col("first") == "", END).otherwise(F.col("first"))), "")
+    onward = edges.groupBy(F.col("node").alias("child")).agg(letters.alias("onward"))
+    return written(edges.join(onward, "child", "left").select("node", "first", "label", "child", "onward"), "edges")
 
 
 def _spells(word: str, position: Column, label: Column) -> Column:
-    """Whether ``word`` goes on with the label from ``position``, to its end where the edge ends a word."""
+    """Whether ``word`` goes on with the label from ``position``, to its end where the edge ends a word, and on from there."""
     rest = F.when(F.col("child").isNull(), F.length(word)).otherwise(F.length(label))
-    return F.substring(word, position + 1, rest) == label
+    after = F.substring(word, position + 1 + F.length(label), F.lit(1))
+    goes_on = F.col("child").isNull() | (F.instr(F.col("onward"), F.when(after == "", END).otherwise(after)) > 0)
+    return (F.substring(word, position + 1, rest) == label) & goes_on
 
 
 def _left_paths(paths: DataFrame, edges: DataFrame) -> DataFrame:
