@@ -95,13 +95,13 @@ def supported(geometry: str) -> Column:
     return F.expr(f"coalesce({known} AND size({geometry}.parts) > 0, false)")
 
 
-def shape_cells(geometry: str, resolution: int = 8) -> Column:
-    """Per part of a supported shape ``struct<cell, boundary>``, in part order.
+def shape_cells(geometry: str, resolution: int = 8, boundary: bool = True) -> Column:
+    """Per part of a supported shape ``struct<cell, boundary>``, in part order; ``struct<cell>`` without ``boundary``.
 
     A point counts itself, a polygon its centroid.
     """
     areal = one_of(f"{geometry}.kind", POLYGONAL)
     axial = let("g", centroid_sql("array(piece)", areal, areal), _axial("g.x", "g.y", resolution))
-    boundary = _boundary("h", number(hex_side(resolution)))
-    cell = f"named_struct('cell', {_id('h', resolution)}, 'boundary', {boundary})"
+    ring = f", 'boundary', {_boundary('h', number(hex_side(resolution)))}" if boundary else ""
+    cell = f"named_struct('cell', {_id('h', resolution)}{ring})"
     return F.expr(f"transform({geometry}.parts, piece -> {let('h', axial, cell)})")

@@ -61,17 +61,28 @@ def _total(moments: str) -> str:
     return f"aggregate({moments}, {_moment('0D', '0D', '0D')}, (a, m) -> {add})"
 
 
+def _walked(ring: str, weight: str, share: str) -> str:
+    """Total over every pair ``a.p``, ``q`` of consecutive vertices, of weight ``c`` and moments ``share``.
+
+    One walk that carries the vertex before, as lambdas run uncompiled and each array between them costs a pass.
+    """
+    n = f"greatest(size({ring}) - 1, 0)"
+    begin = "named_struct('p', try_element_at({ring}, 1), 'w', 0D, 'mx', 0D, 'my', 0D)".format(ring=ring)
+    step = "named_struct('p', q, 'w', a.w + c, 'mx', a.mx + {x}, 'my', a.my + {y})".format(
+        x=share.format(axis="x"), y=share.format(axis="y")
+    )
+    return f"aggregate(slice({ring}, 2, {n}), {begin}, (a, q) -> {let('c', weight, step)})"
+
+
 def _area_moment(ring: str) -> str:
     """Doubled signed area of a ring and its first moments, relative to the vertex ``o``."""
-    cross = "((p.x - o.x) * (q.y - o.y) - (q.x - o.x) * (p.y - o.y))"
-    weighted = _moment("c", "((p.x - o.x) + (q.x - o.x)) * c", "((p.y - o.y) + (q.y - o.y)) * c")
-    return _total(_steps(ring, let("c", cross, weighted)))
+    cross = "((a.p.x - o.x) * (q.y - o.y) - (q.x - o.x) * (a.p.y - o.y))"
+    return _walked(ring, cross, "((a.p.{axis} - o.{axis}) + (q.{axis} - o.{axis})) * c")
 
 
 def _length_moment(ring: str) -> str:
-    length = "sqrt((q.x - p.x) * (q.x - p.x) + (q.y - p.y) * (q.y - p.y))"
-    weighted = _moment("c", "((p.x - o.x) + (q.x - o.x)) / 2D * c", "((p.y - o.y) + (q.y - o.y)) / 2D * c")
-    return _total(_steps(ring, let("c", length, weighted)))
+    length = "sqrt((q.x - a.p.x) * (q.x - a.p.x) + (q.y - a.p.y) * (q.y - a.p.y))"
+    return _walked(ring, length, "((a.p.{axis} - o.{axis}) + (q.{axis} - o.{axis})) / 2D * c")
 
 
 def _point_moment(ring: str) -> str:

@@ -182,20 +182,16 @@ def hex_indexed(
     Every row is worked on by itself: no shuffle.
     """
     usable = hexgrid.supported(geometry)
-    cells = shapes.filter(usable).withColumn("hexes", hexgrid.shape_cells(geometry, resolution))
+    cells = shapes.filter(usable).withColumn("hexes", hexgrid.shape_cells(geometry, resolution, keep_geometry))
     multi = F.col(geometry).kind == "MultiPolygon"
     names = F.expr("transform(hexes, h -> h.cell)")
-    hexagons = F.struct(
-        F.when(multi, F.lit("MultiPolygon")).otherwise(F.lit("Polygon")).alias("kind"),
-        F.expr("transform(hexes, h -> array(h.boundary))").alias("parts"),
-    )
-    indexed = cells.withColumns(
-        {
-            "hex_cells": names,
-            "hex_index": F.when(multi, list_text(names)).otherwise(names[0]),
-            geometry: hexagons,
-        }
-    ).drop("hexes")
+    index = {"hex_cells": names, "hex_index": F.when(multi, list_text(names)).otherwise(names[0])}
+    if keep_geometry:
+        index[geometry] = F.struct(
+            F.when(multi, F.lit("MultiPolygon")).otherwise(F.lit("Polygon")).alias("kind"),
+            F.expr("transform(hexes, h -> array(h.boundary))").alias("parts"),
+        )
+    indexed = cells.withColumns(index).drop("hexes")
     reason = F.concat(F.lit("unsupported shape: "), F.coalesce(F.col(geometry).kind, F.lit("null")))
     rejects = shapes.filter(~usable).withColumn("reason", reason)
     return (indexed if keep_geometry else indexed.drop(geometry)), rejects

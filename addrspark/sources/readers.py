@@ -20,14 +20,26 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
+# Rows of heavy work a task gets; splits are cut by bytes and may hold millions of narrow rows.
+ROWS_PER_TASK = 100_000
+
+
+def tasks_for(df: DataFrame, rows_each: int = ROWS_PER_TASK) -> int:
+    """Tasks that keep every core busy and get no more than about ``rows_each`` rows of a frame straight from a scan.
+
+    Parquet counts its rows in the footers, so no column is read.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_each))
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core rows when a small input has fewer splits than there are cores.
+    """Give every core rows, and no task many more than ROWS_PER_TASK, when there are too few splits for that.
 
-    For work that is heavy per row, on frames straight from a scan (counting the partitions of others
+    For work that is heavy per row, on frames straight from a scan (counting the partitions and rows of others
     would run their shuffles). Inputs with enough splits pass unchanged, without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = tasks_for(df)
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from addrspark import schemas
 from addrspark.functions import hexgrid, projection, shapes, tables, text, wkb
+from addrspark.functions.once import evaluate_once
 from addrspark.operators import asof, checks, dedup, documents, editions, intervals, mapping, patch, sketches, spatial, timewindows, totals
 from addrspark.plans.flows import as_text, clean_points
 from addrspark.session import shared_folder
@@ -327,7 +328,7 @@ def hex_multi_shapes(spark, sf):
     corners = fx.view(spark, sf, fx.LOT_CORNERS, heavy=True)
     part = F.array(F.array(*fx.corners()))
     shifted = F.array(F.transform(part[0], lambda v: shapes.vertex(v.x + 0.5, v.y - 0.25)))
-    pairs = corners.withColumn("geometry", shapes.shape("MultiPolygon", F.array(part, shifted)))
+    pairs = evaluate_once(corners, {"geometry": shapes.shape("MultiPolygon", F.array(part, shifted))})
     indexed, _ = spatial.hex_indexed(pairs, keep_geometry=False)
     return indexed.select("event_id", "hex_index", F.size("hex_cells").cast("bigint").alias("cells"))
 

@@ -60,6 +60,11 @@ def test_spread_leaves_wide_inputs_alone(spark):
     assert readers.spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 8
 
 
+def test_spread_bounds_the_rows_of_a_task(spark):
+    rows = 12 * readers.ROWS_PER_TASK + 1
+    assert readers.spread(spark.range(rows, numPartitions=8)).rdd.getNumPartitions() == 13
+
+
 def test_ndjson_spells_out_nulls(spark, tmp_path):
     out = str(tmp_path / "out")
     writers.write_ndjson(spark.createDataFrame([(1, "ñ"), (None, None)], SMALL), out, sort=["a"])

@@ -40,6 +40,12 @@ def test_shapes_are_decoded_once(spark):
     assert plan(QUERIES["hex_shapes"](spark, SF)).count("ArrowEvalPython [_decode") == 1
 
 
+def test_parts_of_lots_are_built_after_the_spread_and_without_hexagons(spark):
+    text = plan(QUERIES["hex_multi_shapes"](spark, SF))
+    assert "Filter (" not in text[text.index("Exchange RoundRobin"):]
+    assert "boundary" not in text
+
+
 def test_districts_are_broadcast_and_probed_after_grouping(spark):
     df = QUERIES["street_documents_nested"](spark, SF)
     df.collect()
