@@ -666,7 +666,7 @@ def street_sketch_error(spark, sf):
 def shape_edges_sql(spark, sf):
     tables.register_table_functions(spark)
     lots = fx.metric_lots(spark, sf)
-    return spark.sql("SELECT * FROM shape_edges(TABLE({lots}) PARTITION BY lot_id)", lots=lots)
+    return spark.sql("SELECT * FROM shape_edges(TABLE({lots}))", lots=lots)
 
 
 @query

@@ -46,6 +46,12 @@ def test_parts_of_lots_are_built_after_the_spread_and_without_hexagons(spark):
     assert "boundary" not in text
 
 
+def test_edges_come_from_whole_batches(spark):
+    text = plan(QUERIES["shape_edges_sql"](spark, SF))
+    assert "ArrowEvalPythonUDTF shape_edges" in text
+    assert "hashpartitioning" not in text and "Sort" not in text  # neither dealt nor called by lot
+
+
 def test_districts_are_broadcast_and_probed_after_grouping(spark):
     df = QUERIES["street_documents_nested"](spark, SF)
     df.collect()

@@ -125,3 +125,6 @@ def test_shape_edges_in_sql(spark):
                 want += [(i, p, r, e, *map(float, (*a, *b))) for e, (a, b) in enumerate(zip(points, points[1:], strict=False))]
     assert Counter(map(tuple, got)) == Counter(want)
     assert spark.sql("SELECT * FROM shape_edges(TABLE({lots}) PARTITION BY lot_id)", lots=lots.limit(0)).count() == 0
+    # Whole batches hold null shapes among others, and lots that come twice.
+    many = empty.unionByName(lots).unionByName(empty).unionByName(lots).coalesce(1)
+    assert Counter(map(tuple, spark.sql("SELECT * FROM shape_edges(TABLE({lots}))", lots=many).collect())) == Counter(want * 2)
