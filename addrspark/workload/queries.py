@@ -491,14 +491,19 @@ def placed_doors(spark: SparkSession, sf: str) -> DataFrame:
 HIERARCHY = ["cod_departament", "cod_province", "tipo_via"]
 
 
+def door_totals(spark: SparkSession, sf: str, sets: list[list[str]]) -> DataFrame:
+    tasks = readers.tasks_for(doors(spark, sf), totals.ROWS_PER_TASK)
+    return totals.totals(placed_doors(spark, sf), HIERARCHY, sets, "id_via", "doors", "streets", tasks)
+
+
 @query
 def door_totals_rollup(spark, sf):
-    return totals.totals(placed_doors(spark, sf), HIERARCHY, totals.rollup_sets(HIERARCHY), "id_via", "doors", "streets")
+    return door_totals(spark, sf, totals.rollup_sets(HIERARCHY))
 
 
 @query
 def door_totals_cube(spark, sf):
-    return totals.totals(placed_doors(spark, sf), HIERARCHY, totals.cube_sets(HIERARCHY), "id_via", "doors", "streets")
+    return door_totals(spark, sf, totals.cube_sets(HIERARCHY))
 
 
 @query

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from addrspark.operators import totals
 from addrspark.workload import fixtures as fx
 from addrspark.workload.queries import QUERIES
 
@@ -52,6 +53,16 @@ def test_edges_come_from_whole_batches(spark):
     assert "hashpartitioning" not in text and "Sort" not in text  # neither dealt nor called by lot
 
 
+def test_totals_read_rows_once_and_keep_their_tasks(spark):
+    for name in ("door_totals_rollup", "door_totals_cube"):
+        text = plan(QUERIES[name](spark, SF))
+        assert len(re.findall(r"ReadSchema: struct<l_orderkey", text)) == 1
+        assert len(re.findall(r"REPARTITION_BY_NUM", text)) == 2  # adaptive execution does not merge these
+    rows = spark.range(10).selectExpr("id % 2 a", "id v")
+    text = plan(totals.totals(rows, ["a"], totals.cube_sets(["a"]), "v", tasks=7))
+    assert re.search(r"hashpartitioning\(value#\d+L, 7\)", text)
+
+
 def test_districts_are_broadcast_and_probed_after_grouping(spark):
     df = QUERIES["street_documents_nested"](spark, SF)
     df.collect()
