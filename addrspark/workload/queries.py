@@ -472,9 +472,10 @@ def district_as_of(spark, sf):
 @query
 def events_in_spans(spark, sf):
     events = fx.table(spark, sf, "events").select("event_id", "event_type", "ts")
-    met = intervals.join_spans(events, fx.view(spark, sf, fx.SPANS), "ts", "span_start", "span_end", ["event_type"])
+    totals = {"events": ("count", "*"), "first_event": ("min", "event_id"), "last_event": ("max", "event_id")}
+    met = intervals.join_spans(events, fx.view(spark, sf, fx.SPANS), "ts", "span_start", "span_end", ["event_type"], totals)
     return met.groupBy("span_id").agg(
-        F.count(F.lit(1)).alias("events"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event")
+        F.sum("events").alias("events"), F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event")
     )
 
 
